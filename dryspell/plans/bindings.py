@@ -87,14 +87,14 @@ def _crosswalk(units: DataFrame, split_offset) -> DataFrame:
     return shared.unionByName(own).distinct()
 
 
-def _windows(crosswalk: DataFrame) -> DataFrame:
+def _windows(crosswalk: DataFrame, era: str = "n") -> DataFrame:
     n, office, year = F.col("n"), F.col("office"), F.col("year")
     shapes = F.array(*[
         F.struct(*[F.lit(v).alias(k) for k, v in zip(("kind", "back", "from_month", "to_month"), s)])
         for s in WINDOW_SHAPES
     ])
     day = F.lit(1) + (office % 20).cast("int")
-    shift = _shift(n, SHIFT_DAYS)
+    shift = _shift(F.expr(era), SHIFT_DAYS)
     years = F.explode(F.sequence(F.lit(FIRST_YEAR), F.lit(LAST_YEAR))).alias("year")
     return (
         crosswalk.select("office", "n", years)
@@ -102,7 +102,7 @@ def _windows(crosswalk: DataFrame) -> DataFrame:
         .select(
             unit_code(n).alias("fips"),
             unit_code(office).alias("fsa_county"),
-            (year + _shift(n, SHIFT_YEARS)).cast("int").alias("program_year"),
+            (year + _shift(F.expr(era), SHIFT_YEARS)).cast("int").alias("program_year"),
             F.concat(F.lit("P"), F.col("kind").cast("string")).alias("pasture_type"),
             F.date_add(F.make_date(year - F.col("back"), F.col("from_month"), day), shift)
             .alias("window_start"),
@@ -153,11 +153,15 @@ def raw_class() -> Column:
     return F.when(F.col("q") != 50, F.floor((F.col("q") - 1) / 9).cast("int"))
 
 
+# Suppliers of one office share an era, so that their determinations can be compared.
+SUPPLIER_ERA = "{0} div 2"
+
+
 def supplier_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("s_suppkey")
+    n, era = F.col("s_suppkey"), F.expr(SUPPLIER_ERA.format("s_suppkey"))
     return _lines(spark, sf_dir).select(
         unit_code(n).alias("fips"), F.col("flag").alias("source"),
-        F.date_add("week", _shift(n, SHIFT_DAYS)).alias("usdm_date"),
+        F.date_add("week", _shift(era, SHIFT_DAYS)).alias("usdm_date"),
         raw_class().alias("drought_class"),
     )
 
@@ -171,4 +175,5 @@ def supplier_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _windows(_crosswalk(_suppliers(spark, sf_dir), SUPPLIER_SPLIT))
+    crosswalk = _crosswalk(_suppliers(spark, sf_dir), SUPPLIER_SPLIT)
+    return _windows(crosswalk, SUPPLIER_ERA.format("n"))

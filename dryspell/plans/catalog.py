@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from dryspell.functions.dates import date_decode
+from dryspell.functions.levels import level_code, level_label
+from dryspell.functions.text import csv_line
+from dryspell.model import BELOW_D2, D2, GROUP_KEY, LADDER, WINDOW_KEY
+from dryspell.operators import aggregate, dictionary, listings, quality, scoring, tiers, units
+from dryspell.operators.runs import run_length_encode
 from dryspell.plans import bindings as b
 from dryspell.plans import oracle as o
-from dryspell.plans.determine import determine
+from dryspell.plans.determine import clipped_runs, dated_events, determine, drought_runs
+from dryspell.sinks import columnar, report
 
 QUERIES = {}
 ORACLES = {}
@@ -20,6 +29,712 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def _nation_inputs(spark, sf_dir):
+    return b.nation_observations(spark, sf_dir), b.nation_windows(spark, sf_dir)
+
+
+def _supplier_inputs(spark, sf_dir):
+    cells = aggregate.worst_class(b.supplier_raw(spark, sf_dir), ["fips", "source", "usdm_date"])
+    observed = cells.where(F.col("drought_class").isNotNull())
+    return observed, b.supplier_windows(spark, sf_dir)
+
+
+# --- weekly table -------------------------------------------------------------------------------
+
+
+@register(
+    "worst_class_weekly",
+    o.raw("""select fips, source, usdm_date,
+      case when count(drought_class) = count(*) then max(drought_class) end drought_class
+    from raw_obs group by fips, source, usdm_date"""),
+)
+def worst_class_weekly(spark, sf_dir):
+    return aggregate.worst_class(b.nation_raw(spark, sf_dir), ["fips", "source", "usdm_date"])
+
+
+_WIDE_CELL = """case when count(*) filter (source = '{0}') = count(drought_class) filter (source = '{0}')
+      then max(drought_class) filter (source = '{0}') end as "{0}\""""
+
+
+@register(
+    "weekly_wide",
+    o.raw(f"""select fips, usdm_date, {', '.join(_WIDE_CELL.format(s) for s in b.FLAGS)}
+    from raw_obs group by fips, usdm_date"""),
+)
+def weekly_wide(spark, sf_dir):
+    return aggregate.weekly_wide(b.nation_raw(spark, sf_dir), b.FLAGS)
+
+
+_PIVOT = """select fips, usdm_date, max(drought_class) filter (source = 'all') as "all",
+    max(drought_class) filter (source = 'A') as "A", max(drought_class) filter (source = 'N') as "N",
+    max(drought_class) filter (source = 'R') as "R" from obs group by fips, usdm_date"""
+
+
+@register("wide_by_source", o.nation(_PIVOT))
+def wide_by_source(spark, sf_dir):
+    observations = b.nation_observations(spark, sf_dir)
+    return aggregate.pivot_sources(observations, b.SOURCES).orderBy("fips", "usdm_date")
+
+
+@register(
+    "long_from_wide",
+    o.nation(
+        """select fips, usdm_date, source, case when drought_class < 3 then 0 else drought_class end drought_class
+        from (unpivot wide on "all", "A", "N", "R" into name source value drought_class)""",
+        f"wide as ({_PIVOT})",
+    ),
+)
+def long_from_wide(spark, sf_dir):
+    return aggregate.long_from_wide(wide_by_source(spark, sf_dir), b.SOURCES)
+
+
+@register(
+    "class_labels",
+    o.nation("""select source, drought_class,
+      ['None', 'D0', 'D1', 'D2', 'D3', 'D4'][drought_class + 1] as label,
+      drought_class as code, count(*) as n from obs group by all"""),
+)
+def class_labels(spark, sf_dir):
+    labelled = b.nation_observations(spark, sf_dir).withColumn("label", level_label("drought_class"))
+    return labelled.withColumn("code", level_code("label")).groupBy(
+        "source", "drought_class", "label", "code"
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- runs ---------------------------------------------------------------------------------------
+
+
+@register("runs_rle", o.nation("select * from runs"))
+def runs_rle(spark, sf_dir):
+    return drought_runs(b.nation_observations(spark, sf_dir))
+
+
+@register("runs_rle_blocked", o.nation("select * from runs"))
+def runs_rle_blocked(spark, sf_dir):
+    return drought_runs(b.nation_observations(spark, sf_dir), block_days=366)
+
+
+@register("runs_rle_by_supplier", o.supplier("select * from runs"))
+def runs_rle_by_supplier(spark, sf_dir):
+    return drought_runs(_supplier_inputs(spark, sf_dir)[0])
+
+
+@register(
+    "runs_over_gaps",
+    o.nation("""select *, run_end - run_start + 1 - 7 * run_weeks as gap_days from runs
+      where run_end - run_start + 1 > 7 * run_weeks"""),
+)
+def runs_over_gaps(spark, sf_dir):
+    runs = run_length_encode(aggregate.long_from_wide(
+        aggregate.pivot_sources(b.nation_observations(spark, sf_dir), b.SOURCES), b.SOURCES
+    ))
+    gap = F.datediff("run_end", "run_start") + 1 - 7 * F.col("run_weeks")
+    return runs.withColumn("gap_days", gap).where(F.col("gap_days") > 0)
+
+
+# --- units and windows --------------------------------------------------------------------------
+
+
+_OFFICE_WINDOWS = o._window_rows("own", "(select distinct office, office n from xwalk_n)")
+_OFFICES = """offices as (select fsa_county, program_year, pasture_type, window_start, window_end from own)"""
+
+
+@register(
+    "units_mapped",
+    o.nation("select * from offices join xwalk using (fsa_county)", _OFFICE_WINDOWS, _OFFICES),
+)
+def units_mapped(spark, sf_dir):
+    return units.map_units(b.nation_offices(spark, sf_dir), b.nation_crosswalk(spark, sf_dir))
+
+
+@register(
+    "unresolved_units",
+    o.nation(
+        """select distinct fsa_county from offices
+        where fsa_county not in (select fsa_county from xwalk where fsa_county < '00100')""",
+        _OFFICE_WINDOWS, _OFFICES,
+    ),
+)
+def unresolved_units(spark, sf_dir):
+    shared = b.nation_crosswalk(spark, sf_dir).where(F.col("fsa_county") < "00100")
+    return units.unresolved_units(b.nation_offices(spark, sf_dir), shared)
+
+
+@register(
+    "observed_units_only",
+    o.nation("select * from obs where fips in (select fips from ngp where program_year >= 2020)"),
+)
+def observed_units_only(spark, sf_dir):
+    observations, windows = _nation_inputs(spark, sf_dir)
+    return units.observed_only(observations, windows.where(F.col("program_year") >= 2020))
+
+
+@register("clipped_runs", o.nation("select * from clip"))
+def clipped_runs_direct(spark, sf_dir):
+    observations, windows = _nation_inputs(spark, sf_dir)
+    return clipped_runs(windows, drought_runs(observations), bin_days=None)
+
+
+@register("clipped_runs_binned", o.nation("select * from clip"))
+def clipped_runs_binned(spark, sf_dir):
+    observations, windows = _nation_inputs(spark, sf_dir)
+    return clipped_runs(windows, drought_runs(observations))
+
+
+@register("clipped_runs_salted", o.nation("select * from clip"))
+def clipped_runs_salted(spark, sf_dir):
+    observations, windows = _nation_inputs(spark, sf_dir)
+    return clipped_runs(windows, drought_runs(observations), salts=4)
+
+
+@register("clipped_runs_by_supplier", o.supplier("select * from clip"))
+def clipped_runs_by_supplier(spark, sf_dir):
+    observations, windows = _supplier_inputs(spark, sf_dir)
+    return clipped_runs(windows, drought_runs(observations))
+
+
+_REASONS = """select reason, count(*) n_windows from (
+    select case when n.window_start is null or n.window_end is null or n.window_start > n.window_end
+        then 'no usable dates' when s.fips is null then 'unit never observed' else 'used' end reason
+    from (select fips, fsa_county, program_year, pasture_type, window_start,
+            case when pasture_type = 'P0' then null else window_end end window_end from ngp) n
+    left join (select distinct fips from obs where source = 'A' and drought_class = 5) s on n.fips = s.fips)
+    group by reason"""
+
+
+@register("silent_drops", o.nation(_REASONS))
+def silent_drops(spark, sf_dir):
+    """Windows of one pasture type lose their end, and only units with a D4 week count as observed."""
+    observations, windows = _nation_inputs(spark, sf_dir)
+    end = F.when(F.col("pasture_type") != "P0", F.col("window_end"))
+    seen = observations.where((F.col("source") == "A") & (F.col("drought_class") == 5))
+    return quality.coverage(windows.withColumn("window_end", end), seen)
+
+
+# --- tiers --------------------------------------------------------------------------------------
+
+
+def _nation_tiers(spark, sf_dir):
+    observations, windows = _nation_inputs(spark, sf_dir)
+    return tiers.date_tiers(clipped_runs(windows, drought_runs(observations)))
+
+
+def _tier_rows(spark, sf_dir, names):
+    kept = tiers.event_rows(_nation_tiers(spark, sf_dir)).withColumn(
+        "tier", F.element_at(F.array(*[F.lit(t) for t in tiers.EVENT_ORDER]), F.col("event_order") + 1)
+    )
+    return kept.where(F.col("tier").isin(*names)).drop("event_order", "event")
+
+
+_TIER = f"""select {o.GROUP}, clip_start, dt qualifying_date,
+    ['D2_Sandwich', 'D3b', 'D4b', 'D2a_2026', 'D2b_2026', 'D2', 'D3a', 'D4a'][ord + 1] as tier from """
+
+
+@register(
+    "tier_consecutive",
+    o.nation(
+        _TIER + "(select * from t_d2 union all select * from t_d2a union all select * from t_d2b)"
+    ),
+)
+def tier_consecutive(spark, sf_dir):
+    return _tier_rows(spark, sf_dir, ["D2", "D2a_2026", "D2b_2026"])
+
+
+@register("tier_cumulative", o.nation(_TIER + "t_b"))
+def tier_cumulative(spark, sf_dir):
+    return _tier_rows(spark, sf_dir, ["D3b", "D4b"])
+
+
+@register("tier_immediate", o.nation(_TIER + "t_a"))
+def tier_immediate(spark, sf_dir):
+    return _tier_rows(spark, sf_dir, ["D3a", "D4a"])
+
+
+@register("tier_sandwich", o.nation(_TIER + "t_s"))
+def tier_sandwich(spark, sf_dir):
+    return _tier_rows(spark, sf_dir, ["D2_Sandwich"])
+
+
+@register(
+    "pattern_match",
+    o.nation(
+        f"""select {o.GROUP}, clip_start from p where drought_class = 3 and c1 = 0 and c2 = 3""",
+        f"""p as (select *, lead(drought_class, 1) over s c1, lead(drought_class, 2) over s c2
+          from clip window s as (partition by {o.GROUP} order by clip_start))""",
+    ),
+)
+def pattern_match(spark, sf_dir):
+    observations, windows = _nation_inputs(spark, sf_dir)
+    clipped = clipped_runs(windows, drought_runs(observations))
+    found = tiers.match_pattern(
+        clipped, GROUP_KEY, "clip_start", "drought_class", [D2, BELOW_D2, D2]
+    )
+    return found.where("matched").select(*GROUP_KEY, "clip_start")
+
+
+# --- scoring ------------------------------------------------------------------------------------
+
+
+_SCORED = f"select {o.GROUP}, clip_start, ord as event_order, event, dt as qualifying_date, drought_factor from scored"
+
+
+@register("events_scored", o.nation(_SCORED))
+def events_scored(spark, sf_dir):
+    return scoring.score_events(dated_events(*_nation_inputs(spark, sf_dir)))
+
+
+@register("events_scored_by_table", o.nation(_SCORED))
+def events_scored_by_table(spark, sf_dir):
+    ladder = spark.createDataFrame(
+        [tuple(r) for r in LADDER], "event string, first_year int, last_year int, factor int"
+    )
+    return scoring.score_events(dated_events(*_nation_inputs(spark, sf_dir)), ladder)
+
+
 @register("eligibility", o.nation("select * from elig"))
 def eligibility(spark, sf_dir):
-    return determine(b.nation_observations(spark, sf_dir), b.nation_windows(spark, sf_dir))
+    return determine(*_nation_inputs(spark, sf_dir))
+
+
+@register("eligibility_blocked_salted", o.nation("select * from elig"))
+def eligibility_blocked_salted(spark, sf_dir):
+    return determine(*_nation_inputs(spark, sf_dir), block_days=366, salts=4)
+
+
+@register("eligibility_by_supplier", o.supplier("select * from elig"))
+def eligibility_by_supplier(spark, sf_dir):
+    return determine(*_supplier_inputs(spark, sf_dir))
+
+
+# --- consumers ----------------------------------------------------------------------------------
+
+
+@register(
+    "grain_max_unit",
+    o.nation("""select source, program_year, pasture_type, fsa_county, max(drought_factor) drought_factor
+    from elig group by all"""),
+)
+def grain_max_unit(spark, sf_dir):
+    return units.reduce_grain(eligibility(spark, sf_dir), "max", "fsa_county")
+
+
+@register("grain_principal", o.nation("select * from elig where fips = fsa_county"))
+def grain_principal(spark, sf_dir):
+    return units.reduce_grain(eligibility(spark, sf_dir), "principal")
+
+
+@register(
+    "grain_principal_by_supplier",
+    o.supplier("select fips, count(*) n from elig where fips <= fsa_county group by fips"),
+)
+def grain_principal_by_supplier(spark, sf_dir):
+    """Units whose code does not exceed their office's: the principal office or one of their own."""
+    rows = eligibility_by_supplier(spark, sf_dir).where(F.col("fips") <= F.col("fsa_county"))
+    return rows.groupBy("fips").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "slice_max_attrs",
+    o.nation(
+        """select s.fips, s.drought_factor, a.name, a.region from (select fips, max(drought_factor) drought_factor
+          from elig where pasture_type = 'P1' and program_year = 2012 and source = 'all' group by fips) s
+        left join attrs a on s.fips = a.fips""",
+        f"""attrs as (select {o._code('n_nationkey')} fips, n_name as name, r_name as region
+          from nation join region on n_regionkey = r_regionkey)""",
+    ),
+)
+def slice_max_attrs(spark, sf_dir):
+    regions = b.table(spark, sf_dir, "region")
+    attrs = b.table(spark, sf_dir, "nation").join(
+        regions, F.col("n_regionkey") == F.col("r_regionkey")
+    ).select(
+        b.unit_code("n_nationkey").alias("fips"), F.col("n_name").alias("name"),
+        F.col("r_name").alias("region"),
+    )
+    return units.factor_map(eligibility(spark, sf_dir), attrs, 2012, "P1", "all")
+
+
+def _sensitivity_sql(sources):
+    tops = ", ".join(
+        f"max(drought_factor) filter (source = '{s}') as \"factor_{s}\"" for s in sources
+    )
+    names = [f'"factor_{s}"' for s in sources]
+    missing = " or ".join(f"{n} is null" for n in names)
+    return f"""select * from (select {o.WINDOW}, {tops} from elig
+      where source in ({', '.join(repr(s) for s in sources)}) group by {o.WINDOW})
+      where {missing} or greatest({', '.join(names)}) <> least({', '.join(names)})"""
+
+
+@register("source_sensitivity", o.nation(_sensitivity_sql(b.SOURCES)))
+def source_sensitivity(spark, sf_dir):
+    return units.source_sensitivity(eligibility(spark, sf_dir), b.SOURCES)
+
+
+@register("source_sensitivity_by_supplier", o.supplier(_sensitivity_sql(b.FLAGS)))
+def source_sensitivity_by_supplier(spark, sf_dir):
+    return units.source_sensitivity(eligibility_by_supplier(spark, sf_dir), b.FLAGS)
+
+
+@register(
+    "payable_capped",
+    o.nation(f"""select e.*, least(drought_factor, cast((window_end - window_start + 1) // 30 as integer)) payable_months
+    from elig e left join ngp using ({o.WINDOW})"""),
+)
+def payable_capped(spark, sf_dir):
+    windows = b.nation_windows(spark, sf_dir)
+    months = F.expr("cast((datediff(window_end, window_start) + 1) div 30 as int)")
+    caps = windows.withColumn("max_months", months)
+    return units.payable(eligibility(spark, sf_dir), caps)
+
+
+# --- invariants, on tables that break them ------------------------------------------------------
+
+
+@register(
+    "dup_keys",
+    o.nation(f"""select {o.WINDOW}, count(*) n from (select fips, fsa_county, program_year,
+      case when pasture_type = 'P3' then 'P2' else pasture_type end pasture_type from ngp)
+    group by all having count(*) > 1"""),
+)
+def dup_keys(spark, sf_dir):
+    """Windows of one pasture type filed under another."""
+    kind = F.when(F.col("pasture_type") == "P3", F.lit("P2")).otherwise(F.col("pasture_type"))
+    misfiled = b.nation_windows(spark, sf_dir).withColumn("pasture_type", kind)
+    return quality.duplicate_keys(misfiled, WINDOW_KEY)
+
+
+@register(
+    "null_rows",
+    o.nation(f"""select {o.WINDOW}, event, drought_factor from ngp left join elig using ({o.WINDOW})
+    where event is null or drought_factor is null"""),
+)
+def null_rows(spark, sf_dir):
+    """Windows next to their events: those without any have missing fields."""
+    windows = b.nation_windows(spark, sf_dir).select(*WINDOW_KEY)
+    joined = windows.join(eligibility(spark, sf_dir), list(WINDOW_KEY), "left")
+    return quality.null_rows(joined.select(*WINDOW_KEY, "event", "drought_factor"))
+
+
+@register(
+    "ladder_violations",
+    o.nation("""select * from (select * replace (program_year - 12 as program_year) from elig)
+    where (program_year <= 2011 and drought_factor not in (1, 2, 3))
+      or (program_year between 2012 and 2025 and drought_factor not in (1, 3, 4, 5))
+      or drought_factor not between 1 and 5"""),
+)
+def ladder_violations(spark, sf_dir):
+    """Events filed twelve years early, under the ladder of another era."""
+    early = eligibility(spark, sf_dir).withColumn("program_year", F.col("program_year") - 12)
+    return quality.outside_ladder(early)
+
+
+@register(
+    "date_outside_window",
+    o.nation(f"""select e.*, window_start, cast(window_end - 60 as date) window_end from elig e
+    join ngp using ({o.WINDOW}) where qualifying_date < window_start or qualifying_date > window_end - 60"""),
+)
+def date_outside_window(spark, sf_dir):
+    """Events against windows that close sixty days early."""
+    windows = b.nation_windows(spark, sf_dir).withColumn("window_end", F.date_sub("window_end", 60))
+    return quality.outside_window(eligibility(spark, sf_dir), windows)
+
+
+# --- fan-out ------------------------------------------------------------------------------------
+
+
+@register("spanning_units", o.nation("select * from off_span", o.FANOUT))
+def spanning_units(spark, sf_dir):
+    found = units.fanout_report(eligibility(spark, sf_dir))["offices_spanning"]
+    return found.orderBy(F.desc("n_fips"), "fsa_county")
+
+
+@register("split_units", o.nation("select * from unit_span", o.FANOUT))
+def split_units(spark, sf_dir):
+    found = units.fanout_report(eligibility(spark, sf_dir))["units_spanning"]
+    return found.orderBy(F.desc("n_offices"), "fips")
+
+
+@register(
+    "disagree_by_office", o.supplier("select * from off_cells where highest > lowest", o.FANOUT)
+)
+def disagree_by_office(spark, sf_dir):
+    return units.fanout_report(eligibility_by_supplier(spark, sf_dir))["offices_disagree"]
+
+
+@register("disagree_by_unit", o.nation("select * from unit_cells where highest > lowest", o.FANOUT))
+def disagree_by_unit(spark, sf_dir):
+    return units.fanout_report(eligibility(spark, sf_dir))["units_disagree"]
+
+
+_METRICS = """
+metrics as (
+  select 'n_records' metric, count(*) as value from elig
+  union all select 'first_year', min(program_year) from elig
+  union all select 'last_year', max(program_year) from elig
+  union all select 'n_pairs', count(*) from pairs
+  union all select 'n_units', count(distinct fips) from elig
+  union all select 'n_offices', count(distinct fsa_county) from elig
+  union all select 'n_types', count(distinct pasture_type) from elig
+  union all select 'n_sources', count(distinct source) from elig
+  union all select 'n_offices_spanning', count(*) from off_span
+  union all select 'n_units_split', count(*) from unit_span
+  union all select 'n_offices_disagree', count(*) from off_cells where highest > lowest
+  union all select 'n_offices_touched', count(*) from off_cells
+  union all select 'n_units_disagree', count(*) from unit_cells where highest > lowest
+  union all select 'n_units_touched', count(*) from unit_cells)"""
+
+
+@register("qa_summary", o.nation("select * from metrics", o.FANOUT, _METRICS))
+def qa_summary(spark, sf_dir):
+    return report.qa_summary(eligibility(spark, sf_dir))
+
+
+@register(
+    "csv_lines",
+    o.supplier(
+        """select '  ' || source || ',' || program_year || ',' || pasture_type || ',' || fsa_county || ','
+          || lowest || ',' || highest as line from off_cells where highest > lowest""",
+        o.FANOUT,
+    ),
+)
+def csv_lines(spark, sf_dir):
+    columns = [*units.CELL_KEY, "fsa_county", "lowest", "highest"]
+    return disagree_by_office(spark, sf_dir).select(csv_line(columns).alias("line"))
+
+
+def _fixed_lines(section: int, lines: list[str]) -> str:
+    rows = ", ".join(
+        f"({section}, {i - len(lines)}, 0, '', '', '', '', '{t}')" for i, t in enumerate(lines)
+    )
+    return f"select * from (values {rows}) v(section, rank, weight, k1, k2, k3, k4, text)"
+
+
+def _report_sql() -> str:
+    labels = ", ".join(f"('{m}', {i}, '{t}')" for i, (m, t) in enumerate(report.SUMMARY))
+    parts = [_fixed_lines(s, lines) for s, lines in report.FIXED_LINES.items()]
+    parts.append(
+        "select 1, 0, place, '', '', '', '', label || ': ' || value from metrics "
+        f"join (values {labels}) v(metric, place, label) using (metric)"
+    )
+    parts.append("select 3, 0, -n_fips, fsa_county, '', '', '', '  ' || fsa_county || ',' || n_fips from off_span")
+    parts.append("select 4, 0, -n_offices, fips, '', '', '', '  ' || fips || ',' || n_offices from unit_span")
+    for section, unit, cells in ((5, "fsa_county", "off_cells"), (6, "fips", "unit_cells")):
+        parts.append(
+            f"select {section}, 0, 0, source, cast(program_year as varchar), pasture_type, {unit}, "
+            f"'  ' || source || ',' || program_year || ',' || pasture_type || ',' || {unit} || ',' || "
+            f"lowest || ',' || highest from {cells} where highest > lowest"
+        )
+    return " union all ".join(parts)
+
+
+@register("qa_report", o.supplier(_report_sql(), o.FANOUT, _METRICS))
+def qa_report(spark, sf_dir):
+    return report.report_lines(eligibility_by_supplier(spark, sf_dir))
+
+
+# --- columnar document --------------------------------------------------------------------------
+
+
+@register("web_dictionary", o.nation("select * from dict", o.DICTIONARY))
+def web_dictionary(spark, sf_dir):
+    return dictionary.sorted_dictionary(eligibility(spark, sf_dir), columnar.DIMS)
+
+
+@register("web_dictionary_by_supplier", o.supplier("select * from dict", o.DICTIONARY))
+def web_dictionary_by_supplier(spark, sf_dir):
+    return dictionary.sorted_dictionary(eligibility_by_supplier(spark, sf_dir), columnar.DIMS)
+
+
+@register(
+    "web_codes",
+    o.nation("select * exclude (program_year, qualifying_date) from codes", o.CODES),
+)
+def web_codes(spark, sf_dir):
+    codes = columnar.record_codes(eligibility(spark, sf_dir)).select(*columnar.RECORD_FIELDS)
+    return codes.orderBy(*columnar.RECORD_ORDER)
+
+
+@register(
+    "web_roundtrip",
+    o.nation(
+        """select fips, county, type, event, source, program_year, qy, qo, qualifying_date,
+          cast(make_date(program_year + qo, 1, 1) + qy - 1 as date) decoded from codes""",
+        o.CODES,
+    ),
+)
+def web_roundtrip(spark, sf_dir):
+    codes = columnar.record_codes(eligibility(spark, sf_dir))
+    return codes.select(
+        "fips", "county", "type", "event", "source", "program_year", "qy", "qo", "qualifying_date",
+        date_decode("qy", "qo", "program_year").alias("decoded"),
+    )
+
+
+_CELL_ORDER = "order by event, qy, qo, df, source"
+
+
+@register(
+    "web_arrays",
+    o.nation(
+        "select type, county, fips, year, "
+        + ", ".join(f"string_agg({c}, ',' {_CELL_ORDER}) as {c}s" for c in ("event", "qy", "qo", "df", "source"))
+        + " from codes group by type, county, fips, year",
+        o.CODES,
+    ),
+)
+def web_arrays(spark, sf_dir):
+    cells = columnar.record_cells(columnar.record_codes(eligibility(spark, sf_dir)))
+    return cells.select(
+        *columnar.CELL,
+        *[columnar.cell_text(c).alias(f"{c}s") for c in ("event", "qy", "qo", "df", "source")],
+    )
+
+
+# Place of each record array in the document's line order.
+_ARRAY_PARTS = {f: 19 + 3 * i for i, f in enumerate(columnar.RECORD_FIELDS)}
+
+
+@register(
+    "web_document",
+    o.nation(
+        """select 0 part, 0 k0, 0 k1, 0 k2, 0 k3, '{"schema":"eligibility-columns/1","dataset":"eligibility",'
+          || '"license":"CC0-1.0","year0":' || min(program_year) || ',"years":[' || min(program_year) || ','
+          || max(program_year) || ']' as text from elig
+        union all select 17, 0, 0, 0, 0, ',"n":' || count(*) from elig
+        union all select 46, 0, 0, 0, 0, '}' union all """
+        + " union all ".join(
+            f"""select {1 + 3 * i}, 0, 0, 0, 0, ',"{field}":[' union all select {3 + 3 * i}, 0, 0, 0, 0, ']'
+            union all select {2 + 3 * i}, code, 0, 0, 0, case when code > 0 then ',' else '' end
+              || '"' || value || '"' from dict where dim = '{dim}'"""
+            for i, (field, dim) in enumerate(columnar.DICTIONARY_FIELDS)
+        )
+        + " union all "
+        + " union all ".join(
+            f"""select {p - 1}, 0, 0, 0, 0, ',"{f}":[' union all select {p + 1}, 0, 0, 0, 0, ']'
+            union all select {p}, type, county, fips, year, lead || body_{f} from bodies"""
+            for f, p in _ARRAY_PARTS.items()
+        ),
+        o.DICTIONARY, o.CODES,
+        "cells_ as (select type, county, fips, year, "
+        + ", ".join(
+            f"string_agg(codes.{f}, ',' order by codes.event, qy, qo, df, codes.source) body_{f}"
+            for f in columnar.RECORD_FIELDS
+        )
+        + " from codes group by codes.type, codes.county, codes.fips, codes.year)",
+        """bodies as (select *, case when row_number() over (order by type, county, fips, year) = 1
+          then '' else ',' end lead from cells_)""",
+    ),
+)
+def web_document(spark, sf_dir):
+    return columnar.document_lines(eligibility(spark, sf_dir))
+
+
+# --- manifests and listings ---------------------------------------------------------------------
+
+
+def _manifest(spark, sf_dir):
+    week = F.trunc(F.col("l_shipdate").cast("date"), "week").cast("string")
+    name = F.concat(F.lit("USDM_"), F.col("l_suppkey").cast("string"), F.lit("_"), week)
+    files = b.table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("source"), F.concat(name, F.lit(".parquet")).alias("file")
+    ).distinct()
+    url = F.concat(F.lit("s3a://archive/"), F.col("source"), F.lit("/"), F.col("file"))
+    return files.select("source", url.alias("url"), "file")
+
+
+def _lines_as_files(spark, sf_dir, condition):
+    week = F.trunc(F.col("l_shipdate").cast("date"), "week").cast("string")
+    key = F.concat_ws("/", F.lit("data"), F.col("l_returnflag"),
+                      F.concat_ws("_", F.col("l_suppkey").cast("string"), week))
+    rows = b.table(spark, sf_dir, "lineitem").where(condition)
+    return rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("size"))
+
+
+_BUILT = """built as (select distinct 'USDM_' || l_suppkey || '_' || cast(date_trunc('week', l_shipdate) as date)
+    || '.parquet' file from lineitem where l_linestatus = 'F')"""
+
+
+@register(
+    "manifest_pending",
+    o.files("select * from manifest where file not in (select file from built)", _BUILT),
+)
+def manifest_pending(spark, sf_dir):
+    finished = b.table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
+    week = F.trunc(F.col("l_shipdate").cast("date"), "week").cast("string")
+    built = finished.select(F.concat(
+        F.lit("USDM_"), F.col("l_suppkey").cast("string"), F.lit("_"), week, F.lit(".parquet")
+    ).alias("file")).distinct()
+    return listings.pending(_manifest(spark, sf_dir), built)
+
+
+@register(
+    "completeness_gate",
+    o.files("select file, count(distinct source) = 3 as posted from manifest group by file"),
+)
+def completeness_gate(spark, sf_dir):
+    return listings.completeness_gate(_manifest(spark, sf_dir), required_sources=b.FLAGS)
+
+
+@register(
+    "completeness_gate_listed",
+    o.files("""select file, bool_and(url in (select url from manifest where file in (
+      select file from built))) as posted from manifest group by file""", _BUILT),
+)
+def completeness_gate_listed(spark, sf_dir):
+    manifest = _manifest(spark, sf_dir)
+    pending_urls = manifest_pending(spark, sf_dir).select("url")
+    there = manifest.select("url").join(pending_urls, "url", "left_anti")
+    return listings.completeness_gate(manifest, posted=there)
+
+
+@register("manifest_nested", o.files("select file, source, url from manifest"))
+def manifest_nested(spark, sf_dir):
+    return listings.unnest(listings.nest_by_source(_manifest(spark, sf_dir), b.FLAGS))
+
+
+_LISTED = """{0} as (select 'data/' || l_returnflag || '/' || l_suppkey || '_'
+    || cast(date_trunc('week', l_shipdate) as date) as key, count(*) as size from lineitem where {1} group by 1)"""
+_RECONCILED = """select * from (select coalesce(w.key, h.key) as key,
+    case when h.key is null then 'missing' when w.key is null then '{0}'
+      when w.size <> h.size then 'size mismatch' end as problem,
+    w.size as expected_size, h.size as actual_size
+  from want w full join have h on w.key = h.key) where problem is not null{1}"""
+
+
+def _listing_pair(spark, sf_dir):
+    want = _lines_as_files(spark, sf_dir, F.col("l_tax") > 0)
+    return want, _lines_as_files(spark, sf_dir, F.col("l_discount") > 0)
+
+
+_LISTING_SQL = (_LISTED.format("want", "l_tax > 0"), _LISTED.format("have", "l_discount > 0"))
+
+
+@register("listing_reconcile", o._with(*_LISTING_SQL, final=_RECONCILED.format("unexpected", "")))
+def listing_reconcile(spark, sf_dir):
+    return listings.reconcile(*_listing_pair(spark, sf_dir))
+
+
+@register(
+    "listing_reconcile_subset",
+    o._with(*_LISTING_SQL, final=_RECONCILED.format("unexpected", " and problem <> 'unexpected'")),
+)
+def listing_reconcile_subset(spark, sf_dir):
+    return listings.reconcile(*_listing_pair(spark, sf_dir), exact=False)
+
+
+@register(
+    "url_manifest",
+    """with listing as (select 'pages/' || regexp_replace(url, '^[a-z]+://', '') as key from pages
+      union all select 'pages/_cache/' || regexp_replace(url, '^[a-z]+://', '') from pages)
+    select key, 'https://files.example.org/' || replace(replace(replace(replace(replace(key,
+      '%', '%25'), ' ', '%20'), '#', '%23'), '?', '%3F'), '+', '%2B') as url
+    from listing where not regexp_matches(key, '(^|/)_')""",
+)
+def url_manifest(spark, sf_dir):
+    path = F.regexp_replace("url", "^[a-z]+://", "")
+    pages = b.table(spark, sf_dir, "pages")
+    published = pages.select(F.concat(F.lit("pages/"), path).alias("key"))
+    cached = pages.select(F.concat(F.lit("pages/_cache/"), path).alias("key"))
+    return listings.url_manifest(
+        published.unionByName(cached), "https://files.example.org", "pages"
+    )

@@ -1,0 +1,65 @@
+"""Incremental weekly build: what is listed, complete and not built yet becomes one partition a week."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from typing import NamedTuple
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dryspell.lineage import materialize
+from dryspell.operators.aggregate import weekly_wide
+from dryspell.operators.listings import completeness_gate, pending
+from dryspell.operators.quality import assert_unique
+from dryspell.sinks.tables import write_weeks
+from dryspell.sources.manifests import raw_observations, read_manifest_files
+
+LEDGER_SCHEMA = T.StructType([T.StructField("file", T.StringType())])
+
+
+class Build(NamedTuple):
+    built: DataFrame
+    skipped: DataFrame
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Files built so far; a missing ledger is an empty one."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+
+
+def ingest(
+    spark: SparkSession,
+    manifest: DataFrame,
+    sources: Sequence[str],
+    weekly_dir: str,
+    ledger_dir: str,
+    required_sources: Sequence[str] | None = None,
+    posted: DataFrame | None = None,
+) -> Build:
+    """Build the pending weeks and return which files were built and which were skipped as incomplete.
+
+    The ledger is appended after the weeks are committed. A run that dies in between builds the same
+    weeks again and replaces their partitions, so built weeks are never half there.
+    """
+    assert_unique(manifest, ["source", "file"], "weekly manifest")
+    todo = pending(manifest, read_ledger(spark, ledger_dir))
+    gate = completeness_gate(todo, required_sources, posted)
+    # One row per file of the todo list; it is used three times and must not change in between.
+    gate = materialize(gate)
+    skipped = gate.where(~F.col("posted")).select("file")
+    ready = gate.where("posted").select("file")
+    if ready.isEmpty():
+        return Build(ready, skipped)
+    files = todo.join(ready, "file", "left_semi")
+    wide = weekly_wide(raw_observations(read_manifest_files(files)), sources)
+    write_weeks(wide, weekly_dir)
+    ready.write.mode("append").parquet(ledger_dir)
+    return Build(ready, skipped)

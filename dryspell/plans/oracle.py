@@ -7,7 +7,7 @@ WINDOW = "fips, fsa_county, program_year, pasture_type"
 
 
 def _code(x: str) -> str:
-    return f"lpad(cast({x} as varchar), greatest(length(cast({x} as varchar)), 5), '0')"
+    return f"lpad(cast({x} as varchar), cast(greatest(length(cast({x} as varchar)), 5) as integer), '0')"
 
 
 def _shift(n: str) -> str:
@@ -18,13 +18,13 @@ NATION_OBS = f"""
 l as (select s_nationkey n, src, cast(l_shipdate as date) d, cast(l_quantity as bigint) q
   from lineitem join supplier on l_suppkey = s_suppkey, (values ('all'),('A'),('N'),('R')) v(src)
   where src = 'all' or src = l_returnflag),
-m as (select n, src, date_trunc('quarter', d) mo, sum(q) sq from l group by all),
+m as (select n, src, cast(date_trunc('quarter', d) as date) mo, sum(q) sq from l group by all),
 mc as (select n, src, mo, ntile(6) over (partition by src order by sq, n, mo) - 1 k from m),
-w as (select n, src, date_trunc('week', d) wk, max(q) mq from l group by all),
+w as (select n, src, cast(date_trunc('week', d) as date) wk, max(q) mq from l group by all),
 obs as (select {_code('w.n')} fips, w.src source,
     cast(w.wk + {_shift('w.n')} as date) usdm_date,
     cast(case when mq < case w.src when 'all' then 20 else 8 end then 0 else mc.k end as integer) drought_class
-  from w join mc on w.n = mc.n and w.src = mc.src and mc.mo = date_trunc('quarter', w.wk))"""
+  from w join mc on w.n = mc.n and w.src = mc.src and mc.mo = cast(date_trunc('quarter', w.wk) as date))"""
 
 RAW_CLASS = "case when l_quantity = 50 then null else cast((cast(l_quantity as bigint) - 1) // 9 as integer) end"
 
@@ -35,7 +35,7 @@ raw_obs as (select {_code('s_nationkey')} fips, l_returnflag source,
 
 SUPPLIER_OBS = f"""
 raw_obs as (select {_code('l_suppkey')} fips, l_returnflag source,
-    cast(date_trunc('week', cast(l_shipdate as date)) + {_shift('l_suppkey')} as date) usdm_date,
+    cast(cast(date_trunc('week', l_shipdate) as date) + {_shift('(l_suppkey // 2)')} as date) usdm_date,
     {RAW_CLASS} drought_class
   from lineitem),
 obs as (select * from (select fips, source, usdm_date,
@@ -43,28 +43,28 @@ obs as (select * from (select fips, source, usdm_date,
   from raw_obs group by all) where drought_class is not null)"""
 
 
-def _windows(units: str, key: str, split: int) -> str:
+def _windows(units: str, key: str, split: int, era: str) -> str:
     return f"""
 xwalk_n as (select distinct office, n from (select {key} // 2 office, {key} n from {units}
   union all select {split} + {key}, {key} from {units} where {key} % 5 = 0)),
 xwalk as (select {_code('office')} fsa_county, {_code('n')} fips from xwalk_n),
-{_window_rows('ngp', 'xwalk_n')}"""
+{_window_rows('ngp', 'xwalk_n', era)}"""
 
 
-def _window_rows(name: str, units: str) -> str:
+def _window_rows(name: str, units: str, era: str = "x.n") -> str:
     return f"""
 {name} as (select {_code('x.n')} fips, {_code('x.office')} fsa_county,
-    cast(y + case when x.n % 2 = 0 then 13 else 25 end as integer) program_year, 'P' || p pasture_type,
+    cast(y + case when {era} % 2 = 0 then 13 else 25 end as integer) program_year, 'P' || p pasture_type,
     cast(make_date(y - case when p = 0 then 1 else 0 end,
       case p when 0 then 11 when 1 then 2 when 2 then 4 else 5 end, 1 + cast(x.office % 20 as integer))
-      + {_shift('x.n')} as date) window_start,
+      + {_shift(era)} as date) window_start,
     cast(make_date(y, case p when 0 then 4 when 1 then 8 when 2 then 11 else 7 end,
-      1 + cast(x.office % 20 as integer)) + {_shift('x.n')} as date) window_end
+      1 + cast(x.office % 20 as integer)) + {_shift(era)} as date) window_end
   from {units} x, (select unnest(range(1995, 2002))::integer y), (select unnest(range(0, 4))::integer p))"""
 
 
-NATION_WINDOWS = _windows("nation", "n_nationkey", 100)
-SUPPLIER_WINDOWS = _windows("supplier", "s_suppkey", 10**12)
+NATION_WINDOWS = _windows("nation", "n_nationkey", 100, "x.n")
+SUPPLIER_WINDOWS = _windows("supplier", "s_suppkey", 10**12, "(x.n // 2)")
 
 RUNS = """
 c as (select fips, source, usdm_date, case when drought_class < 3 then 0 else drought_class end drought_class from obs),
@@ -134,3 +134,51 @@ def nation(final: str, *extra: str) -> str:
 
 def supplier(final: str, *extra: str) -> str:
     return _with(SUPPLIER_OBS, SUPPLIER_WINDOWS, RUNS, CLIP, TIERS, ELIG, *extra, final=final)
+
+
+def raw(final: str, *extra: str) -> str:
+    return _with(NATION_RAW, *extra, final=final)
+
+
+# Weekly files as a manifest would list them: one per flag, supplier and week.
+FILES = f"""
+files as (select distinct l_returnflag source,
+    'USDM_' || l_suppkey || '_' || cast(date_trunc('week', l_shipdate) as date) || '.parquet' file
+  from lineitem),
+manifest as (select source, 's3a://archive/' || source || '/' || file url, file from files)"""
+
+
+def files(final: str, *extra: str) -> str:
+    return _with(FILES, *extra, final=final)
+
+
+FANOUT = """
+pairs as (select distinct fips, fsa_county from elig),
+cells as (select source, program_year, pasture_type, fips, fsa_county, max(drought_factor) drought_factor
+  from elig group by all),
+off_span as (select fsa_county, count(*) n_fips from pairs group by fsa_county having count(*) > 1),
+unit_span as (select fips, count(*) n_offices from pairs group by fips having count(*) > 1),
+off_cells as (select source, program_year, pasture_type, fsa_county, min(drought_factor) lowest,
+    max(drought_factor) highest from cells where fsa_county in (select fsa_county from off_span) group by all),
+unit_cells as (select source, program_year, pasture_type, fips, min(drought_factor) lowest,
+    max(drought_factor) highest from cells where fips in (select fips from unit_span) group by all)"""
+
+CODES = """
+codes as (select
+    cast(dense_rank() over (order by pasture_type) - 1 as integer) as type,
+    cast(dense_rank() over (order by fsa_county) - 1 as integer) as county,
+    cast(dense_rank() over (order by fips) - 1 as integer) as fips,
+    cast(program_year - min(program_year) over () as integer) as year,
+    cast(dense_rank() over (order by event) - 1 as integer) as event,
+    cast(dayofyear(qualifying_date) as integer) qy,
+    cast(year(qualifying_date) - program_year as integer) qo,
+    drought_factor df,
+    cast(dense_rank() over (order by source) - 1 as integer) as source,
+    program_year, qualifying_date
+  from elig)"""
+
+DICTIONARY = """
+dict as (select dim, value, cast(row_number() over (partition by dim order by value) - 1 as integer) code from (
+  select 'type' dim, pasture_type as value from elig union select 'county', fsa_county from elig
+  union select 'fips', fips from elig union select 'event', event from elig
+  union select 'source', source from elig))"""

@@ -1,0 +1,26 @@
+"""Validation and export of a determination."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from dryspell.lineage import materialize
+from dryspell.operators.quality import validate_result
+from dryspell.sinks.columnar import write_document
+from dryspell.sinks.report import write_report
+from dryspell.sinks.tables import write_result_csv, write_result_parquet
+
+
+def publish(eligibility: DataFrame, windows: DataFrame, out_dir: str, **header) -> DataFrame:
+    """Validate, then write Parquet, CSV, the columnar document and the report under ``out_dir``.
+
+    The result is computed once into the checkpoint folder and everything is written from there.
+    Nothing is written when an invariant fails. Returns the validated result.
+    """
+    result = materialize(eligibility)
+    validate_result(result, windows)
+    write_report(result, f"{out_dir}/report")
+    write_result_csv(result, f"{out_dir}/eligibility_csv")
+    write_result_parquet(result, f"{out_dir}/eligibility_parquet")
+    write_document(result, f"{out_dir}/eligibility_json", **header)
+    return result
