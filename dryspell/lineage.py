@@ -3,21 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir():
-        return
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one the cluster names, a fresh one in local mode."""
+    sc = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or sc.getCheckpointDir()
+    if named is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        named = sc.getCheckpointDir()
+    return named
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder; lost executors cost no recomputation."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and read it back.
+
+    The rows are computed once and outlive lost executors. Read back they have a known size, by which
+    Spark broadcasts small tables and joins large ones sort-merge.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

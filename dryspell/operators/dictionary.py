@@ -42,8 +42,8 @@ def sorted_dictionary(df: DataFrame, dims: Mapping[str, str], buckets: int = 256
 
 
 def encode(df: DataFrame, dictionary: DataFrame, dims: Mapping[str, str]) -> DataFrame:
-    """Add one code column per dictionary, named after it. Spark picks each join by size: a small
-    dictionary is broadcast at run time, a large one joins sort-merge with skew splitting."""
+    """Add one code column per dictionary, named after it. ``dictionary`` is materialized, so Spark
+    knows its size: small ones are broadcast, large ones joined sort-merge with hot values split."""
     for dim, column in dims.items():
         entry = dictionary.where(F.col("dim") == dim).select(
             F.col("value").alias(f"_{dim}"), F.col("code").alias(dim)

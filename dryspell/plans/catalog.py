@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dryspell.functions.dates import date_decode
 from dryspell.functions.levels import level_code, level_label
 from dryspell.functions.text import csv_line
+from dryspell.lineage import materialize
 from dryspell.model import BELOW_D2, D2, GROUP_KEY, LADDER, WINDOW_KEY
 from dryspell.operators import aggregate, dictionary, listings, quality, scoring, tiers, units
 from dryspell.operators.runs import run_length_encode
@@ -486,7 +487,7 @@ metrics as (
 
 @register("qa_summary", o.nation("select * from metrics", o.FANOUT, _METRICS))
 def qa_summary(spark, sf_dir):
-    return report.qa_summary(eligibility(spark, sf_dir))
+    return report.qa_summary(materialize(eligibility(spark, sf_dir)))
 
 
 @register(
@@ -529,7 +530,7 @@ def _report_sql() -> str:
 
 @register("qa_report", o.supplier(_report_sql(), o.FANOUT, _METRICS))
 def qa_report(spark, sf_dir):
-    return report.report_lines(eligibility_by_supplier(spark, sf_dir))
+    return report.report_lines(materialize(eligibility_by_supplier(spark, sf_dir)))
 
 
 # --- columnar document --------------------------------------------------------------------------
@@ -537,12 +538,20 @@ def qa_report(spark, sf_dir):
 
 @register("web_dictionary", o.nation("select * from dict", o.DICTIONARY))
 def web_dictionary(spark, sf_dir):
-    return dictionary.sorted_dictionary(eligibility(spark, sf_dir), columnar.DIMS)
+    return dictionary.sorted_dictionary(materialize(eligibility(spark, sf_dir)), columnar.DIMS)
 
 
 @register("web_dictionary_by_supplier", o.supplier("select * from dict", o.DICTIONARY))
 def web_dictionary_by_supplier(spark, sf_dir):
-    return dictionary.sorted_dictionary(eligibility_by_supplier(spark, sf_dir), columnar.DIMS)
+    result = materialize(eligibility_by_supplier(spark, sf_dir))
+    return dictionary.sorted_dictionary(result, columnar.DIMS)
+
+
+def _codes(spark, sf_dir):
+    """The result, its dictionary and its codes; the first two are materialized."""
+    result = materialize(eligibility(spark, sf_dir))
+    entries = columnar.record_dictionary(result)
+    return result, entries, columnar.record_codes(result, entries)
 
 
 @register(
@@ -550,7 +559,7 @@ def web_dictionary_by_supplier(spark, sf_dir):
     o.nation("select * exclude (program_year, qualifying_date) from codes", o.CODES),
 )
 def web_codes(spark, sf_dir):
-    codes = columnar.record_codes(eligibility(spark, sf_dir)).select(*columnar.RECORD_FIELDS)
+    codes = _codes(spark, sf_dir)[2].select(*columnar.RECORD_FIELDS)
     return codes.orderBy(*columnar.RECORD_ORDER)
 
 
@@ -563,7 +572,7 @@ def web_codes(spark, sf_dir):
     ),
 )
 def web_roundtrip(spark, sf_dir):
-    codes = columnar.record_codes(eligibility(spark, sf_dir))
+    codes = _codes(spark, sf_dir)[2]
     return codes.select(
         "fips", "county", "type", "event", "source", "program_year", "qy", "qo", "qualifying_date",
         date_decode("qy", "qo", "program_year").alias("decoded"),
@@ -583,7 +592,7 @@ _CELL_ORDER = "order by event, qy, qo, df, source"
     ),
 )
 def web_arrays(spark, sf_dir):
-    cells = columnar.record_cells(columnar.record_codes(eligibility(spark, sf_dir)))
+    cells = columnar.record_cells(_codes(spark, sf_dir)[2])
     return cells.select(
         *columnar.CELL,
         *[columnar.cell_text(c).alias(f"{c}s") for c in ("event", "qy", "qo", "df", "source")],
@@ -626,7 +635,8 @@ _ARRAY_PARTS = {f: 19 + 3 * i for i, f in enumerate(columnar.RECORD_FIELDS)}
     ),
 )
 def web_document(spark, sf_dir):
-    return columnar.document_lines(eligibility(spark, sf_dir))
+    result, entries, codes = _codes(spark, sf_dir)
+    return columnar.document_lines(result, entries, materialize(columnar.record_cells(codes)))
 
 
 # --- manifests and listings ---------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.functions.dates import date_code, date_decode
+from dryspell.lineage import materialize
 from dryspell.operators.dictionary import encode, sorted_dictionary
 from dryspell.operators.quality import assert_empty, value_mismatch
 
@@ -42,10 +43,12 @@ def first_year(eligibility: DataFrame) -> Column:
     return eligibility.agg(F.min("program_year")).scalar()
 
 
-def record_codes(eligibility: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+def record_dictionary(eligibility: DataFrame) -> DataFrame:
+    return materialize(sorted_dictionary(eligibility, DIMS))
+
+
+def record_codes(eligibility: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Integer-coded records, with ``qualifying_date`` and ``program_year`` kept beside the codes."""
-    if dictionary is None:
-        dictionary = sorted_dictionary(eligibility, DIMS)
     qy, qo = date_code("qualifying_date", "program_year")
     year = F.col("program_year") - first_year(eligibility)
     named = eligibility.select(
@@ -94,14 +97,14 @@ def _line(part: int, text: Column, keys: list[Column]) -> list[Column]:
 
 def document_lines(
     eligibility: DataFrame,
+    dictionary: DataFrame,
+    cells: DataFrame,
     schema: str = SCHEMA_NAME,
     dataset: str = "eligibility",
     license_name: str = "CC0-1.0",
 ) -> DataFrame:
-    """``part, k0..k3, text``: sorted by all but the text, the texts are the document."""
-    dictionary = sorted_dictionary(eligibility, DIMS)
-    codes = record_codes(eligibility, dictionary)
-    cells = record_cells(codes)
+    """``part, k0..k3, text``: sorted by all but the text, the texts are the document. All three
+    inputs are materialized."""
     totals = eligibility.agg(
         F.min("program_year").alias("lo"), F.max("program_year").alias("hi"),
         F.count(F.lit(1)).alias("n"),
@@ -146,8 +149,10 @@ def document_lines(
 
 
 def write_document(eligibility: DataFrame, path: str, **header) -> None:
-    """Check that the codes lose nothing, then write the document."""
-    assert_empty(round_trip_failures(record_codes(eligibility)), "dates lost by the date codes")
-    lines = document_lines(eligibility, **header)
+    """Check that the codes lose nothing, then write the document. ``eligibility`` is materialized."""
+    dictionary = record_dictionary(eligibility)
+    codes = record_codes(eligibility, dictionary)
+    assert_empty(round_trip_failures(codes), "dates lost by the date codes")
+    lines = document_lines(eligibility, dictionary, materialize(record_cells(codes)), **header)
     keys = [f"k{i}" for i in range(len(CELL))]
     lines.orderBy("part", *keys).select("text").write.mode("overwrite").text(path)
