@@ -25,8 +25,10 @@ def sorted_dictionary(df: DataFrame, dims: Mapping[str, str], buckets: int = 256
         values.orderBy(F.xxhash64("dim", "value"), "dim", "value").limit(buckets - 1)
         .agg(F.array_sort(F.collect_list(item)).alias("splits"))
     )
-    # Place of the item among the split points.
-    bucket = F.array_position(F.sort_array(F.array_append(splits.scalar(), item)), item)
+    # Place of the item among the split points. Never null, so that no null check on it is pushed
+    # down to the rows under the distinct.
+    place = F.array_position(F.sort_array(F.array_append(splits.scalar(), item)), item)
+    bucket = F.coalesce(place, F.lit(0).cast("bigint"))
     placed = values.withColumn("_bucket", bucket)
     by_dim = Window.partitionBy("dim").orderBy("_bucket")
     offsets = placed.groupBy("dim", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(

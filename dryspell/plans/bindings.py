@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dryspell.lineage import materialize
+
 SOURCES = ("all", "A", "N", "R")
 FLAGS = ("A", "N", "R")
 
@@ -55,10 +57,11 @@ def nation_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n")),
         "s_suppkey",
     )
-    # Line items leave the plan here, combined map-side to a row per nation, flag, week and quarter.
-    weekly = lines.groupBy("n", "flag", "week", "quarter").agg(
+    # Combined map-side to a row per nation, flag, week and quarter. Written out because it is used
+    # twice below: the line items are read once.
+    weekly = materialize(lines.groupBy("n", "flag", "week", "quarter").agg(
         F.sum("q").alias("q_sum"), F.max("q").alias("q_max")
-    )
+    ))
     both = weekly.withColumn("source", F.explode(F.array(F.lit("all"), F.col("flag"))))
     quarters = both.groupBy("n", "source", "quarter").agg(F.sum("q_sum").alias("q_sum"))
     # At most nations x quarters rows per source.
@@ -175,5 +178,7 @@ def supplier_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written out because Spark's size estimate knows nothing of the rows made by the generators: the
+    overlap join is to choose by the size this table really has."""
     crosswalk = _crosswalk(_suppliers(spark, sf_dir), SUPPLIER_SPLIT)
-    return _windows(crosswalk, SUPPLIER_ERA.format("n"))
+    return materialize(_windows(crosswalk, SUPPLIER_ERA.format("n")))
