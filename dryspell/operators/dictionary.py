@@ -7,39 +7,42 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dryspell.lineage import materialize
 
-def sorted_dictionary(df: DataFrame, dims: Mapping[str, str], buckets: int = 256) -> DataFrame:
+# monotonically_increasing_id keeps the row number of a partition in its lower bits.
+ID_ROW_BITS = 33
+
+
+def sorted_dictionary(df: DataFrame, dims: Mapping[str, str]) -> DataFrame:
     """``dim, value, code``: the distinct values of each column in byte order, coded from 0.
 
-    ``dims`` maps a dictionary name to its column. Values are ranked without bringing a whole
-    dictionary into one task: the ``buckets - 1`` values of lowest hash serve as split points, values
-    are numbered inside each bucket, and the bucket sizes give the offsets. Split points depend on the
-    values alone, so a recomputed task sees the same buckets.
+    ``dims`` maps a dictionary name to its column. No dictionary passes through one task whole: the
+    values are range-partitioned and sorted, each row keeps its partition and its place in it, and
+    the partition sizes give the offsets. The sorted values are written out before they are counted,
+    so a task that runs again cannot place them differently.
     """
     pairs = F.array(*[
         F.struct(F.lit(d).alias("dim"), F.col(f"`{c}`").alias("value")) for d, c in dims.items()
     ])
     values = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
-    item = F.struct("dim", "value")
-    splits = (
-        values.orderBy(F.xxhash64("dim", "value"), "dim", "value").limit(buckets - 1)
-        .agg(F.array_sort(F.collect_list(item)).alias("splits"))
+    placed = materialize(
+        values.repartitionByRange("dim", "value").sortWithinPartitions("dim", "value")
+        .withColumn("_id", F.monotonically_increasing_id())
+    ).select(
+        "dim", "value",
+        F.shiftright("_id", ID_ROW_BITS).alias("_part"),
+        F.col("_id").bitwiseAND(F.lit((1 << ID_ROW_BITS) - 1)).alias("_place"),
     )
-    # Place of the item among the split points. Never null, so that no null check on it is pushed
-    # down to the rows under the distinct.
-    place = F.array_position(F.sort_array(F.array_append(splits.scalar(), item)), item)
-    bucket = F.coalesce(place, F.lit(0).cast("bigint"))
-    placed = values.withColumn("_bucket", bucket)
-    by_dim = Window.partitionBy("dim").orderBy("_bucket")
-    offsets = placed.groupBy("dim", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
-        "dim", "_bucket", (F.sum("_n").over(by_dim) - F.col("_n")).alias("_offset")
+    by_dim = Window.partitionBy("dim").orderBy("_part")
+    pieces = placed.groupBy("dim", "_part").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
     )
-    in_bucket = Window.partitionBy("dim", "_bucket").orderBy("value")
-    # At most buckets + len(dims) offset rows.
-    return placed.withColumn("_rank", F.row_number().over(in_bucket)).join(
-        F.broadcast(offsets), ["dim", "_bucket"]
-    ).select(
-        "dim", "value", (F.col("_offset") + F.col("_rank") - 1).cast("int").alias("code")
+    offsets = pieces.select(
+        "dim", "_part", (F.sum("_n").over(by_dim) - F.col("_n") - F.col("_first")).alias("_offset")
+    )
+    # One offset row per partition and dictionary.
+    return placed.join(F.broadcast(offsets), ["dim", "_part"]).select(
+        "dim", "value", (F.col("_offset") + F.col("_place")).cast("int").alias("code")
     )
 
 
