@@ -112,6 +112,7 @@ def event_rows(dated: DataFrame, keys: Sequence[str] = GROUP_KEY) -> DataFrame:
         for rank, name in enumerate(EVENT_ORDER)
     ])
     return (
-        dated.select(*keys, F.col("clip_start"), F.inline(options))
+        dated.where(F.coalesce(*EVENT_ORDER).isNotNull())
+        .select(*keys, F.col("clip_start"), F.inline(options))
         .where(F.col("qualifying_date").isNotNull())
     )

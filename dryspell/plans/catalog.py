@@ -302,6 +302,11 @@ def eligibility_blocked_salted(spark, sf_dir):
     return determine(*_nation_inputs(spark, sf_dir), block_days=366, salts=4)
 
 
+@register("eligibility_joined_by_source", o.nation("select * from elig"))
+def eligibility_joined_by_source(spark, sf_dir):
+    return determine(*_nation_inputs(spark, sf_dir), sources=b.SOURCES)
+
+
 @register("eligibility_by_supplier", o.supplier("select * from elig"))
 def eligibility_by_supplier(spark, sf_dir):
     return determine(*_supplier_inputs(spark, sf_dir))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,22 +22,32 @@ def drought_runs(observations: DataFrame, block_days: int | None = None) -> Data
 
 
 def clipped_runs(
-    windows: DataFrame, runs: DataFrame, bin_days: int | None = 366, salts: int = 1
+    windows: DataFrame,
+    runs: DataFrame,
+    bin_days: int | None = 366,
+    salts: int = 1,
+    sources: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Runs of each unit cut to each of its grazing windows."""
-    spans = runs.drop("run_weeks")
-    return clip(interval_join(windows, spans, ["fips"], bin_days=bin_days, salts=salts))
+    """Runs of each unit cut to each of its grazing windows.
+
+    With ``sources`` the windows are repeated per source and the join is on unit and source, which
+    keeps to the sources given. The keys then cover the runs' own partitioning: where
+    ``spark.sql.requireAllClusterKeysForCoPartition`` is off, Spark shuffles the windows alone and
+    runs, pairs and all later windows stay where the run encoding put them.
+    """
+    spans, on = runs.drop("run_weeks"), ["fips"]
+    if sources:
+        per_source = F.explode(F.array(*[F.lit(s) for s in sources]))
+        windows, on = windows.withColumn("source", per_source), ["fips", "source"]
+    return clip(interval_join(windows, spans, on, bin_days=bin_days, salts=salts))
 
 
 def dated_events(
-    observations: DataFrame,
-    windows: DataFrame,
-    block_days: int | None = None,
-    bin_days: int | None = 366,
-    salts: int = 1,
+    observations: DataFrame, windows: DataFrame, block_days: int | None = None, **join
 ) -> DataFrame:
+    """Every dated tier; ``join`` holds the options of :func:`clipped_runs`."""
     runs = drought_runs(observations, block_days)
-    return event_rows(date_tiers(clipped_runs(windows, runs, bin_days, salts)))
+    return event_rows(date_tiers(clipped_runs(windows, runs, **join)))
 
 
 def determine(
@@ -45,15 +55,15 @@ def determine(
     windows: DataFrame,
     ladder: Iterable[Rung] | DataFrame = LADDER,
     block_days: int | None = None,
-    bin_days: int | None = 366,
-    salts: int = 1,
+    **join,
 ) -> DataFrame:
     """Eligibility events that raise the factor of their window.
 
     ``observations``: ``fips, source, usdm_date, drought_class`` (one row per unit, source and week).
     ``windows``: ``fips, fsa_county, program_year, pasture_type, window_start, window_end``.
+    ``join``: options of :func:`clipped_runs`.
     """
-    events = dated_events(observations, windows, block_days, bin_days, salts)
+    events = dated_events(observations, windows, block_days, **join)
     kept = escalating(score_events(events, ladder))
     return kept.select(
         *[c for c in RESULT_COLUMNS if c != "drought_factor"],

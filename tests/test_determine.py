@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import random
 from datetime import date, timedelta
 
@@ -118,10 +120,33 @@ def test_variants_agree(spark):
     plain = sorted(determine(observations, windows, bin_days=None).collect())
     for options in (
         {}, {"block_days": 30}, {"block_days": 366, "salts": 5}, {"bin_days": 31}, {"salts": 3},
+        {"sources": ["a", "b"]}, {"sources": ["b", "a"], "salts": 2, "bin_days": None},
     ):
         assert sorted(determine(observations, windows, **options).collect()) == plain
 
 
+def test_join_by_source_needs_one_shuffle_of_the_observations(spark):
+    observations, windows = as_frames(spark, *random_tables(7))
+    keys = {
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    plain = sorted(determine(observations, windows).collect())
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        df = determine(observations, windows, sources=["a", "b"])
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            df.explain()
+        shuffles = plan.getvalue().count("Exchange hashpartitioning")
+        assert sorted(df.collect()) == plain
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert shuffles == 2
+
+
 def test_hot_unit(spark):
     """One unit with most windows and observations gives the same rows under every strategy."""
     weeks, windows = random_tables(11)

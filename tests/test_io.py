@@ -16,6 +16,7 @@ from dryspell.model import CROSSWALK_SCHEMA, GRAZING_SCHEMA, RAW_OBSERVATION_SCH
 from dryspell.operators import listings, units
 from dryspell.operators.aggregate import long_from_wide
 from dryspell.plans import bindings
+from dryspell.plans.archive import rebuild
 from dryspell.sinks import columnar
 from dryspell.sinks.manifests import write_file_manifest, write_url_manifest
 from dryspell.sinks.tables import write_combined, write_weeks
@@ -274,3 +275,36 @@ def test_inventory_and_manifests(spark, tmp_path):
         "https://x.example/pre/b.txt", "https://x.example/pre/b.txt",
         "https://x.example/pre/sub%20dir/a%231.txt",
     ]
+
+
+def test_archive_from_files(spark, tmp_path):
+    root, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    paths = {}
+    for source in SOURCES:
+        urls = [
+            weekly_file(spark, root, source, tuesday(i), [("01", "001", "D2"), ("01", "001", "D0"),
+                                                         ("01", "003", "D3"), ("01", "009", "D4")])
+            for i in range(9)
+        ]
+        paths[source] = str(tmp_path / f"{source}.txt")
+        with open(paths[source], "w") as f:
+            f.write("\n".join(urls))
+    pairs = [("01001", "01001"), ("01001", "01003")]
+    spark.createDataFrame(pairs, CROSSWALK_SCHEMA).write.parquet(str(tmp_path / "x"))
+    grazing = [(2024, "01", "001", "p", date(2024, 1, 9), date(2024, 12, 1))]
+    spark.createDataFrame(grazing, GRAZING_SCHEMA).write.parquet(str(tmp_path / "g"))
+    result = rebuild(spark, paths, str(tmp_path / "x"), str(tmp_path / "g"), out,
+                     "https://x.example", "pre")
+    expected = {
+        (fips, "01001", source, 2024, "p", event, day, factor)
+        for source in SOURCES
+        for fips, event, day, factor in [
+            ("01001", "D2", date(2024, 3, 4), 1), ("01003", "D3a", date(2024, 1, 9), 3),
+            ("01003", "D3b", date(2024, 2, 5), 4),
+        ]
+    }
+    assert {tuple(r) for r in result.collect()} == expected
+    assert json.loads("\n".join(lines_of(f"{out}/result/eligibility_json")))["n"] == 6
+    listed = lines_of(f"{out}/url_manifest")
+    assert len(listed) == 9
+    assert listed[0].startswith("https://x.example/pre/data/weekly/usdm_date=2024-01-02/part-")
