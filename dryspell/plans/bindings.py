@@ -24,6 +24,9 @@ SHIFT_YEARS = (13, 25)
 WINDOW_SHAPES = ((0, 1, 11, 4), (1, 0, 2, 8), (2, 0, 4, 11), (3, 0, 5, 7))
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 
+# Offsets of the codes of shared and of own offices.
+NATION_OFFICES = (0, 100)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -82,11 +85,11 @@ def nation_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _crosswalk(units: DataFrame, split_offset) -> DataFrame:
+def _crosswalk(units: DataFrame, shared_offset: int, own_offset: int) -> DataFrame:
     """Offices cover two units each; every fifth unit also has an office of its own."""
     n = F.col("n")
-    shared = units.select(F.expr("n div 2").alias("office"), n)
-    own = units.where(n % 5 == 0).select((n + split_offset).cast("bigint").alias("office"), n)
+    shared = units.select((F.expr("n div 2") + shared_offset).cast("bigint").alias("office"), n)
+    own = units.where(n % 5 == 0).select((n + own_offset).cast("bigint").alias("office"), n)
     return shared.unionByName(own).distinct()
 
 
@@ -127,16 +130,16 @@ def _suppliers(spark, sf_dir) -> DataFrame:
 
 
 def nation_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coded(_crosswalk(_nations(spark, sf_dir), 100))
+    return _coded(_crosswalk(_nations(spark, sf_dir), *NATION_OFFICES))
 
 
 def nation_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _windows(_crosswalk(_nations(spark, sf_dir), 100))
+    return _windows(_crosswalk(_nations(spark, sf_dir), *NATION_OFFICES))
 
 
 def nation_offices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows as the offices publish them: one per office, year and pasture type."""
-    offices = _crosswalk(_nations(spark, sf_dir), 100).select("office").distinct()
+    offices = _crosswalk(_nations(spark, sf_dir), *NATION_OFFICES).select("office").distinct()
     return _windows(offices.withColumn("n", F.col("office"))).drop("fips")
 
 
@@ -169,16 +172,16 @@ def supplier_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Above every shared office number of a supplier table of any size in use.
-SUPPLIER_SPLIT = 10**12
+# Suppliers with an office of their own share its code.
+SUPPLIER_OFFICES = (10**12, 0)
 
 
 def supplier_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coded(_crosswalk(_suppliers(spark, sf_dir), SUPPLIER_SPLIT))
+    return _coded(_crosswalk(_suppliers(spark, sf_dir), *SUPPLIER_OFFICES))
 
 
 def supplier_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written out because Spark's size estimate knows nothing of the rows made by the generators: the
     overlap join is to choose by the size this table really has."""
-    crosswalk = _crosswalk(_suppliers(spark, sf_dir), SUPPLIER_SPLIT)
+    crosswalk = _crosswalk(_suppliers(spark, sf_dir), *SUPPLIER_OFFICES)
     return materialize(_windows(crosswalk, SUPPLIER_ERA.format("n")))

@@ -329,14 +329,18 @@ def grain_principal(spark, sf_dir):
     return units.reduce_grain(eligibility(spark, sf_dir), "principal")
 
 
+@register("grain_principal_by_supplier", o.supplier("select * from elig where fips = fsa_county"))
+def grain_principal_by_supplier(spark, sf_dir):
+    return units.reduce_grain(eligibility_by_supplier(spark, sf_dir), "principal")
+
+
 @register(
-    "grain_principal_by_supplier",
-    o.supplier("select fips, count(*) n from elig where fips <= fsa_county group by fips"),
+    "grain_max_by_supplier",
+    o.supplier("""select source, program_year, pasture_type, fips, max(drought_factor) drought_factor
+    from elig group by all"""),
 )
-def grain_principal_by_supplier(spark, sf_dir):
-    """Units whose code does not exceed their office's: the principal office or one of their own."""
-    rows = eligibility_by_supplier(spark, sf_dir).where(F.col("fips") <= F.col("fsa_county"))
-    return rows.groupBy("fips").agg(F.count(F.lit(1)).alias("n"))
+def grain_max_by_supplier(spark, sf_dir):
+    return units.reduce_grain(eligibility_by_supplier(spark, sf_dir), "max", "fips")
 
 
 @register(

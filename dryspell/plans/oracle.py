@@ -43,10 +43,10 @@ obs as (select * from (select fips, source, usdm_date,
   from raw_obs group by all) where drought_class is not null)"""
 
 
-def _windows(units: str, key: str, split: int, era: str) -> str:
+def _windows(units: str, key: str, shared: int, own: int, era: str) -> str:
     return f"""
-xwalk_n as (select distinct office, n from (select {key} // 2 office, {key} n from {units}
-  union all select {split} + {key}, {key} from {units} where {key} % 5 = 0)),
+xwalk_n as (select distinct office, n from (select {shared} + {key} // 2 office, {key} n from {units}
+  union all select {own} + {key}, {key} from {units} where {key} % 5 = 0)),
 xwalk as (select {_code('office')} fsa_county, {_code('n')} fips from xwalk_n),
 {_window_rows('ngp', 'xwalk_n', era)}"""
 
@@ -63,8 +63,8 @@ def _window_rows(name: str, units: str, era: str = "x.n") -> str:
   from {units} x, (select unnest(range(1995, 2002))::integer y), (select unnest(range(0, 4))::integer p))"""
 
 
-NATION_WINDOWS = _windows("nation", "n_nationkey", 100, "x.n")
-SUPPLIER_WINDOWS = _windows("supplier", "s_suppkey", 10**12, "(x.n // 2)")
+NATION_WINDOWS = _windows("nation", "n_nationkey", 0, 100, "x.n")
+SUPPLIER_WINDOWS = _windows("supplier", "s_suppkey", 10**12, 0, "(x.n // 2)")
 
 RUNS = """
 c as (select fips, source, usdm_date, case when drought_class < 3 then 0 else drought_class end drought_class from obs),

@@ -14,6 +14,9 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# No nation is its own office in the smallest tables.
+MAY_BE_EMPTY = {"grain_principal"}
+
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -44,6 +47,8 @@ def test_query(spark, duck, sf_dir, name):
     assert ours[0] == theirs[0]
     assert len(ours[1]) == len(theirs[1])
     assert ours[1] == theirs[1]
+    if not ours[1] and name in MAY_BE_EMPTY:
+        return
     assert ours[1], f"{name} returned no rows"
     kinds = [[type(v) for v in row] for row in (ours[1][0], theirs[1][0])]
     assert kinds[0] == kinds[1]
