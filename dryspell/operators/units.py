@@ -14,8 +14,8 @@ CELL_KEY = ("source", "program_year", "pasture_type")
 
 
 def map_units(windows: DataFrame, crosswalk: DataFrame, on: str = "fsa_county") -> DataFrame:
-    """Every window once per unit its office covers (many-to-many)."""
-    return windows.join(crosswalk.distinct(), on)
+    """Every window once per unit its office covers (many-to-many). Crosswalk pairs are distinct."""
+    return windows.join(crosswalk, on)
 
 
 def unresolved_units(windows: DataFrame, crosswalk: DataFrame, on: str = "fsa_county") -> DataFrame:
@@ -84,10 +84,12 @@ def disagreements(cells: DataFrame, by: str, cell: Sequence[str] = CELL_KEY) ->
     )
 
 
-def fanout_report(eligibility: DataFrame) -> dict[str, DataFrame]:
-    """Where units and offices do not nest, in both directions, and where that changes a factor."""
-    pairs = eligibility.select("fips", "fsa_county").distinct()
-    cells = cell_factors(eligibility)
+def fanout_report(cells: DataFrame) -> dict[str, DataFrame]:
+    """Where units and offices do not nest, in both directions, and where that changes a factor.
+
+    ``cells`` comes from :func:`cell_factors`; every table of the report reads it again.
+    """
+    pairs = cells.select("fips", "fsa_county").distinct()
     report = {"pairs": pairs, "cells": cells}
     for unit, other, name, label in (
         ("fsa_county", "fips", "n_fips", "offices"),

@@ -454,13 +454,13 @@ def date_outside_window(spark, sf_dir):
 
 @register("spanning_units", o.nation("select * from off_span", o.FANOUT))
 def spanning_units(spark, sf_dir):
-    found = units.fanout_report(eligibility(spark, sf_dir))["offices_spanning"]
+    found = units.fanout_report(units.cell_factors(eligibility(spark, sf_dir)))["offices_spanning"]
     return found.orderBy(F.desc("n_fips"), "fsa_county")
 
 
 @register("split_units", o.nation("select * from unit_span", o.FANOUT))
 def split_units(spark, sf_dir):
-    found = units.fanout_report(eligibility(spark, sf_dir))["units_spanning"]
+    found = units.fanout_report(units.cell_factors(eligibility(spark, sf_dir)))["units_spanning"]
     return found.orderBy(F.desc("n_offices"), "fips")
 
 
@@ -468,12 +468,13 @@ def split_units(spark, sf_dir):
     "disagree_by_office", o.supplier("select * from off_cells where highest > lowest", o.FANOUT)
 )
 def disagree_by_office(spark, sf_dir):
-    return units.fanout_report(eligibility_by_supplier(spark, sf_dir))["offices_disagree"]
+    cells = units.cell_factors(eligibility_by_supplier(spark, sf_dir))
+    return units.fanout_report(cells)["offices_disagree"]
 
 
 @register("disagree_by_unit", o.nation("select * from unit_cells where highest > lowest", o.FANOUT))
 def disagree_by_unit(spark, sf_dir):
-    return units.fanout_report(eligibility(spark, sf_dir))["units_disagree"]
+    return units.fanout_report(units.cell_factors(eligibility(spark, sf_dir)))["units_disagree"]
 
 
 _METRICS = """
@@ -494,9 +495,15 @@ metrics as (
   union all select 'n_units_touched', count(*) from unit_cells)"""
 
 
+def _reported(result):
+    result = materialize(result)
+    return result, units.fanout_report(materialize(units.cell_factors(result)))
+
+
 @register("qa_summary", o.nation("select * from metrics", o.FANOUT, _METRICS))
 def qa_summary(spark, sf_dir):
-    return report.qa_summary(materialize(eligibility(spark, sf_dir)))
+    result, fanout = _reported(eligibility(spark, sf_dir))
+    return report.qa_summary(result, fanout)
 
 
 @register(
@@ -539,7 +546,8 @@ def _report_sql() -> str:
 
 @register("qa_report", o.supplier(_report_sql(), o.FANOUT, _METRICS))
 def qa_report(spark, sf_dir):
-    return report.report_lines(materialize(eligibility_by_supplier(spark, sf_dir)))
+    result, fanout = _reported(eligibility_by_supplier(spark, sf_dir))
+    return report.report_lines(result, fanout)
 
 
 # --- columnar document --------------------------------------------------------------------------

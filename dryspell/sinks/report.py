@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.functions.text import csv_line
-from dryspell.operators.units import CELL_KEY, fanout_report
+from dryspell.lineage import materialize
+from dryspell.operators.units import CELL_KEY, cell_factors, fanout_report
 
 # Order and headings of the summary.
 SUMMARY = (
@@ -60,9 +61,8 @@ def _size(df: DataFrame, name: str) -> DataFrame:
     return _metrics(df.agg(F.count(F.lit(1)).alias(name)))
 
 
-def qa_summary(eligibility: DataFrame, report: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``metric, value`` totals of a result."""
-    report = report or fanout_report(eligibility)
+def qa_summary(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFrame:
+    """``metric, value`` totals of a result and its fan-out report."""
     kinds = eligibility.select("pasture_type", "source").distinct()
     parts = [
         _metrics(eligibility.agg(
@@ -109,10 +109,9 @@ def _detail(df: DataFrame, section: int, weight, keys: list[str], columns: list[
     )
 
 
-def report_lines(eligibility: DataFrame) -> DataFrame:
+def report_lines(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFrame:
     """The report as a table of lines; sorted by all columns but ``text`` it reads top to bottom."""
     spark = eligibility.sparkSession
-    report = fanout_report(eligibility)
     labels = spark.createDataFrame(
         [(metric, i, label) for i, (metric, label) in enumerate(SUMMARY)],
         "metric string, place int, label string",
@@ -137,6 +136,8 @@ def report_lines(eligibility: DataFrame) -> DataFrame:
 
 
 def write_report(eligibility: DataFrame, path: str) -> None:
-    lines = report_lines(eligibility)
+    """Write the report of a materialized result."""
+    report = fanout_report(materialize(cell_factors(eligibility)))
+    lines = materialize(report_lines(eligibility, report))
     order = [c for c in lines.columns if c != "text"]
     lines.orderBy(*order).select("text").write.mode("overwrite").text(path)

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dryspell import determine, ingest, publish
+from dryspell.__main__ import main
 from dryspell.model import CROSSWALK_SCHEMA, GRAZING_SCHEMA, RAW_OBSERVATION_SCHEMA, ValidationError
 from dryspell.operators import listings, units
 from dryspell.operators.aggregate import long_from_wide
@@ -307,4 +308,13 @@ def test_archive_from_files(spark, tmp_path):
     assert json.loads("\n".join(lines_of(f"{out}/result/eligibility_json")))["n"] == 6
     listed = lines_of(f"{out}/url_manifest")
     assert len(listed) == 9
+    # A second run from the command line finds nothing to build and publishes the same result.
+    main([
+        *[f"--manifest={s}={p}" for s, p in paths.items()], f"--crosswalk={tmp_path / 'x'}",
+        f"--windows={tmp_path / 'g'}", f"--out={out}", "--base-url=https://x.example",
+        "--prefix=pre", "--salts=2",
+    ])
+    back = tables.read_result_parquet(spark, f"{out}/result/eligibility_parquet")
+    assert {tuple(r) for r in back.collect()} == expected
+    assert lines_of(f"{out}/url_manifest") == listed
     assert listed[0].startswith("https://x.example/pre/data/weekly/usdm_date=2024-01-02/part-")

@@ -285,7 +285,7 @@ def test_grain_rules(spark):
 
 
 def test_fanout(spark):
-    found = units.fanout_report(small_result(spark))
+    found = units.fanout_report(units.cell_factors(small_result(spark)))
     assert rows(found["offices_spanning"]) == [("1", 2)]
     assert rows(found["units_spanning"]) == [("2", 2)]
     assert rows(found["offices_disagree"]) == [("a", 2024, "p", "1", 1, 4)]
