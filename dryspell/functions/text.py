@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # so that the escapes themselves survive; "=" and "/" stay literal.
 URL_ESCAPES = (("%", "%25"), (" ", "%20"), ("#", "%23"), ("?", "%3F"), ("+", "%2B"))
 
+# Fixed value: what marks a key as internal.
 INTERNAL_KEY = "(^|/)_"
 
 

@@ -150,15 +150,15 @@ def units_mapped(spark, sf_dir):
 
 @register(
     "unresolved_units",
-    o.nation(
-        """select distinct fsa_county from offices
-        where fsa_county not in (select fsa_county from xwalk where fsa_county < '00100')""",
-        _OFFICE_WINDOWS, _OFFICES,
+    o.supplier(
+        "select distinct fsa_county from ngp where fsa_county not in (select fsa_county from other)",
+        o._windows("nation", "n_nationkey", 0, 100, "x.n", "nation_"),
+        "other as (select fsa_county from nation_xwalk)",
     ),
 )
 def unresolved_units(spark, sf_dir):
-    shared = b.nation_crosswalk(spark, sf_dir).where(F.col("fsa_county") < "00100")
-    return units.unresolved_units(b.nation_offices(spark, sf_dir), shared)
+    """Offices of the suppliers that the crosswalk of the nations does not know."""
+    return units.unresolved_units(b.supplier_windows(spark, sf_dir), b.nation_crosswalk(spark, sf_dir))
 
 
 @register(

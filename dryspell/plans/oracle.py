@@ -43,12 +43,12 @@ obs as (select * from (select fips, source, usdm_date,
   from raw_obs group by all) where drought_class is not null)"""
 
 
-def _windows(units: str, key: str, shared: int, own: int, era: str) -> str:
+def _windows(units: str, key: str, shared: int, own: int, era: str, name: str = "") -> str:
     return f"""
-xwalk_n as (select distinct office, n from (select {shared} + {key} // 2 office, {key} n from {units}
+{name}xwalk_n as (select distinct office, n from (select {shared} + {key} // 2 office, {key} n from {units}
   union all select {own} + {key}, {key} from {units} where {key} % 5 = 0)),
-xwalk as (select {_code('office')} fsa_county, {_code('n')} fips from xwalk_n),
-{_window_rows('ngp', 'xwalk_n', era)}"""
+{name}xwalk as (select {_code('office')} fsa_county, {_code('n')} fips from {name}xwalk_n),
+{_window_rows(name + 'ngp', name + 'xwalk_n', era)}"""
 
 
 def _window_rows(name: str, units: str, era: str = "x.n") -> str:

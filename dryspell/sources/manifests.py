@@ -41,7 +41,7 @@ def read_manifest_files(
     """
     spark = manifest.sparkSession
     by_source: dict[str, list[str]] = {}
-    for row in manifest.select("source", "url").distinct().toLocalIterator():
+    for row in manifest.select("source", "url").distinct().collect():
         by_source.setdefault(row.source, []).append(row.url)
     scans = [
         spark.read.schema(schema).parquet(*sorted(urls)).withColumn("source", F.lit(source))
