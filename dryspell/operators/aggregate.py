@@ -66,7 +66,7 @@ def long_from_wide(
     """Wide to long without the empty cells, classes below D2 merged into one."""
     sources = list(sources) if sources else [c for c in wide.columns if c not in ids]
     return (
-        wide.unpivot(list(ids), sources, "source", value)
+        wide.unpivot(list(ids), [F.col(f"`{s}`") for s in sources], "source", value)
         .where(F.col(value).isNotNull())
         .withColumn(value, collapse_levels(value))
     )

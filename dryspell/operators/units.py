@@ -1,4 +1,4 @@
-"""Many-to-many unit mapping, checked joins, grain reduction and fan-out reporting."""
+"""Many-to-many unit mapping, grain reduction and fan-out reporting."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.model import WINDOW_KEY
-from dryspell.operators.quality import assert_unique
 
 CELL_KEY = ("source", "program_year", "pasture_type")
 
@@ -28,22 +27,6 @@ def observed_only(observations: DataFrame, windows: DataFrame, on: str = "fips")
     return observations.join(windows.select(on), on, "left_semi")
 
 
-def checked_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    relationship: str = "many-to-one",
-    how: str = "inner",
-) -> DataFrame:
-    """Join after checking that each side said to be "one" has unique keys."""
-    left_side, right_side = relationship.split("-to-")
-    if left_side == "one":
-        assert_unique(left, on, f"left side of a {relationship} join")
-    if right_side == "one":
-        assert_unique(right, on, f"right side of a {relationship} join")
-    return left.join(right, list(on), how)
-
-
 def reduce_grain(
     eligibility: DataFrame,
     rule: str = "both",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+from typing import NamedTuple
+
 from pyspark.sql import functions as F
 
 from dryspell.functions.dates import date_decode
@@ -16,8 +20,8 @@ from dryspell.plans import oracle as o
 from dryspell.plans.determine import clipped_runs, dated_events, determine, drought_runs
 from dryspell.sinks import columnar, report
 
-QUERIES = {}
-ORACLES = {}
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
@@ -30,14 +34,50 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-def _nation_inputs(spark, sf_dir):
-    return b.nation_observations(spark, sf_dir), b.nation_windows(spark, sf_dir)
+class Binding(NamedTuple):
+    """One way to derive the domain tables from the given ones, with the SQL that does the same."""
+
+    suffix: str
+    sources: tuple[str, ...]
+    observations: Callable
+    windows: Callable
+    sql: Callable
+
+    def inputs(self, spark, sf_dir):
+        return self.observations(spark, sf_dir), self.windows(spark, sf_dir)
+
+    def runs(self, spark, sf_dir):
+        return drought_runs(self.observations(spark, sf_dir))
+
+    def clipped(self, spark, sf_dir, **join):
+        observations, windows = self.inputs(spark, sf_dir)
+        return clipped_runs(windows, drought_runs(observations), **join)
 
+    def result(self, spark, sf_dir):
+        return determine(*self.inputs(spark, sf_dir))
 
-def _supplier_inputs(spark, sf_dir):
+
+def _supplier_observations(spark, sf_dir):
     cells = aggregate.worst_class(b.supplier_raw(spark, sf_dir), ["fips", "source", "usdm_date"])
-    observed = cells.where(F.col("drought_class").isNotNull())
-    return observed, b.supplier_windows(spark, sf_dir)
+    return cells.where(F.col("drought_class").isNotNull())
+
+
+NATION = Binding("", b.SOURCES, b.nation_observations, b.nation_windows, o.nation)
+SUPPLIER = Binding(
+    "_by_supplier", b.FLAGS, _supplier_observations, b.supplier_windows, o.supplier
+)
+
+
+def on_both(name: str, final, *extra: str):
+    """Register a query on both bindings. ``final`` is SQL, or makes it from the sources."""
+
+    def add(fn):
+        for binding in (NATION, SUPPLIER):
+            text = final(binding.sources) if callable(final) else final
+            register(name + binding.suffix, binding.sql(text, *extra))(partial(fn, binding))
+        return fn
+
+    return add
 
 
 # --- weekly table -------------------------------------------------------------------------------
@@ -105,19 +145,14 @@ def class_labels(spark, sf_dir):
 # --- runs ---------------------------------------------------------------------------------------
 
 
-@register("runs_rle", o.nation("select * from runs"))
-def runs_rle(spark, sf_dir):
-    return drought_runs(b.nation_observations(spark, sf_dir))
-
+@on_both("runs_rle", "select * from runs")
+def runs_rle(binding, spark, sf_dir):
+    return binding.runs(spark, sf_dir)
 
-@register("runs_rle_blocked", o.nation("select * from runs"))
-def runs_rle_blocked(spark, sf_dir):
-    return drought_runs(b.nation_observations(spark, sf_dir), block_days=366)
 
-
-@register("runs_rle_by_supplier", o.supplier("select * from runs"))
-def runs_rle_by_supplier(spark, sf_dir):
-    return drought_runs(_supplier_inputs(spark, sf_dir)[0])
+@on_both("runs_rle_blocked", "select * from runs")
+def runs_rle_blocked(binding, spark, sf_dir):
+    return drought_runs(binding.observations(spark, sf_dir), block_days=366)
 
 
 @register(
@@ -136,13 +171,14 @@ def runs_over_gaps(spark, sf_dir):
 # --- units and windows --------------------------------------------------------------------------
 
 
-_OFFICE_WINDOWS = o._window_rows("own", "(select distinct office, office n from xwalk_n)")
-_OFFICES = """offices as (select fsa_county, program_year, pasture_type, window_start, window_end from own)"""
-
-
 @register(
     "units_mapped",
-    o.nation("select * from offices join xwalk using (fsa_county)", _OFFICE_WINDOWS, _OFFICES),
+    o.nation(
+        "select * from offices join xwalk using (fsa_county)",
+        o._window_rows("own", "(select distinct office, office n from xwalk_n)"),
+        """offices as (select fsa_county, program_year, pasture_type, window_start, window_end
+          from own)""",
+    ),
 )
 def units_mapped(spark, sf_dir):
     return units.map_units(b.nation_offices(spark, sf_dir), b.nation_crosswalk(spark, sf_dir))
@@ -161,37 +197,34 @@ def unresolved_units(spark, sf_dir):
     return units.unresolved_units(b.supplier_windows(spark, sf_dir), b.nation_crosswalk(spark, sf_dir))
 
 
-@register(
+@on_both(
     "observed_units_only",
-    o.nation("select * from obs where fips in (select fips from ngp where program_year >= 2020)"),
+    "select * from obs where fips in (select fips from ngp where program_year >= 2020)",
 )
-def observed_units_only(spark, sf_dir):
-    observations, windows = _nation_inputs(spark, sf_dir)
+def observed_units_only(binding, spark, sf_dir):
+    """Observations of the units that have a window in the later eras."""
+    observations, windows = binding.inputs(spark, sf_dir)
     return units.observed_only(observations, windows.where(F.col("program_year") >= 2020))
 
 
 @register("clipped_runs", o.nation("select * from clip"))
 def clipped_runs_direct(spark, sf_dir):
-    observations, windows = _nation_inputs(spark, sf_dir)
-    return clipped_runs(windows, drought_runs(observations), bin_days=None)
+    return NATION.clipped(spark, sf_dir, bin_days=None)
 
 
-@register("clipped_runs_binned", o.nation("select * from clip"))
-def clipped_runs_binned(spark, sf_dir):
-    observations, windows = _nation_inputs(spark, sf_dir)
-    return clipped_runs(windows, drought_runs(observations))
+@on_both("clipped_runs_binned", "select * from clip")
+def clipped_runs_binned(binding, spark, sf_dir):
+    return binding.clipped(spark, sf_dir)
 
 
-@register("clipped_runs_salted", o.nation("select * from clip"))
-def clipped_runs_salted(spark, sf_dir):
-    observations, windows = _nation_inputs(spark, sf_dir)
-    return clipped_runs(windows, drought_runs(observations), salts=4)
+@on_both("clipped_runs_salted", "select * from clip")
+def clipped_runs_salted(binding, spark, sf_dir):
+    return binding.clipped(spark, sf_dir, salts=4)
 
 
-@register("clipped_runs_by_supplier", o.supplier("select * from clip"))
-def clipped_runs_by_supplier(spark, sf_dir):
-    observations, windows = _supplier_inputs(spark, sf_dir)
-    return clipped_runs(windows, drought_runs(observations))
+@on_both("clipped_runs_joined_by_source", "select * from clip")
+def clipped_runs_joined_by_source(binding, spark, sf_dir):
+    return binding.clipped(spark, sf_dir, sources=binding.sources)
 
 
 _REASONS = """select reason, count(*) n_windows from (
@@ -203,10 +236,10 @@ _REASONS = """select reason, count(*) n_windows from (
     group by reason"""
 
 
-@register("silent_drops", o.nation(_REASONS))
-def silent_drops(spark, sf_dir):
+@on_both("silent_drops", _REASONS)
+def silent_drops(binding, spark, sf_dir):
     """Windows of one pasture type lose their end, and only units with a D4 week count as observed."""
-    observations, windows = _nation_inputs(spark, sf_dir)
+    observations, windows = binding.inputs(spark, sf_dir)
     end = F.when(F.col("pasture_type") != "P0", F.col("window_end"))
     seen = observations.where((F.col("source") == "A") & (F.col("drought_class") == 5))
     return quality.coverage(windows.withColumn("window_end", end), seen)
@@ -215,15 +248,10 @@ def silent_drops(spark, sf_dir):
 # --- tiers --------------------------------------------------------------------------------------
 
 
-def _nation_tiers(spark, sf_dir):
-    observations, windows = _nation_inputs(spark, sf_dir)
-    return tiers.date_tiers(clipped_runs(windows, drought_runs(observations)))
-
-
-def _tier_rows(spark, sf_dir, names):
-    kept = tiers.event_rows(_nation_tiers(spark, sf_dir)).withColumn(
-        "tier", F.element_at(F.array(*[F.lit(t) for t in tiers.EVENT_ORDER]), F.col("event_order") + 1)
-    )
+def _tier_rows(binding, spark, sf_dir, names):
+    kept = tiers.event_rows(tiers.date_tiers(binding.clipped(spark, sf_dir)))
+    labels = F.array(*[F.lit(t) for t in tiers.EVENT_ORDER])
+    kept = kept.withColumn("tier", F.element_at(labels, F.col("event_order") + 1))
     return kept.where(F.col("tier").isin(*names)).drop("event_order", "event")
 
 
@@ -231,44 +259,39 @@ _TIER = f"""select {o.GROUP}, clip_start, dt qualifying_date,
     ['D2_Sandwich', 'D3b', 'D4b', 'D2a_2026', 'D2b_2026', 'D2', 'D3a', 'D4a'][ord + 1] as tier from """
 
 
-@register(
+@on_both(
     "tier_consecutive",
-    o.nation(
-        _TIER + "(select * from t_d2 union all select * from t_d2a union all select * from t_d2b)"
-    ),
+    _TIER + "(select * from t_d2 union all select * from t_d2a union all select * from t_d2b)",
 )
-def tier_consecutive(spark, sf_dir):
-    return _tier_rows(spark, sf_dir, ["D2", "D2a_2026", "D2b_2026"])
+def tier_consecutive(binding, spark, sf_dir):
+    return _tier_rows(binding, spark, sf_dir, ["D2", "D2a_2026", "D2b_2026"])
 
 
-@register("tier_cumulative", o.nation(_TIER + "t_b"))
-def tier_cumulative(spark, sf_dir):
-    return _tier_rows(spark, sf_dir, ["D3b", "D4b"])
+@on_both("tier_cumulative", _TIER + "t_b")
+def tier_cumulative(binding, spark, sf_dir):
+    return _tier_rows(binding, spark, sf_dir, ["D3b", "D4b"])
 
 
-@register("tier_immediate", o.nation(_TIER + "t_a"))
-def tier_immediate(spark, sf_dir):
-    return _tier_rows(spark, sf_dir, ["D3a", "D4a"])
+@on_both("tier_immediate", _TIER + "t_a")
+def tier_immediate(binding, spark, sf_dir):
+    return _tier_rows(binding, spark, sf_dir, ["D3a", "D4a"])
 
 
-@register("tier_sandwich", o.nation(_TIER + "t_s"))
-def tier_sandwich(spark, sf_dir):
-    return _tier_rows(spark, sf_dir, ["D2_Sandwich"])
+@on_both("tier_sandwich", _TIER + "t_s")
+def tier_sandwich(binding, spark, sf_dir):
+    return _tier_rows(binding, spark, sf_dir, ["D2_Sandwich"])
 
 
-@register(
+@on_both(
     "pattern_match",
-    o.nation(
-        f"""select {o.GROUP}, clip_start from p where drought_class = 3 and c1 = 0 and c2 = 3""",
-        f"""p as (select *, lead(drought_class, 1) over s c1, lead(drought_class, 2) over s c2
-          from clip window s as (partition by {o.GROUP} order by clip_start))""",
-    ),
+    f"select {o.GROUP}, clip_start from p where drought_class = 3 and c1 = 0 and c2 = 3",
+    f"""p as (select *, lead(drought_class, 1) over s c1, lead(drought_class, 2) over s c2
+      from clip window s as (partition by {o.GROUP} order by clip_start))""",
 )
-def pattern_match(spark, sf_dir):
-    observations, windows = _nation_inputs(spark, sf_dir)
-    clipped = clipped_runs(windows, drought_runs(observations))
+def pattern_match(binding, spark, sf_dir):
     found = tiers.match_pattern(
-        clipped, GROUP_KEY, "clip_start", "drought_class", [D2, BELOW_D2, D2]
+        binding.clipped(spark, sf_dir), GROUP_KEY, "clip_start", "drought_class",
+        [D2, BELOW_D2, D2],
     )
     return found.where("matched").select(*GROUP_KEY, "clip_start")
 
@@ -276,71 +299,62 @@ def pattern_match(spark, sf_dir):
 # --- scoring ------------------------------------------------------------------------------------
 
 
-_SCORED = f"select {o.GROUP}, clip_start, ord as event_order, event, dt as qualifying_date, drought_factor from scored"
+_SCORED = f"""select {o.GROUP}, clip_start, ord as event_order, event, dt as qualifying_date,
+    drought_factor from scored"""
 
 
-@register("events_scored", o.nation(_SCORED))
-def events_scored(spark, sf_dir):
-    return scoring.score_events(dated_events(*_nation_inputs(spark, sf_dir)))
+@on_both("events_scored", _SCORED)
+def events_scored(binding, spark, sf_dir):
+    return scoring.score_events(dated_events(*binding.inputs(spark, sf_dir)))
 
 
-@register("events_scored_by_table", o.nation(_SCORED))
-def events_scored_by_table(spark, sf_dir):
+@on_both("events_scored_by_table", _SCORED)
+def events_scored_by_table(binding, spark, sf_dir):
     ladder = spark.createDataFrame(
         [tuple(r) for r in LADDER], "event string, first_year int, last_year int, factor int"
     )
-    return scoring.score_events(dated_events(*_nation_inputs(spark, sf_dir)), ladder)
-
-
-@register("eligibility", o.nation("select * from elig"))
-def eligibility(spark, sf_dir):
-    return determine(*_nation_inputs(spark, sf_dir))
+    return scoring.score_events(dated_events(*binding.inputs(spark, sf_dir)), ladder)
 
 
-@register("eligibility_blocked_salted", o.nation("select * from elig"))
-def eligibility_blocked_salted(spark, sf_dir):
-    return determine(*_nation_inputs(spark, sf_dir), block_days=366, salts=4)
+@on_both("eligibility", "select * from elig")
+def eligibility(binding, spark, sf_dir):
+    return binding.result(spark, sf_dir)
 
 
-@register("eligibility_joined_by_source", o.nation("select * from elig"))
-def eligibility_joined_by_source(spark, sf_dir):
-    return determine(*_nation_inputs(spark, sf_dir), sources=b.SOURCES)
+@on_both("eligibility_blocked_salted", "select * from elig")
+def eligibility_blocked_salted(binding, spark, sf_dir):
+    return determine(*binding.inputs(spark, sf_dir), block_days=366, salts=4)
 
 
-@register("eligibility_by_supplier", o.supplier("select * from elig"))
-def eligibility_by_supplier(spark, sf_dir):
-    return determine(*_supplier_inputs(spark, sf_dir))
+@on_both("eligibility_joined_by_source", "select * from elig")
+def eligibility_joined_by_source(binding, spark, sf_dir):
+    return determine(*binding.inputs(spark, sf_dir), sources=binding.sources)
 
 
 # --- consumers ----------------------------------------------------------------------------------
 
 
-@register(
+@on_both(
     "grain_max_unit",
-    o.nation("""select source, program_year, pasture_type, fsa_county, max(drought_factor) drought_factor
-    from elig group by all"""),
+    """select source, program_year, pasture_type, fsa_county, max(drought_factor) drought_factor
+    from elig group by all""",
 )
-def grain_max_unit(spark, sf_dir):
-    return units.reduce_grain(eligibility(spark, sf_dir), "max", "fsa_county")
+def grain_max_unit(binding, spark, sf_dir):
+    return units.reduce_grain(binding.result(spark, sf_dir), "max", "fsa_county")
 
 
-@register("grain_principal", o.nation("select * from elig where fips = fsa_county"))
-def grain_principal(spark, sf_dir):
-    return units.reduce_grain(eligibility(spark, sf_dir), "principal")
+@on_both(
+    "grain_max_fips",
+    """select source, program_year, pasture_type, fips, max(drought_factor) drought_factor
+    from elig group by all""",
+)
+def grain_max_fips(binding, spark, sf_dir):
+    return units.reduce_grain(binding.result(spark, sf_dir), "max", "fips")
 
 
-@register("grain_principal_by_supplier", o.supplier("select * from elig where fips = fsa_county"))
-def grain_principal_by_supplier(spark, sf_dir):
-    return units.reduce_grain(eligibility_by_supplier(spark, sf_dir), "principal")
-
-
-@register(
-    "grain_max_by_supplier",
-    o.supplier("""select source, program_year, pasture_type, fips, max(drought_factor) drought_factor
-    from elig group by all"""),
-)
-def grain_max_by_supplier(spark, sf_dir):
-    return units.reduce_grain(eligibility_by_supplier(spark, sf_dir), "max", "fips")
+@on_both("grain_principal", "select * from elig where fips = fsa_county")
+def grain_principal(binding, spark, sf_dir):
+    return units.reduce_grain(binding.result(spark, sf_dir), "principal")
 
 
 @register(
@@ -361,7 +375,7 @@ def slice_max_attrs(spark, sf_dir):
         b.unit_code("n_nationkey").alias("fips"), F.col("n_name").alias("name"),
         F.col("r_name").alias("region"),
     )
-    return units.factor_map(eligibility(spark, sf_dir), attrs, 2012, "P1", "all")
+    return units.factor_map(NATION.result(spark, sf_dir), attrs, 2012, "P1", "all")
 
 
 def _sensitivity_sql(sources):
@@ -375,106 +389,108 @@ def _sensitivity_sql(sources):
       where {missing} or greatest({', '.join(names)}) <> least({', '.join(names)})"""
 
 
-@register("source_sensitivity", o.nation(_sensitivity_sql(b.SOURCES)))
-def source_sensitivity(spark, sf_dir):
-    return units.source_sensitivity(eligibility(spark, sf_dir), b.SOURCES)
-
+@on_both("source_sensitivity", _sensitivity_sql)
+def source_sensitivity(binding, spark, sf_dir):
+    return units.source_sensitivity(binding.result(spark, sf_dir), binding.sources)
 
-@register("source_sensitivity_by_supplier", o.supplier(_sensitivity_sql(b.FLAGS)))
-def source_sensitivity_by_supplier(spark, sf_dir):
-    return units.source_sensitivity(eligibility_by_supplier(spark, sf_dir), b.FLAGS)
 
-
-@register(
+@on_both(
     "payable_capped",
-    o.nation(f"""select e.*, least(drought_factor, cast((window_end - window_start + 1) // 30 as integer)) payable_months
-    from elig e left join ngp using ({o.WINDOW})"""),
+    f"""select e.*, least(drought_factor, cast((window_end - window_start + 1) // 30 as integer)) payable_months
+    from elig e left join ngp using ({o.WINDOW})""",
 )
-def payable_capped(spark, sf_dir):
-    windows = b.nation_windows(spark, sf_dir)
+def payable_capped(binding, spark, sf_dir):
+    observations, windows = binding.inputs(spark, sf_dir)
     months = F.expr("cast((datediff(window_end, window_start) + 1) div 30 as int)")
     caps = windows.withColumn("max_months", months)
-    return units.payable(eligibility(spark, sf_dir), caps)
+    return units.payable(determine(observations, windows), caps)
 
 
 # --- invariants, on tables that break them ------------------------------------------------------
 
 
-@register(
+@on_both(
     "dup_keys",
-    o.nation(f"""select {o.WINDOW}, count(*) n from (select fips, fsa_county, program_year,
+    f"""select {o.WINDOW}, count(*) n from (select fips, fsa_county, program_year,
       case when pasture_type = 'P3' then 'P2' else pasture_type end pasture_type from ngp)
-    group by all having count(*) > 1"""),
+    group by all having count(*) > 1""",
 )
-def dup_keys(spark, sf_dir):
+def dup_keys(binding, spark, sf_dir):
     """Windows of one pasture type filed under another."""
     kind = F.when(F.col("pasture_type") == "P3", F.lit("P2")).otherwise(F.col("pasture_type"))
-    misfiled = b.nation_windows(spark, sf_dir).withColumn("pasture_type", kind)
+    misfiled = binding.windows(spark, sf_dir).withColumn("pasture_type", kind)
     return quality.duplicate_keys(misfiled, WINDOW_KEY)
 
 
-@register(
+@on_both(
     "null_rows",
-    o.nation(f"""select {o.WINDOW}, event, drought_factor from ngp left join elig using ({o.WINDOW})
-    where event is null or drought_factor is null"""),
+    f"""select {o.WINDOW}, event, drought_factor from ngp left join elig using ({o.WINDOW})
+    where event is null or drought_factor is null""",
 )
-def null_rows(spark, sf_dir):
+def null_rows(binding, spark, sf_dir):
     """Windows next to their events: those without any have missing fields."""
-    windows = b.nation_windows(spark, sf_dir).select(*WINDOW_KEY)
-    joined = windows.join(eligibility(spark, sf_dir), list(WINDOW_KEY), "left")
+    observations, windows = binding.inputs(spark, sf_dir)
+    joined = windows.select(*WINDOW_KEY).join(
+        determine(observations, windows), list(WINDOW_KEY), "left"
+    )
     return quality.null_rows(joined.select(*WINDOW_KEY, "event", "drought_factor"))
 
 
-@register(
+@on_both(
     "ladder_violations",
-    o.nation("""select * from (select * replace (program_year - 12 as program_year) from elig)
+    """select * from (select * replace (program_year - 12 as program_year) from elig)
     where (program_year <= 2011 and drought_factor not in (1, 2, 3))
       or (program_year between 2012 and 2025 and drought_factor not in (1, 3, 4, 5))
-      or drought_factor not between 1 and 5"""),
+      or drought_factor not between 1 and 5""",
 )
-def ladder_violations(spark, sf_dir):
+def ladder_violations(binding, spark, sf_dir):
     """Events filed twelve years early, under the ladder of another era."""
-    early = eligibility(spark, sf_dir).withColumn("program_year", F.col("program_year") - 12)
-    return quality.outside_ladder(early)
+    result = binding.result(spark, sf_dir)
+    return quality.outside_ladder(result.withColumn("program_year", F.col("program_year") - 12))
 
 
-@register(
+@on_both(
     "date_outside_window",
-    o.nation(f"""select e.*, window_start, cast(window_end - 60 as date) window_end from elig e
-    join ngp using ({o.WINDOW}) where qualifying_date < window_start or qualifying_date > window_end - 60"""),
+    f"""select e.*, window_start, cast(window_end - 60 as date) window_end from elig e
+    join ngp using ({o.WINDOW}) where qualifying_date < window_start or qualifying_date > window_end - 60""",
 )
-def date_outside_window(spark, sf_dir):
+def date_outside_window(binding, spark, sf_dir):
     """Events against windows that close sixty days early."""
-    windows = b.nation_windows(spark, sf_dir).withColumn("window_end", F.date_sub("window_end", 60))
-    return quality.outside_window(eligibility(spark, sf_dir), windows)
+    observations, windows = binding.inputs(spark, sf_dir)
+    shorter = windows.withColumn("window_end", F.date_sub("window_end", 60))
+    return quality.outside_window(determine(observations, windows), shorter)
 
 
 # --- fan-out ------------------------------------------------------------------------------------
 
 
-@register("spanning_units", o.nation("select * from off_span", o.FANOUT))
-def spanning_units(spark, sf_dir):
-    found = units.fanout_report(units.cell_factors(eligibility(spark, sf_dir)))["offices_spanning"]
+def _fanout(binding, spark, sf_dir):
+    return units.fanout_report(units.cell_factors(binding.result(spark, sf_dir)))
+
+
+@on_both("spanning_units", "select * from off_span", o.FANOUT)
+def spanning_units(binding, spark, sf_dir):
+    found = _fanout(binding, spark, sf_dir)["offices_spanning"]
     return found.orderBy(F.desc("n_fips"), "fsa_county")
 
 
-@register("split_units", o.nation("select * from unit_span", o.FANOUT))
-def split_units(spark, sf_dir):
-    found = units.fanout_report(units.cell_factors(eligibility(spark, sf_dir)))["units_spanning"]
+@on_both("split_units", "select * from unit_span", o.FANOUT)
+def split_units(binding, spark, sf_dir):
+    found = _fanout(binding, spark, sf_dir)["units_spanning"]
     return found.orderBy(F.desc("n_offices"), "fips")
 
 
+# The nations of an office lie in different eras and share no cell, so only suppliers are compared.
 @register(
     "disagree_by_office", o.supplier("select * from off_cells where highest > lowest", o.FANOUT)
 )
 def disagree_by_office(spark, sf_dir):
-    cells = units.cell_factors(eligibility_by_supplier(spark, sf_dir))
-    return units.fanout_report(cells)["offices_disagree"]
+    return _fanout(SUPPLIER, spark, sf_dir)["offices_disagree"]
 
 
-@register("disagree_by_unit", o.nation("select * from unit_cells where highest > lowest", o.FANOUT))
-def disagree_by_unit(spark, sf_dir):
-    return units.fanout_report(units.cell_factors(eligibility(spark, sf_dir)))["units_disagree"]
+@on_both("disagree_by_unit", "select * from unit_cells where highest > lowest", o.FANOUT)
+def disagree_by_unit(binding, spark, sf_dir):
+    return _fanout(binding, spark, sf_dir)["units_disagree"]
 
 
 _METRICS = """
@@ -495,15 +511,14 @@ metrics as (
   union all select 'n_units_touched', count(*) from unit_cells)"""
 
 
-def _reported(result):
-    result = materialize(result)
+def _reported(binding, spark, sf_dir):
+    result = materialize(binding.result(spark, sf_dir))
     return result, units.fanout_report(materialize(units.cell_factors(result)))
 
 
-@register("qa_summary", o.nation("select * from metrics", o.FANOUT, _METRICS))
-def qa_summary(spark, sf_dir):
-    result, fanout = _reported(eligibility(spark, sf_dir))
-    return report.qa_summary(result, fanout)
+@on_both("qa_summary", "select * from metrics", o.FANOUT, _METRICS)
+def qa_summary(binding, spark, sf_dir):
+    return report.qa_summary(*_reported(binding, spark, sf_dir))
 
 
 @register(
@@ -533,8 +548,13 @@ def _report_sql() -> str:
         "select 1, 0, place, '', '', '', '', label || ': ' || value from metrics "
         f"join (values {labels}) v(metric, place, label) using (metric)"
     )
-    parts.append("select 3, 0, -n_fips, fsa_county, '', '', '', '  ' || fsa_county || ',' || n_fips from off_span")
-    parts.append("select 4, 0, -n_offices, fips, '', '', '', '  ' || fips || ',' || n_offices from unit_span")
+    for section, unit, count, found in (
+        (3, "fsa_county", "n_fips", "off_span"), (4, "fips", "n_offices", "unit_span"),
+    ):
+        parts.append(
+            f"select {section}, 0, -{count}, {unit}, '', '', '', '  ' || {unit} || ',' || {count} "
+            f"from {found}"
+        )
     for section, unit, cells in ((5, "fsa_county", "off_cells"), (6, "fips", "unit_cells")):
         parts.append(
             f"select {section}, 0, 0, source, cast(program_year as varchar), pasture_type, {unit}, "
@@ -544,53 +564,41 @@ def _report_sql() -> str:
     return " union all ".join(parts)
 
 
-@register("qa_report", o.supplier(_report_sql(), o.FANOUT, _METRICS))
-def qa_report(spark, sf_dir):
-    result, fanout = _reported(eligibility_by_supplier(spark, sf_dir))
-    return report.report_lines(result, fanout)
+@on_both("qa_report", _report_sql(), o.FANOUT, _METRICS)
+def qa_report(binding, spark, sf_dir):
+    return report.report_lines(*_reported(binding, spark, sf_dir))
 
 
 # --- columnar document --------------------------------------------------------------------------
 
 
-@register("web_dictionary", o.nation("select * from dict", o.DICTIONARY))
-def web_dictionary(spark, sf_dir):
-    return dictionary.sorted_dictionary(materialize(eligibility(spark, sf_dir)), columnar.DIMS)
-
-
-@register("web_dictionary_by_supplier", o.supplier("select * from dict", o.DICTIONARY))
-def web_dictionary_by_supplier(spark, sf_dir):
-    result = materialize(eligibility_by_supplier(spark, sf_dir))
-    return dictionary.sorted_dictionary(result, columnar.DIMS)
-
-
-def _codes(spark, sf_dir):
+def _codes(binding, spark, sf_dir):
     """The result, its dictionary and its codes; the first two are materialized."""
-    result = materialize(eligibility(spark, sf_dir))
+    result = materialize(binding.result(spark, sf_dir))
     entries = columnar.record_dictionary(result)
     return result, entries, columnar.record_codes(result, entries)
 
 
-@register(
-    "web_codes",
-    o.nation("select * exclude (program_year, qualifying_date) from codes", o.CODES),
-)
-def web_codes(spark, sf_dir):
-    codes = _codes(spark, sf_dir)[2].select(*columnar.RECORD_FIELDS)
+@on_both("web_dictionary", "select * from dict", o.DICTIONARY)
+def web_dictionary(binding, spark, sf_dir):
+    result = materialize(binding.result(spark, sf_dir))
+    return dictionary.sorted_dictionary(result, columnar.DIMS)
+
+
+@on_both("web_codes", "select * exclude (program_year, qualifying_date) from codes", o.CODES)
+def web_codes(binding, spark, sf_dir):
+    codes = _codes(binding, spark, sf_dir)[2].select(*columnar.RECORD_FIELDS)
     return codes.orderBy(*columnar.RECORD_ORDER)
 
 
-@register(
+@on_both(
     "web_roundtrip",
-    o.nation(
-        """select fips, county, type, event, source, program_year, qy, qo, qualifying_date,
-          cast(make_date(program_year + qo, 1, 1) + qy - 1 as date) decoded from codes""",
-        o.CODES,
-    ),
+    """select fips, county, type, event, source, program_year, qy, qo, qualifying_date,
+      cast(make_date(program_year + qo, 1, 1) + qy - 1 as date) decoded from codes""",
+    o.CODES,
 )
-def web_roundtrip(spark, sf_dir):
-    codes = _codes(spark, sf_dir)[2]
-    return codes.select(
+def web_roundtrip(binding, spark, sf_dir):
+    return _codes(binding, spark, sf_dir)[2].select(
         "fips", "county", "type", "event", "source", "program_year", "qy", "qo", "qualifying_date",
         date_decode("qy", "qo", "program_year").alias("decoded"),
     )
@@ -599,17 +607,17 @@ def web_roundtrip(spark, sf_dir):
 _CELL_ORDER = "order by event, qy, qo, df, source"
 
 
-@register(
+@on_both(
     "web_arrays",
-    o.nation(
-        "select type, county, fips, year, "
-        + ", ".join(f"string_agg({c}, ',' {_CELL_ORDER}) as {c}s" for c in ("event", "qy", "qo", "df", "source"))
-        + " from codes group by type, county, fips, year",
-        o.CODES,
-    ),
+    "select type, county, fips, year, "
+    + ", ".join(
+        f"string_agg({c}, ',' {_CELL_ORDER}) as {c}s" for c in ("event", "qy", "qo", "df", "source")
+    )
+    + " from codes group by type, county, fips, year",
+    o.CODES,
 )
-def web_arrays(spark, sf_dir):
-    cells = columnar.record_cells(_codes(spark, sf_dir)[2])
+def web_arrays(binding, spark, sf_dir):
+    cells = columnar.record_cells(_codes(binding, spark, sf_dir)[2])
     return cells.select(
         *columnar.CELL,
         *[columnar.cell_text(c).alias(f"{c}s") for c in ("event", "qy", "qo", "df", "source")],
@@ -620,39 +628,37 @@ def web_arrays(spark, sf_dir):
 _ARRAY_PARTS = {f: 19 + 3 * i for i, f in enumerate(columnar.RECORD_FIELDS)}
 
 
-@register(
+@on_both(
     "web_document",
-    o.nation(
-        """select 0 part, 0 k0, 0 k1, 0 k2, 0 k3, '{"schema":"eligibility-columns/1","dataset":"eligibility",'
-          || '"license":"CC0-1.0","year0":' || min(program_year) || ',"years":[' || min(program_year) || ','
-          || max(program_year) || ']' as text from elig
-        union all select 17, 0, 0, 0, 0, ',"n":' || count(*) from elig
-        union all select 46, 0, 0, 0, 0, '}' union all """
-        + " union all ".join(
-            f"""select {1 + 3 * i}, 0, 0, 0, 0, ',"{field}":[' union all select {3 + 3 * i}, 0, 0, 0, 0, ']'
-            union all select {2 + 3 * i}, code, 0, 0, 0, case when code > 0 then ',' else '' end
-              || '"' || value || '"' from dict where dim = '{dim}'"""
-            for i, (field, dim) in enumerate(columnar.DICTIONARY_FIELDS)
-        )
-        + " union all "
-        + " union all ".join(
-            f"""select {p - 1}, 0, 0, 0, 0, ',"{f}":[' union all select {p + 1}, 0, 0, 0, 0, ']'
-            union all select {p}, type, county, fips, year, lead || body_{f} from bodies"""
-            for f, p in _ARRAY_PARTS.items()
-        ),
-        o.DICTIONARY, o.CODES,
-        "cells_ as (select type, county, fips, year, "
-        + ", ".join(
-            f"string_agg(codes.{f}, ',' order by codes.event, qy, qo, df, codes.source) body_{f}"
-            for f in columnar.RECORD_FIELDS
-        )
-        + " from codes group by codes.type, codes.county, codes.fips, codes.year)",
-        """bodies as (select *, case when row_number() over (order by type, county, fips, year) = 1
-          then '' else ',' end lead from cells_)""",
+    """select 0 part, 0 k0, 0 k1, 0 k2, 0 k3, '{"schema":"eligibility-columns/1","dataset":"eligibility",'
+      || '"license":"CC0-1.0","year0":' || min(program_year) || ',"years":[' || min(program_year) || ','
+      || max(program_year) || ']' as text from elig
+    union all select 17, 0, 0, 0, 0, ',"n":' || count(*) from elig
+    union all select 46, 0, 0, 0, 0, '}' union all """
+    + " union all ".join(
+        f"""select {1 + 3 * i}, 0, 0, 0, 0, ',"{field}":[' union all select {3 + 3 * i}, 0, 0, 0, 0, ']'
+        union all select {2 + 3 * i}, code, 0, 0, 0, case when code > 0 then ',' else '' end
+          || '"' || value || '"' from dict where dim = '{dim}'"""
+        for i, (field, dim) in enumerate(columnar.DICTIONARY_FIELDS)
+    )
+    + " union all "
+    + " union all ".join(
+        f"""select {p - 1}, 0, 0, 0, 0, ',"{f}":[' union all select {p + 1}, 0, 0, 0, 0, ']'
+        union all select {p}, type, county, fips, year, lead || body_{f} from bodies"""
+        for f, p in _ARRAY_PARTS.items()
     ),
+    o.DICTIONARY, o.CODES,
+    "cells_ as (select type, county, fips, year, "
+    + ", ".join(
+        f"string_agg(codes.{f}, ',' order by codes.event, qy, qo, df, codes.source) body_{f}"
+        for f in columnar.RECORD_FIELDS
+    )
+    + " from codes group by codes.type, codes.county, codes.fips, codes.year)",
+    """bodies as (select *, case when row_number() over (order by type, county, fips, year) = 1
+      then '' else ',' end lead from cells_)""",
 )
-def web_document(spark, sf_dir):
-    result, entries, codes = _codes(spark, sf_dir)
+def web_document(binding, spark, sf_dir):
+    result, entries, codes = _codes(binding, spark, sf_dir)
     return columnar.document_lines(result, entries, materialize(columnar.record_cells(codes)))
 
 

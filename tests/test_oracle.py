@@ -14,7 +14,7 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-# No nation is its own office in the smallest tables.
+# Rare in the smallest tables, where no nation is its own office.
 MAY_BE_EMPTY = {"grain_principal"}
 
 
