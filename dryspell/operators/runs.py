@@ -43,16 +43,32 @@ def run_length_encode(
     keys = list(keys)
     rows = df.select(*keys, F.col(order).alias("_date"), value).where(F.col(value).isNotNull())
     if block_days is None:
-        w = Window.partitionBy(*keys).orderBy("_date")
-        flagged = rows.withColumn("_changed", _changed(value, w)).withColumn("_run", _run_number(w))
-        return flagged.groupBy(*keys, value, "_run").agg(
-            F.min("_date").alias("run_start"),
-            F.date_add(F.max("_date"), step_days - 1).alias("run_end"),
-            F.count(F.lit(1)).alias("run_weeks"),
-        ).drop("_run")
+        return _plain_runs(rows, keys, value, step_days)
     return _stitched_runs(rows, keys, value, step_days, block_days)
 
 
+def _plain_runs(rows, keys, value, step_days) -> DataFrame:
+    """Each row learns of the row before it, then only the first rows of runs go on: a run ends where
+    the next one's first row says the row before it was. One sort serves both passes."""
+    w = Window.partitionBy(*keys).orderBy("_date")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = rows.select(
+        "*",
+        F.lag(value).over(w).alias("_before"),
+        F.lag("_date").over(w).alias("_date_before"),
+        F.row_number().over(w).cast("bigint").alias("_place"),
+        F.max("_date").over(whole).alias("_last_date"),
+        F.count(F.lit(1)).over(whole).alias("_rows"),
+    ).where(F.col("_before").isNull() | (F.col("_before") != F.col(value)))
+    end = F.coalesce(F.lead("_date_before").over(w), F.col("_last_date"))
+    next_place = F.coalesce(F.lead("_place").over(w), F.col("_rows") + 1)
+    return firsts.select(
+        *keys, value, F.col("_date").alias("run_start"),
+        F.date_add(end, step_days - 1).alias("run_end"),
+        (next_place - F.col("_place")).alias("run_weeks"),
+    )
+
+
 def _stitched_runs(rows, keys, value, step_days, block_days) -> DataFrame:
     in_block = Window.partitionBy(*keys, "_block").orderBy("_date")
     whole_block = Window.partitionBy(*keys, "_block")

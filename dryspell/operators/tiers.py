@@ -86,6 +86,18 @@ def match_pattern(
     return df.withColumn(name, matched)
 
 
+def relevant_runs(clipped: DataFrame) -> DataFrame:
+    """Leave out the runs below D2 that do not last exactly one week; no tier can depend on them.
+
+    They reach no tier themselves, and a tier needs a run below D2 only as a one-week dip between two
+    D2 runs. Neighbouring runs differ in class, so the neighbours of a dip are always kept and no
+    runs that were apart come to stand beside a dip. In most climates this drops the bulk of the rows
+    before they are shuffled by window.
+    """
+    dip = F.col("clip_days") == WEEK_DAYS
+    return clipped.where((F.col("drought_class") != BELOW_D2) | dip)
+
+
 def date_tiers(clipped: DataFrame, keys: Sequence[str] = GROUP_KEY) -> DataFrame:
     """Add one date column per tier to the clipped runs. All tiers share one sorted window pass."""
     w = _ordered(keys)

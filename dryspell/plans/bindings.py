@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dryspell.lineage import materialize
+from dryspell.operators.aggregate import worst_class
 
 SOURCES = ("all", "A", "N", "R")
 FLAGS = ("A", "N", "R")
@@ -163,13 +164,20 @@ def raw_class() -> Column:
 SUPPLIER_ERA = "{0} div 2"
 
 
-def supplier_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, era = F.col("s_suppkey"), F.expr(SUPPLIER_ERA.format("s_suppkey"))
-    return _lines(spark, sf_dir).select(
-        unit_code(n).alias("fips"), F.col("flag").alias("source"),
-        F.date_add("week", _shift(era, SHIFT_DAYS)).alias("usdm_date"),
+def supplier_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worst class per supplier, flag and week. Line items are combined under the number of their
+    supplier; the code is made afterwards, once per cell."""
+    n = F.col("n")
+    raw = _lines(spark, sf_dir).select(
+        F.col("s_suppkey").alias("n"), F.col("flag").alias("source"), "week",
         raw_class().alias("drought_class"),
     )
+    cells = worst_class(raw, ["n", "source", "week"]).where(F.col("drought_class").isNotNull())
+    return cells.select(
+        unit_code(n).alias("fips"), "source",
+        F.date_add("week", _shift(F.expr(SUPPLIER_ERA.format("n")), SHIFT_DAYS)).alias("usdm_date"),
+        "drought_class",
+    )
 
 
 # Suppliers with an office of their own share its code.

@@ -57,14 +57,9 @@ class Binding(NamedTuple):
         return determine(*self.inputs(spark, sf_dir))
 
 
-def _supplier_observations(spark, sf_dir):
-    cells = aggregate.worst_class(b.supplier_raw(spark, sf_dir), ["fips", "source", "usdm_date"])
-    return cells.where(F.col("drought_class").isNotNull())
-
-
 NATION = Binding("", b.SOURCES, b.nation_observations, b.nation_windows, o.nation)
 SUPPLIER = Binding(
-    "_by_supplier", b.FLAGS, _supplier_observations, b.supplier_windows, o.supplier
+    "_by_supplier", b.FLAGS, b.supplier_observations, b.supplier_windows, o.supplier
 )
 
 

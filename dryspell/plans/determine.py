@@ -12,7 +12,7 @@ from dryspell.model import LADDER, RESULT_COLUMNS, Rung
 from dryspell.operators.intervals import clip, interval_join
 from dryspell.operators.runs import run_length_encode
 from dryspell.operators.scoring import escalating, score_events
-from dryspell.operators.tiers import date_tiers, event_rows
+from dryspell.operators.tiers import date_tiers, event_rows, relevant_runs
 
 
 def drought_runs(observations: DataFrame, block_days: int | None = None) -> DataFrame:
@@ -47,7 +47,7 @@ def dated_events(
 ) -> DataFrame:
     """Every dated tier; ``join`` holds the options of :func:`clipped_runs`."""
     runs = drought_runs(observations, block_days)
-    return event_rows(date_tiers(clipped_runs(windows, runs, **join)))
+    return event_rows(date_tiers(relevant_runs(clipped_runs(windows, runs, **join))))
 
 
 def determine(
