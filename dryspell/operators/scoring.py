@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from dryspell.model import GROUP_KEY, LADDER, Rung
 
 
-def ladder_factor(
-    ladder: Iterable[Rung] = LADDER, event="event", year="program_year"
-) -> Column:
+def ladder_factor(ladder: Iterable[Rung] = LADDER) -> Column:
     """Factor an event earns in a program year; 0 where the ladder has no rung for it."""
-    factor = F.lit(0)
+    branches = []
     for rung in ladder:
-        hit = (F.col(event) == rung.event) & (F.col(year) >= rung.first_year)
-        if rung.last_year is not None:
-            hit = hit & (F.col(year) <= rung.last_year)
-        factor = F.when(hit, F.lit(rung.factor)).otherwise(factor)
-    return factor
+        name = rung.event.replace("\\", "\\\\").replace("'", "\\'")
+        until = "" if rung.last_year is None else f" and program_year <= {int(rung.last_year)}"
+        branches.append(
+            f"when event = '{name}' and program_year >= {int(rung.first_year)}{until} "
+            f"then {int(rung.factor)}"
+        )
+    return F.expr(f"case {' '.join(branches)} else 0 end") if branches else F.lit(0)
 
 
 def score_events(events: DataFrame, ladder: Iterable[Rung] | DataFrame = LADDER) -> DataFrame:

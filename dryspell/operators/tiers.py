@@ -115,16 +115,14 @@ def date_tiers(clipped: DataFrame, keys: Sequence[str] = GROUP_KEY) -> DataFrame
 
 def event_rows(dated: DataFrame, keys: Sequence[str] = GROUP_KEY) -> DataFrame:
     """One row per dated tier, with the run start and the tier's rank that break ties later on."""
-    options = F.array(*[
-        F.struct(
-            F.lit(rank).alias("event_order"),
-            F.lit(SANDWICH_EVENT if name == "D2_Sandwich" else name).alias("event"),
-            F.col(name).alias("qualifying_date"),
-        )
+    options = ", ".join(
+        f"struct({rank} as event_order, "
+        f"'{SANDWICH_EVENT if name == 'D2_Sandwich' else name}' as event, "
+        f"{name} as qualifying_date)"
         for rank, name in enumerate(EVENT_ORDER)
-    ])
+    )
     return (
         dated.where(F.coalesce(*EVENT_ORDER).isNotNull())
-        .select(*keys, F.col("clip_start"), F.inline(options))
+        .select(*keys, "clip_start", F.expr(f"inline(array({options}))"))
         .where(F.col("qualifying_date").isNotNull())
     )

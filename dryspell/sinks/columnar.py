@@ -113,7 +113,7 @@ def document_lines(
         F.lit(schema).alias("schema"), F.lit(dataset).alias("dataset"),
         F.lit(license_name).alias("license"), F.col("lo").alias("year0"),
         F.array("lo", "hi").alias("years"),
-    ))
+    ), {"ignoreNullFields": "false"})
     head = F.substring(head, F.lit(1), F.length(head) - 1)
     parts = [totals.select(*_line(0, head, []))]
 

@@ -233,6 +233,20 @@ def test_published_report(published):
     )
 
 
+def test_an_empty_result_is_published(spark, tmp_path):
+    observations = spark.createDataFrame(
+        [], "fips string, source string, usdm_date date, drought_class int"
+    )
+    windows = spark.createDataFrame([], (
+        "fips string, fsa_county string, program_year int, pasture_type string, "
+        "window_start date, window_end date"
+    ))
+    publish(determine(observations, windows), windows, str(tmp_path / "out"))
+    document = json.loads("\n".join(lines_of(tmp_path / "out" / "eligibility_json")))
+    assert document["n"] == 0 and document["year0"] is None and document["types"] == []
+    assert "Records: 0" in lines_of(tmp_path / "out" / "report")
+
+
 def test_nothing_is_published_when_an_invariant_fails(spark, published, tmp_path):
     _, result = published
     early = result.withColumn("program_year", F.col("program_year") - 12)

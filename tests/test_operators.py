@@ -146,7 +146,7 @@ def test_escalation_keeps_the_strictly_rising_rows(spark):
 
 
 def test_ladder_as_expression_and_as_table(spark):
-    from dryspell.model import LADDER
+    from dryspell.model import LADDER, Rung
 
     events = ["D2", "D2a_2026", "D2b_2026", "D3a", "D3b", "D4a", "D4b", "other"]
     df = spark.createDataFrame(
@@ -162,6 +162,10 @@ def test_ladder_as_expression_and_as_table(spark):
     assert ("D2", 2025, 1) in direct and ("D2b_2026", 2026, 2) in direct
     assert not [r for r in direct if r[1] == 2007 or r[0] == "other"]
     assert not [r for r in direct if r[0] == "D2" and r[1] == 2026]
+    odd = [Rung("it's \\ odd", 2000, None, 7)]
+    named = df.withColumn("event", F.lit("it's \\ odd"))
+    assert {r.drought_factor for r in scoring.score_events(named, odd).collect()} == {7}
+    assert scoring.score_events(df, []).isEmpty()
 
 
 @settings(max_examples=1, deadline=None)
