@@ -63,10 +63,17 @@ def long_from_wide(
     ids: Sequence[str] = ("fips", "usdm_date"),
     value: str = "drought_class",
 ) -> DataFrame:
-    """Wide to long without the empty cells, classes below D2 merged into one."""
+    """Wide to long without the empty cells, classes below D2 merged into one.
+
+    Made with a generator, which keeps the partitioning of ``wide``: partitioned by unit before, the
+    series need no further shuffle to be encoded into runs.
+    """
     sources = list(sources) if sources else [c for c in wide.columns if c not in ids]
+    cells = F.array(*[
+        F.struct(F.lit(s).alias("source"), F.col(f"`{s}`").alias(value)) for s in sources
+    ])
     return (
-        wide.unpivot(list(ids), [F.col(f"`{s}`") for s in sources], "source", value)
+        wide.select(*ids, F.inline(cells))
         .where(F.col(value).isNotNull())
         .withColumn(value, collapse_levels(value))
     )

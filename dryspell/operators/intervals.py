@@ -12,6 +12,9 @@ from dryspell.functions.dates import day_bin, length_days, overlaps
 WINDOW_SPAN = ("window_start", "window_end")
 RUN_SPAN = ("run_start", "run_end")
 
+# Windows of five short columns, up to two bins each: about 200 MB in memory.
+BROADCAST_ROWS = 1_000_000
+
 
 def _binned(df: DataFrame, span: Sequence[str], bin_days: int) -> DataFrame:
     start, end = span
@@ -27,6 +30,7 @@ def interval_join(
     right_span: Sequence[str] = RUN_SPAN,
     bin_days: int | None = 366,
     salts: int = 1,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Pairs with equal ``on`` whose closed spans share a day. Null or reversed spans match nothing.
 
@@ -35,9 +39,13 @@ def interval_join(
     rows of one bin instead of all its rows, and spreads over as many tasks as it has bins.
 
     ``salts`` spreads one (key, bin) further: each left row takes one of ``salts`` slots and the
-    right side is repeated per slot. Which side is shuffled or broadcast is left to Spark, which
-    checks the sizes; in a sort-merge join it also splits skewed partitions at run time.
+    right side is repeated per slot. A sort-merge join also splits skewed partitions at run time.
+
+    ``strategy`` is ``broadcast`` (the left side), ``merge``, or None to let Spark choose by the sizes
+    it estimates; :func:`sized_strategy` chooses by a count.
     """
+    if strategy not in (None, "broadcast", "merge"):
+        raise ValueError(f"unknown strategy: {strategy}")
     (ls, le), (rs, re_) = left_span, right_span
     keys = list(on)
     if bin_days is None:
@@ -51,12 +59,21 @@ def interval_join(
         left = left.withColumn("_slot", slot.cast("int"))
         right = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         keys.append("_slot")
+    if strategy:
+        left = left.hint(strategy)
     pairs = left.join(right, keys).where(overlaps(ls, le, rs, re_))
     if bin_days is not None:
         pairs = pairs.where(F.col("_bin") == day_bin(F.greatest(ls, rs), bin_days))
     return pairs.drop("_bin", "_slot")
 
 
+def sized_strategy(windows: DataFrame, max_rows: int = BROADCAST_ROWS) -> str:
+    """``broadcast`` when ``windows`` is counted to be small, else ``merge``. Estimates from file sizes
+    can be far off for sorted, dictionary-coded files. ``windows`` is materialized, so the count reads
+    file footers only."""
+    return "broadcast" if windows.count() <= max_rows else "merge"
+
+
 def clip(
     pairs: DataFrame,
     left_span: Sequence[str] = WINDOW_SPAN,

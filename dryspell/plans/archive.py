@@ -7,10 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from dryspell.lineage import materialize
-from dryspell.operators.aggregate import long_from_wide
+from dryspell.operators.intervals import sized_strategy
 from dryspell.operators.quality import validate_inputs
 from dryspell.operators.units import map_units
-from dryspell.plans.determine import determine
+from dryspell.plans.determine import determine, weekly_series
 from dryspell.plans.ingest import ingest
 from dryspell.plans.publish import publish
 from dryspell.sinks.manifests import write_file_manifest, write_url_manifest
@@ -45,7 +45,8 @@ def rebuild(
     windows = materialize(map_units(offices, crosswalk))
     validate_inputs(offices, windows, crosswalk)
 
-    eligibility = determine(long_from_wide(wide, sources), windows, **join)
+    join.setdefault("strategy", sized_strategy(windows))
+    eligibility = determine(weekly_series(wide, sources), windows, **join)
     result = publish(eligibility, windows, f"{out_dir}/result")
 
     inventory = file_inventory(spark, data)

@@ -17,7 +17,9 @@ from dryspell.operators import aggregate, dictionary, listings, quality, scoring
 from dryspell.operators.runs import run_length_encode
 from dryspell.plans import bindings as b
 from dryspell.plans import oracle as o
-from dryspell.plans.determine import clipped_runs, dated_events, determine, drought_runs
+from dryspell.plans.determine import (
+    clipped_runs, dated_events, determine, drought_runs, weekly_series,
+)
 from dryspell.sinks import columnar, report
 
 QUERIES: dict[str, Callable] = {}
@@ -321,6 +323,14 @@ def eligibility_blocked_salted(binding, spark, sf_dir):
     return determine(*binding.inputs(spark, sf_dir), block_days=366, salts=4)
 
 
+@on_both("eligibility_from_wide", "select * from elig")
+def eligibility_from_wide(binding, spark, sf_dir):
+    """From the weekly table with one column per source, as it is stored."""
+    observations, windows = binding.inputs(spark, sf_dir)
+    wide = aggregate.pivot_sources(observations, binding.sources)
+    return determine(weekly_series(wide, binding.sources), windows)
+
+
 @on_both("eligibility_joined_by_source", "select * from elig")
 def eligibility_joined_by_source(binding, spark, sf_dir):
     return determine(*binding.inputs(spark, sf_dir), sources=binding.sources)

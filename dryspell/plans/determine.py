@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dryspell.functions.levels import collapse_levels
 from dryspell.model import LADDER, RESULT_COLUMNS, Rung
+from dryspell.operators.aggregate import long_from_wide
 from dryspell.operators.intervals import clip, interval_join
 from dryspell.operators.runs import run_length_encode
 from dryspell.operators.scoring import escalating, score_events
@@ -21,12 +22,19 @@ def drought_runs(observations: DataFrame, block_days: int | None = None) -> Data
     return run_length_encode(merged, block_days=block_days)
 
 
+def weekly_series(wide: DataFrame, sources: Sequence[str]) -> DataFrame:
+    """Observations of a weekly wide table, ready for :func:`determine`. The wide rows are shuffled by
+    unit once, one row per unit and week; the long rows made from them are not shuffled again."""
+    return long_from_wide(wide.repartition("fips"), sources)
+
+
 def clipped_runs(
     windows: DataFrame,
     runs: DataFrame,
     bin_days: int | None = 366,
     salts: int = 1,
     sources: Sequence[str] | None = None,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Runs of each unit cut to each of its grazing windows.
 
@@ -39,7 +47,8 @@ def clipped_runs(
     if sources:
         per_source = F.explode(F.array(*[F.lit(s) for s in sources]))
         windows, on = windows.withColumn("source", per_source), ["fips", "source"]
-    return clip(interval_join(windows, spans, on, bin_days=bin_days, salts=salts))
+    options = {"bin_days": bin_days, "salts": salts, "strategy": strategy}
+    return clip(interval_join(windows, spans, on, **options))
 
 
 def dated_events(

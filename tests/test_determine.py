@@ -9,7 +9,9 @@ from datetime import date, timedelta
 
 import pytest
 
-from dryspell.plans.determine import clipped_runs, determine, drought_runs
+from dryspell.operators.aggregate import pivot_sources
+from dryspell.operators.intervals import sized_strategy
+from dryspell.plans.determine import clipped_runs, determine, drought_runs, weekly_series
 
 from evaluator import determine as expected_events
 from evaluator import tuesday
@@ -121,6 +123,7 @@ def test_variants_agree(spark):
     for options in (
         {}, {"block_days": 30}, {"block_days": 366, "salts": 5}, {"bin_days": 31}, {"salts": 3},
         {"sources": ["a", "b"]}, {"sources": ["b", "a"], "salts": 2, "bin_days": None},
+        {"strategy": "merge"}, {"strategy": "broadcast", "salts": 2},
     ):
         assert sorted(determine(observations, windows, **options).collect()) == plain
 
@@ -147,6 +150,23 @@ def test_join_by_source_needs_one_shuffle_of_the_observations(spark):
     assert shuffles == 2
 
 
+def test_wide_weeks_are_shuffled_once(spark, tmp_path):
+    observations, windows = as_frames(spark, *random_tables(7))
+    plain = sorted(determine(observations, windows).collect())
+    pivot_sources(observations, ["a", "b"]).write.parquet(str(tmp_path / "wide"))
+    windows.write.parquet(str(tmp_path / "windows"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    windows = spark.read.parquet(str(tmp_path / "windows"))
+    assert sized_strategy(windows) == "broadcast" and sized_strategy(windows, 5) == "merge"
+    df = determine(weekly_series(wide, ["a", "b"]), windows, strategy="broadcast")
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain()
+    assert sorted(df.collect()) == plain
+    # Beside the broadcast of the small window table.
+    assert plan.getvalue().count("Exchange hashpartitioning") == 1
+
+
 def test_hot_unit(spark):
     """One unit with most windows and observations gives the same rows under every strategy."""
     weeks, windows = random_tables(11)
