@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from dryspell.plans import catalog
 
 # Rows of the flagship query recorded for the given tables.
 RECORDED = {"sf0.001": 1629, "sf0.01": 3129, "sf0.1": 3733}
@@ -22,7 +23,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
