@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from dryspell.lineage import materialize
 
-TABLES = 8
-PROBES = 12
+TABLES = 10
+PROBES = 16
 BUCKET_POINTS = 4096
 SEED = 7
 
