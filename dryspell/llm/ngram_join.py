@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -38,6 +39,8 @@ from dryspell.llm.words import Texts, pieces, shingle_sets
 GROUPS = 64
 LEAF = 32
 BLOCK = 2048
+PART = 256
+FILTER_BITS = 1 << 24
 SAMPLE_DOCS = 20_000
 FREQUENT = 50_000
 THRESHOLD = Fraction(4, 5)
@@ -91,11 +94,6 @@ def profiles(
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def close_sizes(a: str, b: str, threshold: Fraction) -> str:
-    p, q = threshold.numerator, threshold.denominator
-    return f"{q} * least({a}, {b}) >= {p} * greatest({a}, {b})"
-
-
 def enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: Fraction) -> np.ndarray:
     """Whether ``overlap`` shingles in common suffice: i / (a + b - i) >= t."""
     p, q = threshold.numerator, threshold.denominator
@@ -194,47 +192,82 @@ def tree_pairs(rows: DataFrame, groups: int, threshold: Fraction) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, threshold: Fraction) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets reach the threshold."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(asked, "node").select("node", F.col("set").alias("name"), "rep")
+    """Those of the pairs (a, b) of nodes whose sets reach the threshold.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            found = shingle_sets(Texts(batch.column("text")), words)
-            names = [xxhash.xxh3_128_digest(own.tobytes()) for own in found]
-            same = [k for k, (x, y) in enumerate(zip(names, batch.column("name").to_pylist())) if x == y]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("node").take(pa.array(same, pa.int64())),
-                pa.array([found[k].tobytes() for k in same], pa.binary()),
-            ], ["node", "shingles"])
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    # An id may be repeated; its row with the node's own set is the one.
-    own = materialize(
-        texts.join(wanted, "rep").select("node", "name", "text")
-        .mapInArrow(sets, "node long, shingles binary")
+    The texts of the nodes at hand are fetched once, then go to where their pairs are: the text of ``b`` to
+    a part of the pairs of ``a``, and that of ``a`` once to each of its parts of ``PART`` pairs. There the
+    sets are made and compared one after the other.
+    """
+    degree = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    part = F.expr("cast(pmod(xxhash64(b), parts) as int)")
+    second = pairs.join(degree, "a").select(
+        F.col("a").alias("hub"), part.alias("part"), F.lit(1).alias("side"), F.col("b").alias("node")
+    )
+    first = degree.select(
+        F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(0).alias("side"), F.col("a").alias("node"),
+    )
+    places = materialize(
+        first.union(second).join(nodes.select("node", F.col("set").alias("name"), "rep"), "node")
+    )
+    texts = maybe_among(
+        docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", places.select("rep")
+    )
+    dealt = (
+        texts.join(places, "rep").drop("rep")
+        .repartition("hub", "part").sortWithinPartitions("hub", "part", "side", "node")
     )
-    own = own.dropDuplicates(["node"]) if own.count() > asked.count() else own
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for k, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = np.array([(y[at] == x).sum()])
-                if enough(common, np.array([len(x)]), np.array([len(y)]), threshold)[0]:
-                    keep.append(k)
-            keep = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("a", "b")], ["a", "b"])
-
-    both = pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, mine, done = None, np.zeros(0, np.uint64), None
+        for batch in pieces(batches):
+            sets = shingle_sets(Texts(batch.column("text")), words)
+            a, b = [], []
+            for own, hub, place, side, node, name in zip(
+                sets, *(batch.column(c).to_pylist() for c in ("hub", "part", "side", "node", "name"))
+            ):
+                # An id may be repeated: the row with the node's own set is the one, and once is enough.
+                if xxhash.xxh3_128_digest(own.tobytes()) != name or done == (hub, place, side, node):
+                    continue
+                done = hub, place, side, node
+                if side == 0:
+                    at, mine = (hub, place), own
+                elif at == (hub, place):
+                    spot = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+                    common = np.array([(own[spot] == mine).sum()])
+                    if enough(common, np.array([len(mine)]), np.array([len(own)]), threshold)[0]:
+                        a.append(hub)
+                        b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted``: a filter ahead of a join.
+
+    The filter is a bitmap of ``FILTER_BITS`` bits whatever the number of keys. With many keys it lets more
+    rows through, which costs time and nothing else.
+    """
+    spot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    found = (
+        wanted.select(spot.alias("spot"))
+        .selectExpr("cast(spot div 64 as int) as word", "shiftleft(1L, cast(spot % 64 as int)) as bit")
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     )
-    return both.select("a", "b", "x", "y").mapInArrow(count, "a long, b long")
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy()
+    held = rows.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def there(spots: pd.Series) -> pd.Series:
+        x = spots.to_numpy().astype(np.uint64)
+        return pd.Series((held.value[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1) == 1)
+
+    return rows.where(F.col(key).isNotNull()).where(there(spot))
 
 
-def bounded(pairs: DataFrame, nodes: DataFrame, threshold: Fraction) -> DataFrame:
+def bounded(pairs: DataFrame, points: DataFrame, threshold: Fraction) -> DataFrame:
     """Those of the pairs whose points' summed minima allow the threshold."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,8 +279,12 @@ def bounded(pairs: DataFrame, nodes: DataFrame, threshold: Fraction) -> DataFram
             keep = pa.array(np.flatnonzero(good))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in "ab"], ["a", "b"])
 
-    both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("point").alias("x")), "a").join(
-        nodes.select(F.col("node").alias("b"), F.col("point").alias("y")), "b"
+    p, q = threshold.numerator, threshold.denominator
+    both = (
+        pairs.join(points.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+        .join(points.select(F.col("node").alias("b"), F.col("point").alias("y"), F.col("n").alias("n_b")), "b")
+        .where(f"{q} * least(n_a, n_b) >= {p} * greatest(n_a, n_b)")
+        .join(points.select(F.col("node").alias("a"), F.col("point").alias("x")), "a")
     )
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
@@ -264,36 +301,33 @@ def similar_groups(
     hint = frequent_shingles(docs.where("doc_id is not null"), words, sample_docs, frequent)
     profile = materialize(profiles(docs, words, groups, threshold, hint))
     held = profile.where("doc_id is not null and set is not null")
-    nodes = held.groupBy("set").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"),
-        F.first("point").alias("point"), F.first("prefix").alias("prefix"),
-    )
+    nodes = held.groupBy("set").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
     # A node is named by its smallest id; if the id is repeated, by a negative hash from its second set on.
     nth = F.row_number().over(Window.partitionBy("rep").orderBy("set"))
     name = F.when(nth == 1, F.col("rep")).otherwise(-F.abs(F.xxhash64("set") % (1 << 62)) - 1)
     nodes = materialize(nodes.withColumn("node", name))
+    first = held.join(nodes.select("set", "node", "rep"), "set").where("doc_id = rep")
 
     tree = Window.partitionBy("h")
     rows = (
-        nodes.select("node", "n", F.explode("prefix").alias("h"))
+        first.select("node", F.explode("prefix").alias("h"))
         .withColumns({
-            "m": F.count("*").over(tree), "leader": F.min("node").over(tree),
-            "mark": F.bit_xor(F.xxhash64("node")).over(tree),
+            "leader": F.min("node").over(tree), "last": F.max("node").over(tree),
+            "m": F.count("*").over(tree), "mark": F.bit_xor(F.xxhash64("node")).over(tree),
         })
-        .where("m > 1")
+        .where("leader < last").drop("last")
     )
     rows = materialize(rows)
+    points = first.select("node", "point").join(rows.select("node").distinct(), "node", "left_semi")
+    points = materialize(points.join(nodes.select("node", "n"), "node").dropDuplicates(["node"]))
     # Trees of the same points are one tree.
     once = rows.where("node = leader").groupBy("m", "leader", "mark").agg(F.min("h").alias("h")).select("h")
-    sized = nodes.select(F.col("node").alias("leader"), F.col("n").alias("leader_n"))
-    rows = materialize(rows.join(once, "h", "left_semi").select("h", "node", "n", "m", "leader"))
+    rows = materialize(rows.join(once, "h", "left_semi").select("h", "node", "m", "leader"))
 
-    stars = (
-        rows.where("node <> leader").select("leader", "node", "n").distinct().join(sized, "leader")
-        .where(close_sizes("n", "leader_n", threshold))
-        .select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    )
-    stars = materialize(bounded(stars, nodes, threshold))
+    stars = rows.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    stars = bounded(stars, points, threshold)
+    # One link is enough for a first guess at the classes; the rest is left to the trees.
+    stars = materialize(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     links = materialize(verified(stars, docs, nodes, words, threshold))
     classes = materialize(components(links))
 
@@ -304,7 +338,7 @@ def similar_groups(
         mixed.withColumn("parts", parts)
         .withColumn("block", F.expr("cast(pmod(xxhash64(node, h), parts) as int)"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .join(nodes.select("node", "point"), "node")
+        .join(points, "node")
         .select("h", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                 "block", "node", "n", "class", "point")
         .repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")

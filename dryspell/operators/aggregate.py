@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from dryspell.functions.levels import collapse_levels
 
 
+def _listed(source: Column, sources: Sequence[str]) -> Column:
+    """``source``; a row of a source that has no column raises when it is read."""
+    name = F.coalesce(source, F.lit("null"))
+    return F.when(source.isin(*sources), source).otherwise(
+        F.raise_error(F.concat(F.lit("no column for source "), name))
+    )
+
+
 def _null_aware_max(value: Column, rows: Column) -> Column:
     """Maximum of ``value``, or null as soon as one of the counted rows has no value."""
     return F.when(F.count(value) == rows, F.max(value))
@@ -35,14 +43,16 @@ def weekly_wide(
     """Worst class per cell with one column per source, straight from raw rows in one shuffle.
 
     Same rows as :func:`worst_class` followed by :func:`pivot_sources`; the conditional aggregates
-    save the second shuffle that a pivot after the aggregation would need.
+    save the second shuffle that a pivot after the aggregation would need. A source that is not listed
+    raises.
     """
+    raw = raw.withColumn(source, _listed(F.col(source), sources))
     cells = []
     for name in sources:
         here = F.col(source) == name
         rows = F.count(F.when(here, F.lit(1)))
         cells.append(_null_aware_max(F.when(here, F.col(value)), rows).alias(name))
-    return raw.where(F.col(source).isin(*sources)).groupBy(*ids).agg(*cells)
+    return raw.groupBy(*ids).agg(*cells)
 
 
 def pivot_sources(
@@ -52,9 +62,11 @@ def pivot_sources(
     source: str = "source",
     value: str = "drought_class",
 ) -> DataFrame:
-    """Long to wide: one column per source, null where a source has no row."""
+    """Long to wide: one column per source, null where a source has no row. A source that is not listed
+    raises."""
+    cells = cells.withColumn(source, _listed(F.col(source), sources))
     columns = [F.max(F.when(F.col(source) == s, F.col(value))).alias(s) for s in sources]
-    return cells.where(F.col(source).isin(*sources)).groupBy(*ids).agg(*columns)
+    return cells.groupBy(*ids).agg(*columns)
 
 
 def long_from_wide(

@@ -12,11 +12,11 @@ from dryspell.functions.dates import day_bin, length_days, overlaps
 WINDOW_SPAN = ("window_start", "window_end")
 RUN_SPAN = ("run_start", "run_end")
 
-# Windows of five short columns, up to two bins each: about 200 MB in memory.
-BROADCAST_ROWS = 1_000_000
+HOT_ROWS = 10_000
 
 
-def _binned(df: DataFrame, span: Sequence[str], bin_days: int) -> DataFrame:
+def binned(df: DataFrame, span: Sequence[str], bin_days: int) -> DataFrame:
+    """Rows with a usable span, once for each time bin (``_bin``) that it touches."""
     start, end = span
     bins = F.sequence(day_bin(start, bin_days), day_bin(end, bin_days))
     return df.where(F.col(start) <= F.col(end)).withColumn("_bin", F.explode(bins))
@@ -31,6 +31,7 @@ def interval_join(
     bin_days: int | None = 366,
     salts: int = 1,
     strategy: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Pairs with equal ``on`` whose closed spans share a day. Null or reversed spans match nothing.
 
@@ -38,11 +39,13 @@ def interval_join(
     the bin where the later of the two starts, so every pair appears once. A key then compares the
     rows of one bin instead of all its rows, and spreads over as many tasks as it has bins.
 
-    ``salts`` spreads one (key, bin) further: each left row takes one of ``salts`` slots and the
-    right side is repeated per slot. A sort-merge join also splits skewed partitions at run time.
+    ``salts`` spreads a (key, bin) further that more than ``hot_rows`` left rows share: each of them
+    takes one of ``salts`` slots, and the right rows of these keys alone are repeated per slot. A
+    sort-merge join also splits skewed partitions at run time.
 
-    ``strategy`` is ``broadcast`` (the left side), ``merge``, or None to let Spark choose by the sizes
-    it estimates; :func:`sized_strategy` chooses by a count.
+    ``strategy`` is ``broadcast`` (the left side, which needs no salts), ``merge``, or None to let Spark
+    choose by size. A left side that holds ``_bin`` already, from :func:`binned`, is taken as it is: it
+    can be written before, so that Spark knows the size of what it may broadcast.
     """
     if strategy not in (None, "broadcast", "merge"):
         raise ValueError(f"unknown strategy: {strategy}")
@@ -52,12 +55,21 @@ def interval_join(
         left = left.where(F.col(ls) <= F.col(le))
         right = right.where(F.col(rs) <= F.col(re_))
     else:
-        left, right = _binned(left, left_span, bin_days), _binned(right, right_span, bin_days)
+        if "_bin" not in left.columns:
+            left = binned(left, left_span, bin_days)
+        right = binned(right, right_span, bin_days)
         keys.append("_bin")
-    if salts > 1:
-        slot = F.pmod(F.xxhash64(*[c for c in left.columns if c != "_bin"]), F.lit(salts))
-        left = left.withColumn("_slot", slot.cast("int"))
-        right = right.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if salts > 1 and strategy != "broadcast":
+        hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+        hot = hot.select(*keys, F.lit(True).alias("_hot"))
+        slot = F.pmod(F.xxhash64(*[c for c in left.columns if c != "_bin"]), F.lit(salts)).cast("int")
+        left = left.join(hot, keys, "left").withColumn(
+            "_slot", F.when(F.col("_hot"), slot).otherwise(F.lit(0))
+        ).drop("_hot")
+        last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
+        right = right.join(hot, keys, "left").withColumn(
+            "_slot", F.explode(F.sequence(F.lit(0), last))
+        ).drop("_hot")
         keys.append("_slot")
     if strategy:
         left = left.hint(strategy)
@@ -67,13 +79,6 @@ def interval_join(
     return pairs.drop("_bin", "_slot")
 
 
-def sized_strategy(windows: DataFrame, max_rows: int = BROADCAST_ROWS) -> str:
-    """``broadcast`` when ``windows`` is counted to be small, else ``merge``. Estimates from file sizes
-    can be far off for sorted, dictionary-coded files. ``windows`` is materialized, so the count reads
-    file footers only."""
-    return "broadcast" if windows.count() <= max_rows else "merge"
-
-
 def clip(
     pairs: DataFrame,
     left_span: Sequence[str] = WINDOW_SPAN,

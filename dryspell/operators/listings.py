@@ -86,13 +86,12 @@ def completeness_gate(
     return rows.groupBy("file").agg(checks.alias("posted"))
 
 
-def nest_by_source(manifest: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """One row per file with its ``(source, url)`` pairs, one per source and in source order. The
-    manifest is unique on (source, file)."""
-    cells = [
-        F.max(F.when(F.col("source") == s, F.struct("source", "url"))) for s in sources
-    ]
-    return manifest.groupBy("file").agg(F.array_compact(F.array(*cells)).alias("entries"))
+def nest_by_source(manifest: DataFrame) -> DataFrame:
+    """One row per file with its ``(source, url)`` pairs in source order. Every row of the manifest is
+    in one of the lists, whose length is the number of sources that list the file."""
+    return manifest.groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("source", "url"))).alias("entries")
+    )
 
 
 def unnest(nested: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dryspell.model import GROUP_KEY, LADDER, Rung
+from dryspell.model import GROUP_KEY, LADDER, Rung, ValidationError
+
+MAX_RUNGS = 1000
 
 
 def ladder_factor(ladder: Iterable[Rung] = LADDER) -> Column:
@@ -26,25 +28,29 @@ def ladder_factor(ladder: Iterable[Rung] = LADDER) -> Column:
 def score_events(events: DataFrame, ladder: Iterable[Rung] | DataFrame = LADDER) -> DataFrame:
     """Add ``drought_factor`` and keep the events that earn something.
 
-    A ladder given as rungs becomes one expression and needs no join. A ladder given as a table
-    (``event, first_year, last_year, factor``) is joined on event and year span.
+    The ladder becomes one expression and needs no join, also where it is given as a table
+    (``event, first_year, last_year, factor``). Such a table is read when the plan is built.
     """
     if isinstance(ladder, DataFrame):
-        rungs = ladder.select(
-            F.col("event").alias("_event"), "first_year", "last_year",
-            F.col("factor").cast("int").alias("drought_factor"),
-        )
-        scored = events.join(
-            rungs,
-            (F.col("event") == F.col("_event"))
-            & (F.col("program_year") >= F.col("first_year"))
-            & (F.col("last_year").isNull() | (F.col("program_year") <= F.col("last_year"))),
-        ).drop("_event", "first_year", "last_year")
-    else:
-        scored = events.withColumn("drought_factor", ladder_factor(ladder))
+        ladder = read_ladder(ladder)
+    scored = events.withColumn("drought_factor", ladder_factor(ladder))
     return scored.where(F.col("drought_factor") > 0)
 
 
+def read_ladder(table: DataFrame, max_rungs: int = MAX_RUNGS) -> list[Rung]:
+    """The rungs of a ladder table. Spans of one event that overlap raise, as do more than
+    ``max_rungs`` rungs: such a table is no ladder."""
+    rows = table.select("event", "first_year", "last_year", "factor").limit(max_rungs + 1).collect()
+    if len(rows) > max_rungs:
+        raise ValidationError(f"a ladder of more than {max_rungs} rungs")
+    rungs = sorted((Rung(*r) for r in rows), key=lambda r: (r.event, r.first_year))
+    for one, following in zip(rungs, rungs[1:]):
+        open_ended = one.last_year is None or one.last_year >= following.first_year
+        if one.event == following.event and open_ended:
+            raise ValidationError(f"rungs of {one.event} overlap from {following.first_year}")
+    return rungs
+
+
 def escalating(
     df: DataFrame,
     keys: Sequence[str] = GROUP_KEY,

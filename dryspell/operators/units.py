@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.model import WINDOW_KEY
+from dryspell.operators.quality import checked_join
 
 CELL_KEY = ("source", "program_year", "pasture_type")
 
@@ -95,23 +96,22 @@ def source_sensitivity(
         for s in sources
     ]
     columns = [F.col(f"factor_{s}") for s in sources]
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | c.isNull()
-    differs = F.greatest(*columns) != F.least(*columns)
+    found = F.array_compact(F.array(*columns))
+    differs = (F.size(found) < len(columns)) | (F.array_max(found) != F.array_min(found))
     return (
-        eligibility.where(F.col("source").isin(*sources)).groupBy(*keys).agg(*top)
-        .where(missing | differs)
+        eligibility.where(F.col("source").isin(*sources)).groupBy(*keys).agg(*top).where(differs)
     )
 
 
 def payable(eligibility: DataFrame, caps: DataFrame, on: Sequence[str] = WINDOW_KEY) -> DataFrame:
-    """Cap each factor by the ``max_months`` its window allows (caps come from the caller)."""
-    return (
-        eligibility.join(caps.select(*on, "max_months"), list(on), "left")
-        .withColumn("payable_months", F.least("drought_factor", "max_months"))
-        .drop("max_months")
-    )
+    """Cap each factor by the ``max_months`` its window allows (caps come from the caller).
+
+    A window without a cap has no known payment: its ``payable_months`` is null. Caps that repeat a
+    window raise, which takes a job when the plan is built.
+    """
+    capped = checked_join(eligibility, caps.select(*on, "max_months"), on, "many-to-one", "left")
+    known = F.when(F.col("max_months").isNotNull(), F.least("drought_factor", "max_months"))
+    return capped.withColumn("payable_months", known).drop("max_months")
 
 
 def factor_map(

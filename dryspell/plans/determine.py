@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.functions.levels import collapse_levels
-from dryspell.model import LADDER, RESULT_COLUMNS, Rung
+from dryspell.lineage import materialize
+from dryspell.model import GROUP_KEY, LADDER, RESULT_COLUMNS, Rung
 from dryspell.operators.aggregate import long_from_wide
-from dryspell.operators.intervals import clip, interval_join
+from dryspell.operators.intervals import HOT_ROWS, WINDOW_SPAN, binned, clip, interval_join
 from dryspell.operators.runs import run_length_encode
 from dryspell.operators.scoring import escalating, score_events
 from dryspell.operators.tiers import date_tiers, event_rows, relevant_runs
+from dryspell.operators.units import observed_only
 
 
 def drought_runs(observations: DataFrame, block_days: int | None = None) -> DataFrame:
@@ -35,28 +37,43 @@ def clipped_runs(
     salts: int = 1,
     sources: Sequence[str] | None = None,
     strategy: str | None = None,
+    hot_rows: int = HOT_ROWS,
+    write_windows: bool = False,
 ) -> DataFrame:
     """Runs of each unit cut to each of its grazing windows.
 
     With ``sources`` the windows are repeated per source and the join is on unit and source, which
     keeps to the sources given. The keys then cover the runs' own partitioning: where
     ``spark.sql.requireAllClusterKeysForCoPartition`` is off, Spark shuffles the windows alone and
-    runs, pairs and all later windows stay where the run encoding put them.
+    runs and pairs stay where the run encoding put them.
+
+    With ``write_windows`` the windows, once per source and time bin as the join takes them, are written
+    first: Spark then decides on a broadcast by the size of just these rows.
     """
     spans, on = runs.drop("run_weeks"), ["fips"]
     if sources:
         per_source = F.explode(F.array(*[F.lit(s) for s in sources]))
         windows, on = windows.withColumn("source", per_source), ["fips", "source"]
-    options = {"bin_days": bin_days, "salts": salts, "strategy": strategy}
+    if write_windows:
+        if bin_days is not None:
+            windows = binned(windows, WINDOW_SPAN, bin_days)
+        windows = materialize(windows)
+    options = {"bin_days": bin_days, "salts": salts, "strategy": strategy, "hot_rows": hot_rows}
     return clip(interval_join(windows, spans, on, **options))
 
 
 def dated_events(
     observations: DataFrame, windows: DataFrame, block_days: int | None = None, **join
 ) -> DataFrame:
-    """Every dated tier; ``join`` holds the options of :func:`clipped_runs`."""
-    runs = drought_runs(observations, block_days)
-    return event_rows(date_tiers(relevant_runs(clipped_runs(windows, runs, **join))))
+    """Every dated tier; ``join`` holds the options of :func:`clipped_runs`.
+
+    Units without a window leave before anything is encoded. After the join the pairs that matter are
+    dealt out by window and source: also after a broadcast, which leaves all pairs of a unit where its
+    runs are, a unit with many windows spreads over as many tasks.
+    """
+    runs = drought_runs(observed_only(observations, windows), block_days)
+    pairs = relevant_runs(clipped_runs(windows, runs, **join))
+    return event_rows(date_tiers(pairs.repartition(*GROUP_KEY)))
 
 
 def determine(
