@@ -3,7 +3,8 @@
 Every set is a point: its shingles are hashed into groups and counted by group. The overlap of two sets is
 at most the sum over groups of the smaller count, and for boxes of points the sum of the smaller upper
 edges, so an R-tree over the points leaves out pairs, and whole boxes, that cannot reach the threshold.
-Pairs that pass are verified on the sets themselves.
+Pairs that pass meet once more as finer points, with groups for half of the shingles or more, as a few
+hundred groups tell little about sets of thousands. What is left is verified on the sets themselves.
 
 One R-tree over all points would compare every point with most boxes, since boxes of unrelated texts of one
 length overlap in nearly all of some dozen groups. The trees are therefore planted by shared shingle: two
@@ -36,7 +37,7 @@ from dryspell.lineage import materialize
 from dryspell.llm.components import components
 from dryspell.llm.words import Texts, pieces, shingle_sets
 
-GROUPS = 64
+GROUPS = 256
 LEAF = 32
 BLOCK = 2048
 PART = 256
@@ -61,24 +62,42 @@ def frequent_shingles(docs: DataFrame, words: int, sample_docs: int, frequent: i
     return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
 
 
+def fineness(n: int, groups: int) -> int:
+    """The groups of the finer point of ``n`` shingles: ``groups``, doubled until they are half of ``n``."""
+    while 2 * groups < n:
+        groups *= 2
+    return groups
+
+
+def pack(counts: np.ndarray) -> bytes:
+    """Counts in the smallest unsigned integers that hold them."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def unpack(point: bytes, groups: int) -> np.ndarray:
+    return np.frombuffer(point, f"<u{len(point) // groups}")
+
+
 def profiles(
     docs: DataFrame, words: int, groups: int, threshold: Fraction, frequent: np.ndarray | None,
 ) -> DataFrame:
-    """(doc_id, set, n): the set's 128-bit name and size; with ``frequent`` also its point and prefix."""
+    """(doc_id, set, n): the set's 128-bit name and size; with ``frequent`` also its points and prefix."""
     spark = docs.sparkSession
     late = None if frequent is None else spark.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            names, sizes, points, prefixes = [], [], [], []
+            names, sizes, points, fine, prefixes = [], [], [], [], []
             for own in shingle_sets(Texts(batch.column("text")), words):
                 n = len(own)
                 names.append(xxhash.xxh3_128_digest(own.tobytes()) if n else None)
                 sizes.append(n)
                 if late is None:
                     continue
-                counts = np.bincount((own >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
-                points.append(counts.astype("<u4").tobytes())
+                spots, width = (own >> np.uint64(40)).astype(np.int64), fineness(n, groups)
+                counts = np.bincount(spots % width, minlength=width)
+                points.append(pack(counts.reshape(-1, groups).sum(axis=0)))
+                fine.append(pack(counts))
                 first = n - math.ceil(threshold * n) + 1 if n else 0
                 if len(late.value):
                     at = np.minimum(np.searchsorted(late.value, own), len(late.value) - 1)
@@ -87,10 +106,12 @@ def profiles(
                 prefixes.append(own[:first].view(np.int64))
             columns = [batch.column("doc_id"), pa.array(names, pa.binary()), pa.array(sizes, pa.int64())]
             if late is not None:
-                columns += [pa.array(points, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set", "n", "point", "prefix"][:len(columns)])
+                columns += [pa.array(points, pa.binary()), pa.array(fine, pa.binary())]
+                columns += [pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set", "n", "point", "fine", "prefix"][:len(columns)])
 
-    schema = "doc_id long, set binary, n long" + ", point binary, prefix array<long>" * (late is not None)
+    schema = "doc_id long, set binary, n long"
+    schema += ", point binary, fine binary, prefix array<long>" * (late is not None)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -158,7 +179,7 @@ def tree_pairs(rows: DataFrame, groups: int, threshold: Fraction) -> DataFrame:
             node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
             classes = table.column("class").to_numpy()
             block = table.column("block").to_numpy()
-            points = np.stack([np.frombuffer(x, "<u4") for x in table.column("point").to_pylist()]).astype(np.int64)
+            points = np.stack([unpack(x, groups) for x in table.column("point").to_pylist()])
             edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             for s, e in zip([0, *edges], [*edges, len(node)]):
                 if e - s < 2:
@@ -267,26 +288,31 @@ def maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return rows.where(F.col(key).isNotNull()).where(there(spot))
 
 
-def bounded(pairs: DataFrame, points: DataFrame, threshold: Fraction) -> DataFrame:
-    """Those of the pairs whose points' summed minima allow the threshold."""
+def bounded(pairs: DataFrame, points: DataFrame, groups: int, threshold: Fraction) -> DataFrame:
+    """Those of the pairs whose finer points' summed minima allow the threshold."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.stack([np.frombuffer(v, "<u4") for v in batch.column(c).to_pylist()]).astype(np.int64) for c in "xy")
-            good = enough(np.minimum(x, y).sum(axis=1), x.sum(axis=1), y.sum(axis=1), threshold)
-            keep = pa.array(np.flatnonzero(good))
+            overlap = []
+            for x, y, n_a, n_b in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "n_a", "n_b"))):
+                wide, other = fineness(n_a, groups), fineness(n_b, groups)
+                both = min(wide, other)
+                # The finer of the two is folded: groups that agree modulo the other's number are one there.
+                left = unpack(x, wide).reshape(-1, both).sum(axis=0)
+                right = unpack(y, other).reshape(-1, both).sum(axis=0)
+                overlap.append(int(np.minimum(left, right).sum()))
+            sizes = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            keep = pa.array(np.flatnonzero(enough(np.array(overlap, np.int64), *sizes, threshold)))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in "ab"], ["a", "b"])
 
     p, q = threshold.numerator, threshold.denominator
     both = (
         pairs.join(points.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(points.select(F.col("node").alias("b"), F.col("point").alias("y"), F.col("n").alias("n_b")), "b")
+        .join(points.select(F.col("node").alias("b"), F.col("fine").alias("y"), F.col("n").alias("n_b")), "b")
         .where(f"{q} * least(n_a, n_b) >= {p} * greatest(n_a, n_b)")
-        .join(points.select(F.col("node").alias("a"), F.col("point").alias("x")), "a")
+        .join(points.select(F.col("node").alias("a"), F.col("fine").alias("x")), "a")
     )
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    return both.select("a", "b", "x", "y", "n_a", "n_b").mapInArrow(check, "a long, b long")
 
 
 def similar_groups(
@@ -318,14 +344,14 @@ def similar_groups(
         .where("leader < last").drop("last")
     )
     rows = materialize(rows)
-    points = first.select("node", "point").join(rows.select("node").distinct(), "node", "left_semi")
+    points = first.select("node", "point", "fine").join(rows.select("node").distinct(), "node", "left_semi")
     points = materialize(points.join(nodes.select("node", "n"), "node").dropDuplicates(["node"]))
     # Trees of the same points are one tree.
     once = rows.where("node = leader").groupBy("m", "leader", "mark").agg(F.min("h").alias("h")).select("h")
     rows = materialize(rows.join(once, "h", "left_semi").select("h", "node", "m", "leader"))
 
     stars = rows.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    stars = bounded(stars, points, threshold)
+    stars = bounded(stars, points, groups, threshold)
     # One link is enough for a first guess at the classes; the rest is left to the trees.
     stars = materialize(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     links = materialize(verified(stars, docs, nodes, words, threshold))
@@ -343,7 +369,8 @@ def similar_groups(
                 "block", "node", "n", "class", "point")
         .repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")
     )
-    across = materialize(tree_pairs(dealt, groups, threshold).join(stars, ["a", "b"], "left_anti"))
+    across = tree_pairs(dealt, groups, threshold).join(stars, ["a", "b"], "left_anti")
+    across = materialize(bounded(across, points, groups, threshold))
     if not across.isEmpty():
         links = materialize(links.union(verified(across, docs, nodes, words, threshold)))
         classes = components(links)
