@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from dryspell.lineage import materialize
-from dryspell.operators.intervals import sized_strategy
 from dryspell.operators.quality import validate_inputs
 from dryspell.operators.units import map_units
 from dryspell.plans.determine import determine, weekly_series
@@ -45,7 +44,7 @@ def rebuild(
     windows = materialize(map_units(offices, crosswalk))
     validate_inputs(offices, windows, crosswalk)
 
-    join.setdefault("strategy", sized_strategy(windows))
+    join.setdefault("write_windows", True)
     eligibility = determine(weekly_series(wide, sources), windows, **join)
     result = publish(eligibility, windows, f"{out_dir}/result")
 

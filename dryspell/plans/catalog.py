@@ -727,7 +727,7 @@ def completeness_gate_listed(spark, sf_dir):
 
 @register("manifest_nested", o.files("select file, source, url from manifest"))
 def manifest_nested(spark, sf_dir):
-    return listings.unnest(listings.nest_by_source(_manifest(spark, sf_dir), b.FLAGS))
+    return listings.unnest(listings.nest_by_source(_manifest(spark, sf_dir)))
 
 
 _LISTED = """{0} as (select 'data/' || l_returnflag || '/' || l_suppkey || '_'

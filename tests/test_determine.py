@@ -10,7 +10,6 @@ from datetime import date, timedelta
 import pytest
 
 from dryspell.operators.aggregate import pivot_sources
-from dryspell.operators.intervals import sized_strategy
 from dryspell.plans.determine import clipped_runs, determine, drought_runs, weekly_series
 
 from evaluator import determine as expected_events
@@ -157,7 +156,6 @@ def test_wide_weeks_are_shuffled_once(spark, tmp_path):
     windows.write.parquet(str(tmp_path / "windows"))
     wide = spark.read.parquet(str(tmp_path / "wide"))
     windows = spark.read.parquet(str(tmp_path / "windows"))
-    assert sized_strategy(windows) == "broadcast" and sized_strategy(windows, 5) == "merge"
     df = determine(weekly_series(wide, ["a", "b"]), windows, strategy="broadcast")
     plan = io.StringIO()
     with contextlib.redirect_stdout(plan):

@@ -254,7 +254,7 @@ def test_nothing_is_published_when_an_invariant_fails(spark, published, tmp_path
         "fips string, fsa_county string, program_year int, pasture_type string, "
         "window_start date, window_end date"
     ))
-    with pytest.raises(ValidationError, match="ladder"):
+    with pytest.raises(ValidationError, match="no rung"):
         publish(early, windows, str(tmp_path / "bad"))
     assert not os.path.exists(tmp_path / "bad")
 

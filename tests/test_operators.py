@@ -256,7 +256,7 @@ def test_gate_and_nesting(spark):
     assert rows(both) == [("1", True), ("2", False), ("3", False), ("4", True)]
     built = spark.createDataFrame([("1",), ("9",)], "file string")
     assert {r[0] for r in rows(listings.pending(manifest, built).select("file"))} == {"2", "3", "4"}
-    nested = listings.nest_by_source(manifest, ["a", "b"])
+    nested = listings.nest_by_source(manifest)
     assert [len(r.entries) for r in nested.orderBy("file").collect()] == [2, 1, 2, 2]
     assert rows(listings.unnest(nested).select("source", "url", "file")) == rows(manifest)
 
