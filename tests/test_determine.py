@@ -146,7 +146,7 @@ def test_join_by_source_needs_one_shuffle_of_the_observations(spark):
     finally:
         for key in keys:
             spark.conf.unset(key)
-    # Observations, observed units, windows, and the pairs by window.
+    # Observations, units with windows, windows, and the pairs by window.
     assert shuffles == 4
 
 
