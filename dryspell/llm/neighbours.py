@@ -40,37 +40,21 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(width)
 
 
-def rotated(x: np.ndarray, table: int, level: int, seed: int) -> np.ndarray:
+def rotated(x: np.ndarray, table: int, seed: int) -> np.ndarray:
     """Unit rows, padded to a power of two, under the pseudo-rotation of one table."""
     width = 1 << max(x.shape[1] - 1, 0).bit_length()
     y = np.zeros((len(x), width))
     y[:, :x.shape[1]] = x
-    rng = np.random.Generator(np.random.PCG64([seed, table, level]))
+    rng = np.random.Generator(np.random.PCG64([seed, table, 0]))
     for _ in range(3):
         y = hadamard(y * rng.choice([-1.0, 1.0], width))
     return y
 
 
-def axes(x: np.ndarray, table: int, levels: int, probes: int, seed: int) -> np.ndarray:
-    """Buckets (rows x probes) of one table, best first.
-
-    With more than one level a bucket is a tuple of axes; probes are the tuples of largest summed
-    coordinates among each level's best axes.
-    """
-    total, ids = None, None
-    for level in range(levels):
-        y = rotated(x, table, level, seed)
-        signed = np.concatenate((y, -y), axis=1)
-        best = np.argsort(-signed, axis=1, kind="stable")[:, :probes]
-        score = np.take_along_axis(signed, best, axis=1)
-        if total is None:
-            total, ids = score, best.astype(np.int64)
-        else:
-            total = (total[:, :, None] + score[:, None, :]).reshape(len(x), -1)
-            ids = (ids[:, :, None] * signed.shape[1] + best[:, None, :]).reshape(len(x), -1)
-            keep = np.argsort(-total, axis=1, kind="stable")[:, :probes]
-            total, ids = np.take_along_axis(total, keep, axis=1), np.take_along_axis(ids, keep, axis=1)
-    return ids
+def axes(x: np.ndarray, table: int, probes: int, seed: int) -> np.ndarray:
+    """Buckets (rows x probes) of one table, best first."""
+    y = rotated(x, table, seed)
+    return np.argsort(-np.concatenate((y, -y), axis=1), axis=1, kind="stable")[:, :probes].astype(np.int64)
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -107,7 +91,8 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest found to every row that ``queries`` marks.
 
-    Tables get one more level (axes squared) each time a bucket would hold over ``bucket_points`` points.
+    A bucket is one axis however many points there are, so the share of them that a query meets, and with it
+    recall, doesn't fall with their number. Large buckets are dealt to parts of ``4 * bucket_points`` points.
     """
     lengths = (
         vectors.where(usable(F.col(vector))).groupBy(F.size(vector).alias("n")).count()
@@ -120,10 +105,6 @@ def nearest(
     right = vectors.where(F.size(vector) == dim)
     held = materialize(points(right, vec_id, vector, k + 1))
     n_points = held.count()
-    width = 2 * (1 << max(dim - 1, 0).bit_length())
-    levels = 1
-    while n_points / width**levels > bucket_points:
-        levels += 1
     asked = materialize(
         right.where(queries & usable(F.col(vector)) & F.col(vec_id).isNotNull())
         .select(F.col(vec_id).cast("long").alias("query"), F.col(vector).cast("array<double>").alias("vector"))
@@ -139,7 +120,7 @@ def nearest(
                     part = batch.slice(start, 2000)
                     x = unit(matrix(part.column("vector"), dim))
                     for table in range(tables):
-                        found = axes(x, table, levels, probes, seed)
+                        found = axes(x, table, probes, seed)
                         for p in range(found.shape[1]):
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(np.full(len(x), table, np.int32)), pa.array(found[:, p]),
@@ -158,7 +139,11 @@ def nearest(
     parts = materialize(parts)
     filed = filed.join(parts, ["table", "bucket"]).withColumn("part", F.expr("cast(pmod(xxhash64(point), parts) as int)"))
     probing = probing.join(parts, ["table", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    keys = ["table", "bucket", "part"]
+    # So are the queries of a bucket, by a bound that holds for any of them.
+    turns = searches.count() // (32 * bucket_points) + 1
+    filed = filed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    probing = probing.withColumn("turn", F.expr(f"cast(pmod(xxhash64(search), {turns}) as int)"))
+    keys = ["table", "bucket", "part", "turn"]
 
     def rank(points_table: pa.Table, query_table: pa.Table) -> pa.Table:
         # A few more than k, for what rounding may order otherwise here than in the last ranking.

@@ -268,6 +268,19 @@ def test_neighbours(spark):
     assert [v for _, v, _ in sorted(got[0])] == [300, 301, 302, 303, 304]
 
 
+def test_neighbours_keep_their_recall_over_full_buckets(spark):
+    """More points for each axis than a bucket should hold."""
+    g = np.random.default_rng(5)
+    x = np.repeat(g.normal(size=(300, 64)), 10, axis=0) + g.normal(size=(3000, 64)) * 0.9
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") % 30 == 0, bucket_points=16).collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    score = x[::30] @ x.T
+    score[np.arange(100), np.arange(0, 3000, 30)] = -2
+    best = {(30 * q, v) for q, row in enumerate(score) for v in np.argsort(-row)[:5].tolist()}
+    assert len(got) == 500 and len({(r.query_id, r.vec_id) for r in got} & best) >= 450
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 4, 7])
 def test_neighbours_of_few_vectors(spark, n):
     g = np.random.default_rng(n)
