@@ -333,6 +333,8 @@ def similar_groups(
     name = F.when(nth == 1, F.col("rep")).otherwise(-F.abs(F.xxhash64("set") % (1 << 62)) - 1)
     nodes = materialize(nodes.withColumn("node", name))
     first = held.join(nodes.select("set", "node", "rep"), "set").where("doc_id = rep")
+    # A row may be stored more than once, and a node must be in a tree once.
+    first = first.dropDuplicates(["set"])
 
     tree = Window.partitionBy("h")
     rows = (

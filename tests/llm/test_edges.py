@@ -75,6 +75,19 @@ def test_shingle_join_of_large_groups(make):
         assert got == components(pairs)
 
 
+def test_shingle_join_of_near_copies_in_repeated_rows(make):
+    """Two texts that are linked by a third one only, each of their rows stored twice."""
+    r = random.Random(12)
+    pairs = []
+    for i in range(0, 900, 3):
+        words = [f"v{r.randrange(10**9)}" for _ in range(10)]
+        first, second, third = (" ".join(w) for w in (words, words[:-1], words[1:]))
+        pairs += [(i, first)] + 2 * [(i + 1, second), (i + 2, third)]
+    rows = ngram_join.similar_groups(make(pairs)).collect()
+    assert len(rows) == len(pairs)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == components(pairs)
+
+
 def test_tree_join_finds_every_pair_that_the_bound_allows():
     g = np.random.default_rng(3)
     points = g.poisson(4, (300, 16))
