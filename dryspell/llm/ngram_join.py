@@ -15,6 +15,7 @@ documents hold seldom roots a tree; as any order is right, the sample only moves
 Links are found in two rounds. The first compares each point with the smallest one of its trees, which
 joins groups of copies by one link each. The second joins the trees with themselves, between points not
 yet in one class. Copies of a set are one point. Large trees are dealt to several tasks by pairs of blocks.
+These links make the components. All links of a set are then counted among the members of its component.
 
 Texts without words have an empty set and no links. A null ``doc_id`` takes no part, has no component and
 is returned. Rows that repeat a ``doc_id`` with other texts are different points of that id.
@@ -41,6 +42,8 @@ GROUPS = 256
 LEAF = 32
 BLOCK = 2048
 PART = 256
+DEGREE_BLOCK = 512
+DEGREE_SHINGLES = 1 << 22
 FILTER_BITS = 1 << 24
 SAMPLE_DOCS = 20_000
 FREQUENT = 50_000
@@ -264,6 +267,100 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, th
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Shingles that each left set has in common with each right one."""
+    every, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    split = sum(map(len, left))
+    rows = [np.repeat(np.arange(len(sets)), list(map(len, sets))) for sets in (left, right)]
+    columns = [at[:split], at[split:]]
+    held = [np.bincount(c, minlength=len(every)) for c in columns]
+    found = np.zeros((len(left), len(right)))
+    # Shingles of many sets are multiplied as columns, those of few are met one by one.
+    many = np.minimum(*held) >= 16
+    for start in range(0, int(many.sum()), 2048):
+        chosen = np.flatnonzero(many)[start:start + 2048]
+        spot = np.full(len(every), -1)
+        spot[chosen] = np.arange(len(chosen))
+        sides = []
+        for row, column, sets in zip(rows, columns, (left, right)):
+            here = spot[column] >= 0
+            side = np.zeros((len(sets), len(chosen)), np.float32)
+            side[row[here], spot[column[here]]] = 1
+            sides.append(side)
+        found += sides[0] @ sides[1].T
+    order = np.argsort(columns[1], kind="stable")
+    members, first = rows[1][order], np.concatenate(([0], np.cumsum(held[1])))
+    ends = np.cumsum(list(map(len, left)))
+    for i, end in enumerate(ends):
+        own = columns[0][end - len(left[i]):end]
+        own = own[~many[own]]
+        n = held[1][own]
+        places = np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found[i] += np.bincount(members[places], minlength=len(right))
+    return found.astype(np.int64)
+
+
+def degrees(docs: DataFrame, nodes: DataFrame, words: int, threshold: Fraction, block: int) -> DataFrame:
+    """(node, n_links): the other sets that reach the threshold, of (node, rep, set, n, root) rows.
+
+    A link is between members of one component, so its members' sets meet in pairs of blocks, each pair of
+    sets once. The links are counted where they are found.
+    """
+    groups = nodes.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("shingles")).where("m > 1")
+    parts = F.ceil(F.greatest(F.col("m") / F.lit(block), F.col("shingles") / F.lit(DEGREE_SHINGLES)))
+    members = materialize(
+        nodes.join(groups.select("root", parts.cast("int").alias("parts")), "root")
+        .select("root", "parts", "node", "rep", F.col("set").alias("name"))
+    )
+    texts = maybe_among(
+        docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep", members.select("rep")
+    )
+    dealt = (
+        texts.join(members, "rep").drop("rep")
+        .withColumn("block", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                "block", "node", "name", "text")
+        .repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "block", "node")
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, names, sets = None, ([], []), ([], [])
+
+        def links() -> Iterator[pa.RecordBatch]:
+            within = at is not None and at[1] == at[2]
+            left, right = (0, 0) if within else (0, 1)
+            if not (sets[left] and sets[right]):
+                return
+            sizes = [np.array(list(map(len, sets[k]))) for k in (left, right)]
+            linked = enough(overlaps(sets[left], sets[right]), sizes[0][:, None], sizes[1][None, :], threshold)
+            if within:
+                np.fill_diagonal(linked, False)
+                yield batch_of(names[0], linked.sum(axis=1))
+            else:
+                yield batch_of(names[0], linked.sum(axis=1))
+                yield batch_of(names[1], linked.sum(axis=0))
+
+        def batch_of(node: list[int], n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(n)], ["node", "n"])
+
+        for batch in pieces(batches):
+            keys = (batch.column(c).to_pylist() for c in ("root", "lo", "hi", "block", "node", "name"))
+            for own, root, lo, hi, block, node, name in zip(shingle_sets(Texts(batch.column("text")), words), *keys):
+                if (root, lo, hi) != at:
+                    yield from links()
+                    at, names, sets = (root, lo, hi), ([], []), ([], [])
+                side = int(block != lo)
+                # An id may be repeated: the row with the node's own set is the one, and once is enough.
+                if xxhash.xxh3_128_digest(own.tobytes()) != name or names[side][-1:] == [node]:
+                    continue
+                names[side].append(node)
+                sets[side].append(own)
+        yield from links()
+
+    return dealt.mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
 def maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """``rows`` without most of those whose ``key`` is not in ``wanted``: a filter ahead of a join.
 
@@ -318,11 +415,12 @@ def bounded(pairs: DataFrame, points: DataFrame, groups: int, threshold: Fractio
 def similar_groups(
     docs: DataFrame, words: int = 5, threshold: Fraction = THRESHOLD, groups: int = GROUPS,
     sample_docs: int = SAMPLE_DOCS, frequent: int = FREQUENT, block: int = BLOCK,
+    degree_block: int = DEGREE_BLOCK,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links): a row for each of ``docs``.
 
-    ``n_links`` counts verified links between the document's set and other sets; copies of a set and links
-    that connect nothing new are not counted.
+    ``n_links`` counts the other sets that reach the threshold with the document's set; copies of a set are
+    not counted.
     """
     hint = frequent_shingles(docs.where("doc_id is not null"), words, sample_docs, frequent)
     profile = materialize(profiles(docs, words, groups, threshold, hint))
@@ -336,15 +434,12 @@ def similar_groups(
     # A row may be stored more than once, and a node must be in a tree once.
     first = first.dropDuplicates(["set"])
 
-    tree = Window.partitionBy("h")
-    rows = (
-        first.select("node", F.explode("prefix").alias("h"))
-        .withColumns({
-            "leader": F.min("node").over(tree), "last": F.max("node").over(tree),
-            "m": F.count("*").over(tree), "mark": F.bit_xor(F.xxhash64("node")).over(tree),
-        })
-        .where("leader < last").drop("last")
+    entries = first.select("node", F.explode("prefix").alias("h"))
+    trees = entries.groupBy("h").agg(
+        F.min("node").alias("leader"), F.max("node").alias("last"), F.count("*").alias("m"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"),
     )
+    rows = entries.join(trees.where("leader < last").drop("last"), "h")
     rows = materialize(rows)
     points = first.select("node", "point", "fine").join(rows.select("node").distinct(), "node", "left_semi")
     points = materialize(points.join(nodes.select("node", "n"), "node").dropDuplicates(["node"]))
@@ -360,7 +455,8 @@ def similar_groups(
     classes = materialize(components(links))
 
     known = rows.join(classes, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
-    mixed = known.withColumns({"low": F.min("class").over(tree), "high": F.max("class").over(tree)}).where("low < high")
+    spans = known.groupBy("h").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    mixed = known.join(spans.where("low < high").select("h"), "h", "left_semi")
     parts = F.ceil(F.col("m") / F.lit(block)).cast("int")
     dealt = (
         mixed.withColumn("parts", parts)
@@ -376,10 +472,10 @@ def similar_groups(
     if not across.isEmpty():
         links = materialize(links.union(verified(across, docs, nodes, words, threshold)))
         classes = components(links)
-    ends = links.select(F.col("a").alias("node")).union(links.select("b"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    joined = nodes.select("set", "node", "rep").join(classes, "node", "left").join(degree, "node", "left")
-    joined = joined.withColumn("root", F.coalesce("root", "node"))
+    joined = nodes.select("set", "node", "rep", "n").join(classes, "node", "left")
+    joined = materialize(joined.withColumn("root", F.coalesce("root", "node")))
+    degree = degrees(docs, joined, words, threshold, degree_block)
+    joined = joined.join(degree, "node", "left")
     least = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = joined.join(least, "root").select("set", "component_id", "n_links")
     result = profile.select("doc_id", "set", F.col("n").alias("n_shingles")).join(named, "set", "left")

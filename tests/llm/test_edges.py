@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from brute import base_counts, components, kept_lines, personal, pieces, verdict
+from brute import base_counts, components, kept_lines, personal, pieces, shingles, verdict
 from dryspell.llm import (
     chat, line_dedup, mixing, neighbours, ngram_join, packing, pii, quality_classifier, quality_rules,
     queries, url_filters,
@@ -88,6 +88,32 @@ def test_shingle_join_of_near_copies_in_repeated_rows(make):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == components(pairs)
 
 
+def test_shingle_join_counts_every_link(make):
+    r = random.Random(15)
+    pairs = []
+    for i in range(60):
+        words = BASE.split()
+        for _ in range(r.randint(0, 7)):
+            words[r.randrange(len(words))] = f"new{r.randint(0, 9)}"
+        pairs.append((i, " ".join(words)))
+    pairs += [(100 + i, t) for i, (_, t) in enumerate(pairs[:10])] + [(200, prose(50, r)), (201, None), pairs[3]]
+    sets = {d: frozenset(shingles(t)) for d, t in pairs}
+    different = set(sets.values()) - {frozenset()}
+    expected = {
+        d: sum(a != b and 100 * len(a & b) >= 80 * len(a | b) for b in different) if a else 0
+        for d, a in sets.items()
+    }
+    got = {x.doc_id: x.n_links for x in ngram_join.similar_groups(make(pairs), degree_block=16).collect()}
+    assert got == expected and max(got.values()) > 20
+
+
+def test_overlaps_of_rare_and_common_shingles():
+    g = np.random.default_rng(1)
+    left, right = ([np.unique(g.integers(0, n, n // 2)) for n in g.integers(2, 400, 40)] for _ in range(2))
+    expected = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert ngram_join.overlaps(left, right).tolist() == expected
+
+
 def test_tree_join_finds_every_pair_that_the_bound_allows():
     g = np.random.default_rng(3)
     points = g.poisson(4, (300, 16))
