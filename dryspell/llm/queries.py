@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dryspell.llm import (
     chat,
+    fim,
     line_dedup,
     mixing,
     neighbours,
@@ -117,11 +118,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_packing, op3_quality_classifier, op4_ngram_join, op5_url_filters,
         op6_chat, op7_neighbours, op8_line_dedup, op9_pii, op10_quality_rules,
+        op11_fill_in_middle,
     )
 }
 
@@ -166,5 +176,33 @@ select min(doc_id) as doc_id, count(*) as n_lines,
   cast(sum(case when gone then 1 else 0 end) as bigint) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from m group by id
+""",
+    "op11_fill_in_middle": """
+with d as (
+  select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents
+),
+u as (
+  select *, cast('0x' || substring(h, 1, 8) as bigint) % (n + 1) as c1,
+    cast('0x' || substring(h, 9, 8) as bigint) % (n + 1) as c2,
+    cast('0x' || substring(h, 17, 8) as bigint) % 100 as whole, cast('0x' || substring(h, 25, 8) as bigint) % 100 as turned
+  from d
+),
+f as (
+  select *, least(c1, c2) as a, greatest(c1, c2) as b,
+    case when n = 0 or whole >= 90 or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') then 'plain'
+      when turned < 20 then 'spm' else 'psm' end as form
+  from u
+),
+p as (
+  select *, substring(text, 1, a) as pre, substring(text, a + 1, b - a) as mid, substring(text, b + 1, n - b) as suf from f
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+  case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(case form when 'plain' then text else pre || mid || suf end) as restored_sha256
+from p
 """,
 }

@@ -31,7 +31,7 @@ def docs(duck):
 def test_registered():
     names = set(entry_points.queries())
     assert {*queries.QUERIES, "pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(entry_points.oracle_sql())
 
 
