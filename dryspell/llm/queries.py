@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dryspell.llm import (
+    alignment,
     chat,
     fim,
     line_dedup,
@@ -24,6 +25,7 @@ from dryspell.llm import (
 from dryspell.shipping import ship
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 TARGETS = mixing.Targets(
     source={"src0": 0.2, **{f"src{k}": 0.04 for k in range(1, 20)}},
@@ -126,12 +128,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_packing, op3_quality_classifier, op4_ngram_join, op5_url_filters,
         op6_chat, op7_neighbours, op8_line_dedup, op9_pii, op10_quality_rules,
-        op11_fill_in_middle,
+        op11_fill_in_middle, op12_alignment,
     )
 }
 
