@@ -20,6 +20,7 @@ from dryspell.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     url_filters,
 )
 from dryspell.shipping import ship
@@ -132,12 +133,16 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.score(table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_packing, op3_quality_classifier, op4_ngram_join, op5_url_filters,
         op6_chat, op7_neighbours, op8_line_dedup, op9_pii, op10_quality_rules,
-        op11_fill_in_middle, op12_alignment,
+        op11_fill_in_middle, op12_alignment, op13_suffix_dedup,
     )
 }
 
