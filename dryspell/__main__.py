@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from dryspell.operators.quality import SAMPLE_ROWS
 from dryspell.plans.archive import rebuild
 
 
@@ -21,6 +22,8 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", required=True, help="folder of the archive")
     parser.add_argument("--base-url", required=True, help="where the archive is published")
     parser.add_argument("--prefix", default="", help="key prefix of the archive in its store")
+    parser.add_argument("--posted", help="posted URLs (text, one a line); else the folders are listed")
+    parser.add_argument("--remote", help="saved listing responses of the store, to verify the files against")
     parser.add_argument("--salts", type=int, default=1, help="slots per unit and time bin")
     args = parser.parse_args(argv)
     args.manifest = dict(entry.split("=", 1) for entry in args.manifest)
@@ -33,10 +36,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         SparkSession.builder.appName("dryspell")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
-    rebuild(
+    posted = spark.read.text(args.posted).toDF("url") if args.posted else None
+    _, build = rebuild(
         spark, args.manifest, args.crosswalk, args.windows, args.out, args.base_url, args.prefix,
-        salts=args.salts,
+        posted, args.remote, salts=args.salts,
     )
+    print(f"version {build.version.number}: {build.built.count()} file(s) built, {build.skipped.count()} skipped")
+    build.skipped.orderBy("file").show(SAMPLE_ROWS, truncate=False)
 
 
 if __name__ == "__main__":

@@ -42,3 +42,12 @@ def csv_line(columns, indent: str = "  ") -> Column:
     """The given columns of a row as one indented CSV line."""
     options = {"dateFormat": "yyyy-MM-dd", "nullValue": "NA"}
     return F.concat(F.lit(indent), F.to_csv(F.struct(*columns), options))
+
+
+def path_key(path, encoded: bool = False) -> Column:
+    """A path without its scheme, by which listings, manifests and file metadata name the same file alike.
+    ``encoded`` says that the path is written as a URI, as file metadata has it."""
+    path = F.col(path) if isinstance(path, str) else path
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:/*|^/+", "/")

@@ -39,22 +39,43 @@ def weekly_wide(
     ids: Sequence[str] = ("fips", "usdm_date"),
     source: str = "source",
     value: str = "drought_class",
+    present: str | None = None,
 ) -> DataFrame:
     """Worst class per cell with one column per source, straight from raw rows in one shuffle.
 
     Same rows as :func:`worst_class` followed by :func:`pivot_sources`; the conditional aggregates
     save the second shuffle that a pivot after the aggregation would need. A source that is not listed
-    raises.
+    raises. ``present`` names a column for the sources that have a row: a null class of these is
+    unknown, of others missing.
     """
     raw = raw.withColumn(source, _listed(F.col(source), sources))
-    cells = []
+    cells, there = [], []
     for name in sources:
         here = F.col(source) == name
         rows = F.count(F.when(here, F.lit(1)))
         cells.append(_null_aware_max(F.when(here, F.col(value)), rows).alias(name))
+        there.append(F.when(rows > 0, F.lit(name)))
+    if present:
+        cells.append(F.array_compact(F.array(*there)).alias(present))
     return raw.groupBy(*ids).agg(*cells)
 
 
+def merged_wide(
+    wide: DataFrame,
+    sources: Sequence[str],
+    ids: Sequence[str] = ("fips", "usdm_date"),
+    present: str = "present",
+) -> DataFrame:
+    """One row per cell from several wide ones (:func:`weekly_wide` with ``present``): the worst class,
+    unknown where one of the rows that have the source does not know it."""
+    cells, there = [], []
+    for name in sources:
+        rows = F.count(F.when(F.array_contains(present, name), F.lit(1)))
+        cells.append(_null_aware_max(F.col(f"`{name}`"), rows).alias(name))
+        there.append(F.when(rows > 0, F.lit(name)))
+    return wide.groupBy(*ids).agg(*cells, F.array_compact(F.array(*there)).alias(present))
+
+
 def pivot_sources(
     cells: DataFrame,
     sources: Sequence[str],

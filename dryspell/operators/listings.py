@@ -86,6 +86,32 @@ def completeness_gate(
     return rows.groupBy("file").agg(checks.alias("posted"))
 
 
+def waiting_for(
+    manifest: DataFrame,
+    required_sources: Sequence[str] | None = None,
+    posted: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`completeness_gate` with what a file waits for: ``file, posted, missing_sources, unposted``.
+
+    Both arrays are empty where the file may be built. They hold source names and listed URLs, so at most
+    as many as the file has sources.
+    """
+    rows = manifest.select("source", "url", "file")
+    if posted is not None:
+        there = posted.select("url").distinct().withColumn("there", F.lit(True))
+        rows = rows.join(there, "url", "left")
+    else:
+        rows = rows.withColumn("there", F.lit(True))
+    absent = F.when(F.col("there").isNull(), F.col("url"))
+    required = F.array(*[F.lit(s) for s in required_sources or ()]).cast("array<string>")
+    listed = rows.groupBy("file").agg(
+        F.array_except(required, F.collect_set("source")).alias("missing_sources"),
+        F.array_sort(F.collect_set(absent)).alias("unposted"),
+    )
+    complete = (F.size("missing_sources") == 0) & (F.size("unposted") == 0)
+    return listed.select("file", complete.alias("posted"), "missing_sources", "unposted")
+
+
 def nest_by_source(manifest: DataFrame) -> DataFrame:
     """One row per file with its ``(source, url)`` pairs in source order. Every row of the manifest is
     in one of the lists, whose length is the number of sources that list the file."""

@@ -49,6 +49,8 @@ FIXED_LINES = {
         "Determinations where the offices of a unit disagree",
         "  source,program_year,pasture_type,fips,lowest,highest",
     ],
+    7: ["", "Windows without an event for want of input", "  reason,n_windows"],
+    8: ["", "Weekly files skipped", "  file,missing_sources,unposted"],
 }
 
 
@@ -87,10 +89,10 @@ def qa_summary(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def _headings(spark) -> DataFrame:
+def _headings(spark, left_out) -> DataFrame:
     rows = [
         (section, i - len(lines), 0, "", "", "", "", text)
-        for section, lines in FIXED_LINES.items()
+        for section, lines in FIXED_LINES.items() if section not in left_out
         for i, text in enumerate(lines)
     ]
     return spark.createDataFrame(
@@ -109,8 +111,17 @@ def _detail(df: DataFrame, section: int, weight, keys: list[str], columns: list[
     )
 
 
-def report_lines(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFrame:
-    """The report as a table of lines; sorted by all columns but ``text`` it reads top to bottom."""
+def report_lines(
+    eligibility: DataFrame,
+    report: dict[str, DataFrame],
+    coverage: DataFrame | None = None,
+    skipped: DataFrame | None = None,
+) -> DataFrame:
+    """The report as a table of lines; sorted by all columns but ``text`` it reads top to bottom.
+
+    ``coverage`` (:func:`dryspell.operators.quality.coverage`) and ``skipped`` (weekly files and what they
+    wait for) add a section each.
+    """
     spark = eligibility.sparkSession
     labels = spark.createDataFrame(
         [(metric, i, label) for i, (metric, label) in enumerate(SUMMARY)],
@@ -122,7 +133,8 @@ def report_lines(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFr
         *[F.lit("").alias(f"k{i}") for i in range(1, 5)],
         F.concat("label", F.lit(": "), F.col("value").cast("string")).alias("text"),
     )
-    parts = [_headings(spark), totals]
+    left_out = [k for k, table in ((7, coverage), (8, skipped)) if table is None]
+    parts = [_headings(spark, left_out), totals]
     for section, name, unit, count in (
         (3, "offices", "fsa_county", "n_fips"), (4, "units", "fips", "n_offices"),
     ):
@@ -132,12 +144,24 @@ def report_lines(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFr
         keys = [*CELL_KEY, unit]
         found = report[f"{name}_disagree"]
         parts.append(_detail(found, section, F.lit(0), keys, [*keys, "lowest", "highest"]))
+    if coverage is not None:
+        unused = coverage.where(F.col("reason") != "used")
+        parts.append(_detail(unused, 7, F.lit(0), ["reason"], ["reason", "n_windows"]))
+    if skipped is not None:
+        joined = [F.array_join(c, " ").alias(c) for c in ("missing_sources", "unposted")]
+        rows = skipped.select("file", *joined)
+        parts.append(_detail(rows, 8, F.lit(0), ["file"], rows.columns))
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_report(eligibility: DataFrame, path: str) -> None:
+def write_report(
+    eligibility: DataFrame,
+    path: str,
+    coverage: DataFrame | None = None,
+    skipped: DataFrame | None = None,
+) -> None:
     """Write the report of a materialized result."""
     report = fanout_report(materialize(cell_factors(eligibility)))
-    lines = materialize(report_lines(eligibility, report))
+    lines = materialize(report_lines(eligibility, report, coverage, skipped))
     order = [c for c in lines.columns if c != "text"]
     lines.orderBy(*order).select("text").write.mode("overwrite").text(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dryspell.sources.tables import published_names
 
@@ -33,6 +34,18 @@ def write_weeks(wide: DataFrame, path: str) -> None:
     )
 
 
+def write_pieces(wide: DataFrame, path: str, build: str) -> None:
+    """The rows of a build beside those of earlier ones: a folder for each week, file and build, rows sorted
+    by unit. Nothing that is there is touched."""
+    rows = wide.withColumn("build", F.lit(build))
+    (
+        rows.repartitionByRange("usdm_date", "file", "fips")
+        .sortWithinPartitions("usdm_date", "file", "fips")
+        .write.mode("append").options(**PARQUET_OPTIONS)
+        .partitionBy("usdm_date", "file", "build").parquet(path)
+    )
+
+
 def write_combined(wide: DataFrame, path: str) -> None:
     """All weeks in one table sorted by unit and date."""
     wide.orderBy("fips", "usdm_date").write.mode("overwrite").options(

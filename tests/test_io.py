@@ -11,7 +11,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from dryspell import determine, ingest, publish
+from dryspell import determine, ingest, publish, versions
 from dryspell.__main__ import main
 from dryspell.model import CROSSWALK_SCHEMA, GRAZING_SCHEMA, RAW_OBSERVATION_SCHEMA, ValidationError
 from dryspell.operators import listings, units
@@ -75,7 +75,49 @@ def test_manifests(spark, archive):
     assert raw.count() == 5 * 5
     assert {r.source for r in raw.select("source").distinct().collect()} == set(SOURCES)
     empty = manifests.read_manifest_files(manifest.where("false"))
-    assert empty.columns == [*RAW_OBSERVATION_SCHEMA.fieldNames(), "source"] and empty.isEmpty()
+    assert empty.columns == [*RAW_OBSERVATION_SCHEMA.fieldNames(), "source", "file"] and empty.isEmpty()
+
+
+def scanned_files(df):
+    """How many files the scan of the raw rows opened, read from the plan that ran."""
+    df.collect()
+
+    def scans(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return scans(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return scans(plan.plan())
+        if name == "FileSourceScanExec":
+            return [plan.metrics().apply("numFiles").value()]
+        return [n for k in range(plan.children().size()) for n in scans(plan.children().apply(k))]
+
+    return scans(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("spans", [2, 64])
+def test_manifest_scan_opens_what_is_named(spark, tmp_path, monkeypatch, spans):
+    """Nine plain files in two folders, two of them named: the others are never opened."""
+    root = str(tmp_path / "raw folder")
+    monkeypatch.setattr(manifests.url_spans, "__defaults__", (spans,))
+    urls = []
+    for i in range(9):
+        folder = f"{root}/tmp/{i}"
+        row = spark.createDataFrame([("01", "001", tuesday(i), "D2")], RAW_OBSERVATION_SCHEMA)
+        row.coalesce(1).write.parquet(folder)
+        os.makedirs(f"{root}/20{i % 2}+1", exist_ok=True)
+        urls.append(f"{root}/20{i % 2}+1/USDM_{tuesday(i)}.parquet")
+        os.rename(glob.glob(f"{folder}/part-*")[0], urls[-1])
+
+    def listed(numbers):
+        rows = [("a", f"file://{urls[i]}", os.path.basename(urls[i])) for i in numbers]
+        return manifests.read_manifest_files(spark.createDataFrame(rows, "source string, url string, file string"))
+
+    found = listed([2, 4, 6])
+    assert sorted(r.usdm_date for r in found.collect()) == [tuesday(2), tuesday(4), tuesday(6)]
+    assert scanned_files(found) == [3]
+    assert listed(range(9)).count() == 9
+    assert listed([1, 2, 3]).count() == 3
 
 
 def test_incremental_build(spark, archive, tmp_path):
@@ -84,7 +126,7 @@ def test_incremental_build(spark, archive, tmp_path):
     manifest = manifests.load_manifests(spark, paths)
     first = ingest(spark, manifest, SOURCES, weekly, ledger, required_sources=SOURCES)
     assert first.built.count() == 2 and first.skipped.count() == 1
-    wide = tables.read_weekly(spark, weekly, SOURCES)
+    wide = tables.read_archive(spark, weekly, ledger, SOURCES)
     cells = {(r.fips, r.usdm_date): (r["src-a"], r["src-b"]) for r in wide.collect()}
     assert cells == {
         ("01001", tuesday(0)): (3, 3), ("01001", tuesday(1)): (5, 5),
@@ -92,30 +134,148 @@ def test_incremental_build(spark, archive, tmp_path):
         ("01007", tuesday(0)): (None, None), ("01007", tuesday(1)): (None, None),
     }
     assert long_from_wide(wide).count() == 8
-    before = sorted(os.listdir(f"{weekly}/usdm_date={tuesday(0)}"))
+    before = sorted(glob.glob(f"{weekly}/usdm_date={tuesday(0)}/*/*/*"))
+    (waits,) = first.skipped.collect()
+    assert (waits.missing_sources, waits.unposted) == (["src-b"], [])
 
     again = ingest(spark, manifest, SOURCES, weekly, ledger, required_sources=SOURCES)
-    assert again.built.isEmpty() and again.skipped.count() == 1
+    assert again.built.isEmpty() and again.skipped.count() == 1 and again.version == first.version
 
     # The literal gate only asks that what is listed is there.
     posted = manifest.select("url")
     third = ingest(spark, manifest, SOURCES, weekly, ledger, posted=posted)
     assert [r.file for r in third.built.collect()] == [f"USDM_{tuesday(2)}.parquet"]
-    week = tables.read_weekly(spark, weekly, SOURCES).where(F.col("usdm_date") == tuesday(2))
+    week = tables.read_archive(spark, weekly, ledger, SOURCES).where(F.col("usdm_date") == tuesday(2))
     assert {(r.fips, r["src-a"], r["src-b"]) for r in week.collect()} == {
         ("01001", 3, None), ("01003", 0, None), ("01007", None, None)
     }
     # Weeks built before are not touched.
-    assert sorted(os.listdir(f"{weekly}/usdm_date={tuesday(0)}")) == before
+    assert sorted(glob.glob(f"{weekly}/usdm_date={tuesday(0)}/*/*/*")) == before
 
 
-def test_build_interrupted_before_the_ledger_is_repeated(spark, archive, tmp_path):
-    paths, _ = archive
-    weekly = str(tmp_path / "weekly")
-    manifest = manifests.load_manifests(spark, paths)
-    ingest(spark, manifest, SOURCES, weekly, str(tmp_path / "lost"), required_sources=SOURCES)
-    ingest(spark, manifest, SOURCES, weekly, str(tmp_path / "ledger"), required_sources=SOURCES)
-    assert tables.read_weekly(spark, weekly, SOURCES).count() == 6
+def named(spark, rows):
+    data = [(s, u, os.path.basename(u)) for s, u in rows]
+    return spark.createDataFrame(data, "source string, url string, file string")
+
+
+def cells(wide):
+    return sorted((r.fips, r.usdm_date, r["src-a"], r["src-b"]) for r in wide.collect())
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    weekly, state = str(tmp_path / "weekly"), str(tmp_path / "state")
+
+    def build(rows, **options):
+        return ingest(spark, named(spark, rows), SOURCES, weekly, state, **options)
+
+    def read(at=None):
+        return cells(tables.read_archive(spark, weekly, state, SOURCES, at))
+
+    return build, read
+
+
+def test_two_files_of_one_week_in_two_builds(spark, tmp_path, store):
+    """Both survive; a unit that both hold becomes one row, unknown where one of them does not know."""
+    build, read = store
+    root, week = str(tmp_path / "raw"), tuesday(0)
+    a = weekly_file(spark, root, "src-a", week, [("01", "001", "D2"), ("01", "005", "D1"), ("01", "007", None)])
+    b = weekly_file(spark, root, "src-a/late", f"{week}_more", []).replace(f"{week}_more", str(week))
+    spark.createDataFrame(
+        [("01", "003", week, "D4"), ("01", "005", week, "D3"), ("01", "007", week, "D0")], RAW_OBSERVATION_SCHEMA
+    ).write.parquet(f"{root}/second/USDM_{week}b.parquet")
+    b = f"{root}/second/USDM_{week}b.parquet"
+    build([("src-a", a)])
+    one = build([("src-a", a), ("src-a", b)])
+    assert [r.file for r in one.built.collect()] == [os.path.basename(b)] and one.version.number == 2
+    assert read() == [("01001", week, 3, None), ("01003", week, 5, None), ("01005", week, 4, None),
+                      ("01007", week, None, None)]
+
+
+def test_source_that_lists_a_built_file_later(spark, archive, store):
+    _, listed = archive
+    build, read = store
+    (a, b), week = (listed["src-a"][0], listed["src-b"][0]), tuesday(0)
+    first = build([("src-a", a)])
+    assert read() == [("01001", week, 3, None), ("01003", week, 0, None), ("01007", week, None, None)]
+    second = build([("src-b", b)])
+    assert read() == [("01001", week, 3, 3), ("01003", week, 0, 0), ("01007", week, None, None)]
+    assert build([("src-a", a), ("src-b", b)]).built.isEmpty()
+    # The version before is still whole.
+    assert read(first.version) == [("01001", week, 3, None), ("01003", week, 0, None), ("01007", week, None, None)]
+    assert second.version.number == 2
+
+
+def test_build_that_dies_before_the_commit(spark, archive, store, monkeypatch):
+    """Rows are written, the version is not: nothing changed, and the next build is whole."""
+    _, listed = archive
+    build, read = store
+    every = [(s, u) for s, urls in listed.items() for u in urls]
+    build(every[:1])
+    before = read()
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("dryspell.plans.ingest.commit", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            build(every)
+    assert read() == before
+    # Between the manifest and the log row the same holds.
+    with monkeypatch.context() as broken:
+        broken.setattr("dryspell.versions.Version", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            build(every)
+    assert read() == before
+    assert build(every).version.number == 2 and len(read()) == 9
+
+
+def test_concurrent_builds_of_one_version(spark, tmp_path):
+    root, rows = str(tmp_path), spark.createDataFrame([("x",)], "file string")
+    one = versions.commit(rows, root, versions.NOTHING)
+    lost = 0
+    try:
+        versions.commit(rows, root, versions.NOTHING)
+    except versions.ConcurrentBuild:
+        lost = 1
+    newest = versions.newest(spark, root)
+    assert newest.number == 1 and (newest == one) == bool(lost)
+    with pytest.raises(LookupError):
+        versions.version(spark, root, 2)
+
+
+def test_file_whose_rows_all_fall_away(spark, tmp_path, store):
+    build, read = store
+    url = weekly_file(spark, str(tmp_path / "raw"), "src-a", tuesday(0), [(None, "001", "D2")])
+    assert build([("src-a", url)]).built.count() == 1
+    assert build([("src-a", url)]).built.isEmpty() and read() == []
+
+
+def test_unposted_files_are_skipped(spark, archive, store):
+    """A file is skipped when one of its URLs is not there, and says which; the rest is built."""
+    _, listed = archive
+    build, read = store
+    there = [u for urls in listed.values() for u in urls]
+    gone = listed["src-a"][0].replace("src-a", "src-b-not-there")
+    rows = [("src-a", listed["src-a"][0]), ("src-b", gone), ("src-a", listed["src-a"][1]), ("src-b", listed["src-b"][1])]
+    posted = spark.createDataFrame([(f"file://{u}",) for u in there], "url string")
+    found = build(rows, posted=posted)
+    assert [r.file for r in found.built.collect()] == [os.path.basename(listed["src-a"][1])]
+    (skipped,) = found.skipped.collect()
+    assert skipped.file == os.path.basename(gone) and [os.path.basename(os.path.dirname(u)) for u in skipped.unposted] == ["src-b-not-there"]
+    assert {d for _, d, _, _ in read()} == {tuesday(1)}
+    listing = files.posted_files(spark, [os.path.dirname(os.path.dirname(listed["src-a"][0]))])
+    assert {u for u in there} <= {r.url for r in listing.collect()}
+    assert build(rows, posted=listing).built.isEmpty()
+
+
+def test_many_files_that_are_not_there(spark, archive, monkeypatch):
+    paths, listed = archive
+    monkeypatch.setattr(manifests.url_spans, "__defaults__", (1,))
+    gone = named(spark, [("src-a", u) for u in [*listed["src-a"], listed["src-a"][0].replace("USDM", "x_USDM")]])
+    with pytest.raises(ValidationError, match="not there"):
+        manifests.read_manifest_files(gone)
 
 
 def test_manifest_that_lists_a_file_twice(spark, archive, tmp_path):
@@ -127,21 +287,51 @@ def test_manifest_that_lists_a_file_twice(spark, archive, tmp_path):
 def test_stream_builds_what_arrives(spark, archive, tmp_path):
     _, listed = archive
     inbox, weekly = tmp_path / "inbox", str(tmp_path / "weekly")
-    ledger, progress = str(tmp_path / "ledger"), str(tmp_path / "progress")
+    state, progress = str(tmp_path / "state"), str(tmp_path / "progress")
     inbox.mkdir()
+    read = []
 
-    def arrive(name, rows):
-        (inbox / name).write_text("".join(f"{s},{u}\n" for s, u in rows))
-        weekly_build_stream(
-            spark, str(inbox), SOURCES, weekly, ledger, progress, SOURCES
-        ).awaitTermination()
-        return {r.usdm_date for r in tables.read_weekly(spark, weekly, SOURCES)
-                .select("usdm_date").distinct().collect()} if os.path.exists(weekly) else set()
+    def arrive(name, rows, **gate):
+        (inbox / name).write_text("".join(f"{','.join(r)}\n" for r in rows))
+        query = weekly_build_stream(spark, str(inbox), SOURCES, weekly, state, progress, **gate)
+        query.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+        found = tables.read_archive(spark, weekly, state, SOURCES)
+        return {r.usdm_date for r in found.select("usdm_date").distinct().collect()}
 
     a, b = listed["src-a"], listed["src-b"]
-    assert arrive("1.csv", [("src-a", a[0]), ("src-a", a[1])]) == set()
-    assert arrive("2.csv", [("src-b", b[0])]) == {tuesday(0)}
-    assert arrive("3.csv", [("src-b", b[1]), ("src-a", a[2])]) == {tuesday(0), tuesday(1)}
+    both = {"required_sources": SOURCES}
+    assert arrive("1.csv", [("src-a", a[0]), ("src-a", a[1])], **both) == set()
+    assert arrive("2.csv", [("src-b", b[0])], **both) == {tuesday(0)}
+    # Lines of built files say nothing new; a batch reads its own lines only.
+    assert arrive("3.csv", [("src-b", b[1]), ("src-a", a[2]), ("src-a", a[0])], **both) == {tuesday(0), tuesday(1)}
+    assert read == [2, 1, 3] and versions.newest(spark, state).number == 2
+
+
+def test_stream_waits_for_posted_files_and_takes_late_sources(spark, archive, tmp_path):
+    """A file that three batches complete is built once, after a restart each; a late source adds its rows."""
+    _, listed = archive
+    inbox, weekly = tmp_path / "inbox", str(tmp_path / "weekly")
+    state, progress = str(tmp_path / "state"), str(tmp_path / "progress")
+    inbox.mkdir()
+    a, b = listed["src-a"][0], listed["src-b"][0]
+
+    def arrive(name, *rows):
+        (inbox / name).write_text("".join(f"{','.join(r)}\n" for r in rows))
+        weekly_build_stream(
+            spark, str(inbox), SOURCES, weekly, state, progress, ["src-a"], gate_posted=True
+        ).awaitTermination()
+        return versions.newest(spark, state).number, cells(tables.read_archive(spark, weekly, state, SOURCES))
+
+    week = tuesday(0)
+    alone = [("01001", week, 3, None), ("01003", week, 0, None), ("01007", week, None, None)]
+    assert arrive("1.csv", ("src-a", a, "listed")) == (0, [])
+    assert arrive("2.csv", ("", b, "posted")) == (0, [])
+    assert arrive("3.csv", ("", a, "posted")) == (1, alone)
+    assert arrive("4.csv", ("", a, "posted"), ("src-a", a, "listed")) == (1, alone)
+    assert arrive("5.csv", ("src-b", b, "listed")) == (
+        2, [("01001", week, 3, 3), ("01003", week, 0, 0), ("01007", week, None, None)]
+    )
 
 
 def test_weekly_files(spark, tmp_path):
@@ -308,8 +498,19 @@ def test_archive_from_files(spark, tmp_path):
     spark.createDataFrame(pairs, CROSSWALK_SCHEMA).write.parquet(str(tmp_path / "x"))
     grazing = [(2024, "01", "001", "p", date(2024, 1, 9), date(2024, 12, 1))]
     spark.createDataFrame(grazing, GRAZING_SCHEMA).write.parquet(str(tmp_path / "g"))
-    result = rebuild(spark, paths, str(tmp_path / "x"), str(tmp_path / "g"), out,
-                     "https://x.example", "pre")
+    # A week that only one source lists, and one that is listed but not there, are skipped and reported.
+    with open(paths["src-a"], "a") as f:
+        f.write(f"\n{weekly_file(spark, root, 'src-a', tuesday(9), [('01', '001', 'D4')])}\n")
+    for source in SOURCES:
+        with open(paths[source], "a") as f:
+            f.write(f"\n{root}/{source}/USDM_2030-01-01.parquet\n")
+    result, build = rebuild(spark, paths, str(tmp_path / "x"), str(tmp_path / "g"), out,
+                            "https://x.example", "pre")
+    waits = {r.file: (r.missing_sources, len(r.unposted)) for r in build.skipped.collect()}
+    assert waits == {f"USDM_{tuesday(9)}.parquet": (["src-b"], 0), "USDM_2030-01-01.parquet": ([], 2)}
+    assert build.built.count() == 9
+    report = lines_of(f"{out}/result/report")
+    assert "Weekly files skipped" in report and f"  USDM_{tuesday(9)}.parquet,src-b," in "\n".join(report)
     expected = {
         (fips, "01001", source, 2024, "p", event, day, factor)
         for source in SOURCES
@@ -331,4 +532,4 @@ def test_archive_from_files(spark, tmp_path):
     back = tables.read_result_parquet(spark, f"{out}/result/eligibility_parquet")
     assert {tuple(r) for r in back.collect()} == expected
     assert lines_of(f"{out}/url_manifest") == listed
-    assert listed[0].startswith("https://x.example/pre/data/weekly/usdm_date=2024-01-02/part-")
+    assert listed[0].startswith("https://x.example/pre/data/weekly/usdm_date=2024-01-02/file=USDM_2024-01-02.parquet/build=")
