@@ -18,7 +18,8 @@ import functools
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,8 +31,9 @@ from dryspell.lineage import materialize
 from dryspell.llm.packing import _PLAIN
 from dryspell.llm.words import pieces
 
-#: Stretches remembered in one Python worker, and their longest text.
-REMEMBERED, LONGEST = 100_000, 64
+#: Stretches after which a Python worker forgets the older ones, the longest text of those it keeps, and how many
+#: new ones are encoded in one text.
+REMEMBERED, LONGEST, TOGETHER = 150_000, 64, 10_000
 #: Id pairs that are broadcast with their counts: the commonest ones, at most so many rows of 17 bytes.
 BROADCAST_PAIRS = 200_000
 
@@ -48,36 +50,54 @@ class Aligned(NamedTuple):
     links: tuple[int, ...]
 
 
-def align(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> Aligned:
-    """Groups and links of two id lists over the same bytes. A link is ``a << 32 | b``."""
-    a_ends, b_ends = {0: 0}, {0: 0}
-    end = 0
-    for i, token in enumerate(a, 1):
-        end += len(a_bytes[token])
-        a_ends[end] = i
-    end = 0
-    for j, token in enumerate(b, 1):
-        end += len(b_bytes[token])
-        b_ends[end] = j
-    groups, links = [], []
-    i = j = 0
-    for common in sorted(a_ends.keys() & b_ends.keys())[1:]:
+NOTHING = Aligned(0, 0, 0, "", ())
+
+
+def ends_of(ids: list[int], lengths: list[int], borders: Sequence[int]) -> dict[int, int] | None:
+    """From cumulative byte end to the index behind its token; nothing where a border is no end."""
+    ends = list(accumulate(map(lengths.__getitem__, ids)))
+    found = dict(zip(ends, range(1, len(ends) + 1)))
+    return found if found.keys() >= set(borders) else None
+
+
+def align(
+    a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int], borders: Sequence[int]
+) -> list[Aligned] | None:
+    """Groups and links of two id lists over the same bytes, for each stretch that ends at one of ``borders``
+    (byte ends in order, the last that of all). Nothing where a token crosses one. A link is ``a << 32 | b``."""
+    a_ends, b_ends = ends_of(a, a_lengths, borders), ends_of(b, b_lengths, borders)
+    if a_ends is None or b_ends is None:
+        return None
+    found, groups, links = [], [], []
+    i = j = from_i = from_j = 0
+    last = iter(borders)
+    border = next(last)
+    for common in sorted(a_ends.keys() & b_ends.keys()):
         to_i, to_j = a_ends[common], b_ends[common]
-        ours, theirs = a[i:to_i], b[j:to_j]
-        groups.append(f"{','.join(map(str, ours))}|{','.join(map(str, theirs))}")
-        if len(ours) == 1 or len(theirs) == 1:
-            links += [x << 32 | y for x in ours for y in theirs]
+        if to_i == i + 1 and to_j == j + 1:
+            x, y = a[i], b[j]
+            groups.append(f"{x}|{y}")
+            links.append(x << 32 | y)
         else:
-            links += overlaps(ours, theirs, a_bytes, b_bytes)
+            ours, theirs = a[i:to_i], b[j:to_j]
+            groups.append(f"{','.join(map(str, ours))}|{','.join(map(str, theirs))}")
+            if len(ours) == 1 or len(theirs) == 1:
+                links += [x << 32 | y for x in ours for y in theirs]
+            else:
+                links += overlaps(ours, theirs, a_lengths, b_lengths)
         i, j = to_i, to_j
-    return Aligned(len(a), len(b), len(groups), ";".join(groups), tuple(links))
+        if common == border:
+            found.append(Aligned(i - from_i, j - from_j, len(groups), ";".join(groups), tuple(links)))
+            groups, links = [], []
+            from_i, from_j, border = i, j, next(last, None)
+    return found
 
 
-def overlaps(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[int]:
+def overlaps(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]) -> list[int]:
     """The links inside one group: the token that ends first gives way to the next of its list."""
     found = []
     i = j = 0
-    a_end, b_end = len(a_bytes[a[0]]), len(b_bytes[b[0]])
+    a_end, b_end = a_lengths[a[0]], b_lengths[b[0]]
     while True:
         found.append(a[i] << 32 | b[j])
         step_a, step_b = a_end <= b_end, b_end <= a_end
@@ -85,10 +105,10 @@ def overlaps(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[byt
             i += 1
             if i == len(a):
                 return found
-            a_end += len(a_bytes[a[i]])
+            a_end += a_lengths[a[i]]
         if step_b:
             j += 1
-            b_end += len(b_bytes[b[j]])
+            b_end += b_lengths[b[j]]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -122,9 +142,11 @@ class Aligner:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(names)
         ]
+        self.a_lengths, self.b_lengths = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.space = [names.index("▁")] if "▁" in names else None
         self.cut = self.space is not None and not any(_PIECE_ACROSS.search(p) for p in names)
         self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
 
     @staticmethod
     def _ranks(a_path: str):
@@ -146,24 +168,50 @@ class Aligner:
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
-    def whole(self, text: str) -> Aligned | None:
-        """A text without any cut; nothing where a vocabulary changes its bytes."""
-        data = f" {text}".encode()
-        a = self.encode_a(f" {text}")
-        b = self.b.encode(text) if text else self.space
+    def together(self, parts: list[str]) -> list[Aligned] | None:
+        """Stretches one after the other in one text; nothing where a vocabulary changes their bytes."""
+        text = "".join([f" {part}" for part in parts])
+        data = text.encode()
+        a = self.encode_a(text)
+        b = self.b.encode(text[1:]) if len(text) > 1 else self.space or []
         if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return None
-        return align(a, b, self.a_bytes, self.b_bytes)
-
-    def stretch(self, text: str) -> Aligned | None:
-        if text in self.known:
-            return self.known[text]
-        found = self.whole(text)
-        if len(text) <= LONGEST:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[text] = found
-        return found
+        borders = list(accumulate([len(part.encode()) + 1 for part in parts]))
+        return align(a, b, self.a_lengths, self.b_lengths, borders)
+
+    def whole(self, text: str) -> Aligned | None:
+        """A text without any cut; nothing where a vocabulary changes its bytes."""
+        found = self.together([text])
+        return found[0] if found else None
+
+    def each(self, parts: list[str]) -> list[Aligned | None]:
+        """Stretches that end in something other than white space; those that fail are found by halving."""
+        found = self.together(parts) if parts else []
+        if found is not None:
+            return found
+        if len(parts) == 1:
+            return [None]
+        half = len(parts) // 2
+        return self.each(parts[:half]) + self.each(parts[half:])
+
+    def learn(self, parts: set[str]) -> dict[str, Aligned | None]:
+        """What these stretches give. New ones are remembered, the oldest half of many is forgotten."""
+        new = parts - self.known.keys()
+        again = {p: self.older[p] for p in new if p in self.older}
+        new -= again.keys()
+        joined = [p for p in new if p and not p[-1].isspace()]
+        found = {}
+        for k in range(0, len(joined), TOGETHER):
+            found.update(zip(joined[k:k + TOGETHER], self.each(joined[k:k + TOGETHER])))
+        for part in new - found.keys():
+            found[part] = self.whole(part)
+        self.known.update(again)
+        self.known.update(found)
+        needed = self.known
+        if len(self.known) > REMEMBERED:
+            self.older = {p: x for p, x in self.known.items() if len(p) <= LONGEST}
+            self.known = {}
+        return needed
 
     def stretches(self, text: str) -> list[str]:
         """The stretches of space and text, without the space that each begins with."""
@@ -173,28 +221,20 @@ class Aligner:
             return [x[1:] for x in _BORDER.split(f" {text}")]
         return text.split(" ")
 
-    def document(self, text: str | None) -> tuple[tuple[int, int, int], str, Counter] | None:
-        """(n_a, n_b, n_groups), the groups as text and the links counted; nothing without tokens."""
-        if not text:
-            return None
-        parts = self.stretches(text)
-        often = Counter(parts)
-        found = {part: self.stretch(part) for part in often}
-        if None in found.values():
-            aligned = self.whole(text)
-            if aligned is None:
-                return None
-            return aligned[:3], aligned.groups, Counter(aligned.links)
-        n_a = n_b = n_groups = 0
-        links: Counter = Counter()
-        for part, times in often.items():
-            aligned = found[part]
-            n_a += times * aligned.n_a
-            n_b += times * aligned.n_b
-            n_groups += times * aligned.n_groups
-            for link in aligned.links:
-                links[link] += times
-        return (n_a, n_b, n_groups), ";".join([found[part].groups for part in parts]), links
+    def documents(self, texts: list[str | None]) -> Iterator[tuple[Aligned, Counter]]:
+        """Each text aligned as a whole, with its links counted. Texts without tokens give nothing."""
+        cut = [self.stretches(text) if text else [] for text in texts]
+        known = self.learn(set(chain.from_iterable(cut)))
+        for text, parts in zip(texts, cut):
+            rows = list(map(known.__getitem__, parts))
+            if None in rows:
+                rows = [self.whole(text) or NOTHING]
+            if not rows:
+                rows = [NOTHING]
+            n_a, n_b, n_groups, groups, links = zip(*rows)
+            yield (
+                Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), ()), Counter(chain.from_iterable(links))
+            )
 
 
 @functools.cache
@@ -211,20 +251,13 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False
         both = aligner(a_path, b_path)
         for batch in pieces(batches):
             counts, digests, groups, link, times, ends = [], [], [], [], [], [0]
-            for text in batch.column(1).to_pylist():
-                found = both.document(text)
-                if found is None:
-                    counts.append((0, 0, 0, 0))
-                    digests.append("")
-                    groups.append("")
-                else:
-                    sizes, shown, links = found
-                    counts.append((*sizes, links.total()))
-                    digests.append(hashlib.sha256(shown.encode()).hexdigest())
-                    if with_groups:
-                        groups.append(shown)
-                    link += links.keys()
-                    times += links.values()
+            for whole, links in both.documents(batch.column(1).to_pylist()):
+                counts.append((*whole[:3], links.total()))
+                digests.append(hashlib.sha256(whole.groups.encode()).hexdigest() if whole.n_groups else "")
+                if with_groups:
+                    groups.append(whole.groups)
+                link += links.keys()
+                times += links.values()
                 ends.append(len(link))
             rows = pa.StructArray.from_arrays(
                 [pa.array(link, pa.int64()), pa.array(times, pa.int32())], ["link", "times"]
