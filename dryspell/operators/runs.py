@@ -107,6 +107,29 @@ def _stitched_runs(rows, keys, value, step_days, block_days) -> DataFrame:
     )
 
 
+def merge_runs(
+    pieces: DataFrame, keys: Sequence[str] = SERIES_KEY, value: str = "drought_class"
+) -> DataFrame:
+    """Runs from pieces of runs, in one sort: neighbours of equal value become one. Pieces of a key must not
+    overlap."""
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy("run_start")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = pieces.select(
+        *keys, value, "run_start",
+        F.lag(value).over(w).alias("_before"),
+        F.lag("run_end").over(w).alias("_end_before"),
+        (F.sum("run_weeks").over(w) - F.col("run_weeks")).alias("_weeks_before"),
+        F.max("run_end").over(whole).alias("_last_end"),
+        F.sum("run_weeks").over(whole).alias("_weeks"),
+    ).where(F.col("_before").isNull() | (F.col("_before") != F.col(value)))
+    end = F.coalesce(F.lead("_end_before").over(w), F.col("_last_end"))
+    weeks_to = F.coalesce(F.lead("_weeks_before").over(w), F.col("_weeks"))
+    return firsts.select(
+        *keys, value, "run_start", end.alias("run_end"), (weeks_to - F.col("_weeks_before")).alias("run_weeks")
+    )
+
+
 def expand_runs(
     runs: DataFrame, order: str = "usdm_date", step_days: int = WEEK_DAYS
 ) -> DataFrame:

@@ -12,9 +12,10 @@ from dryspell.lineage import materialize
 from dryspell.operators.listings import verify
 from dryspell.operators.quality import validate_inputs
 from dryspell.operators.units import map_units
-from dryspell.plans.determine import determine, weekly_series
+from dryspell.plans.determine import determine_from_runs, weekly_series
 from dryspell.plans.ingest import Build, ingest
 from dryspell.plans.publish import publish
+from dryspell.plans.run_state import update_runs
 from dryspell.sinks.manifests import write_file_manifest, write_url_manifest
 from dryspell.sinks.tables import write_combined
 from dryspell.sources.listings import file_inventory, inventory_listing, object_listing, posted_files
@@ -59,7 +60,8 @@ def rebuild(
 
     ``manifests`` maps each source to its text manifest. ``posted`` (``url``) lists the weekly files that are
     really there; without it the folders of the manifests are listed. Files that are not there, or not listed
-    by every source, are skipped and returned with what they wait for; the rest is built.
+    by every source, are skipped and returned with what they wait for; the rest is built. Runs are carried over
+    from the build before; only new weeks, and series with late ones, are encoded.
 
     The files of the archive are verified against the manifest written for them, and against ``remote``, saved
     listing responses of the store, where they are given. ``join`` holds options of the overlap join.
@@ -80,8 +82,9 @@ def rebuild(
     validate_inputs(offices, windows, crosswalk)
 
     join.setdefault("write_windows", True)
+    runs = update_runs(spark, f"{out_dir}/runs", weekly, state, sources, build.version)
+    eligibility = determine_from_runs(runs, windows, **join)
     observations = weekly_series(wide, sources)
-    eligibility = determine(observations, windows, **join)
     result = publish(eligibility, windows, f"{out_dir}/result", observations=observations, skipped=build.skipped)
 
     pieces = entries(spark, state, build.version, PIECE_SCHEMA)

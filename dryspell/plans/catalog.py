@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 from typing import NamedTuple
@@ -9,14 +10,15 @@ from typing import NamedTuple
 from pyspark.sql import functions as F
 
 from dryspell.functions.dates import date_decode
-from dryspell.functions.levels import level_code, level_label
+from dryspell.functions.levels import collapse_levels, level_code, level_label
 from dryspell.functions.text import csv_line
-from dryspell.lineage import materialize
+from dryspell.lineage import materialize, shared_dir
 from dryspell.model import BELOW_D2, D2, GROUP_KEY, LADDER, WINDOW_KEY
 from dryspell.operators import aggregate, dictionary, listings, quality, scoring, tiers, units
 from dryspell.operators.runs import run_length_encode
 from dryspell.plans import bindings as b
 from dryspell.plans import oracle as o
+from dryspell.plans import run_state
 from dryspell.plans.determine import (
     clipped_runs, dated_events, determine, drought_runs, weekly_series,
 )
@@ -152,6 +154,38 @@ def runs_rle_blocked(binding, spark, sf_dir):
     return drought_runs(binding.observations(spark, sf_dir), block_days=366)
 
 
+def _arrivals(observations):
+    """Observations with the build they arrive in (``arrival``), the class they arrive with (``told``) and the
+    build that corrects it (``mended``). Years come one after the other; of those before the last build every
+    17th week is late, and every 17th is wrong at first. Both are mended by the last build."""
+    phase = F.pmod(F.year("usdm_date") - 2005, F.lit(12))
+    due = F.when(phase <= 2, 1).when(phase <= 4, 2).otherwise(3)
+    draw = F.when(due < 3, F.pmod(F.xxhash64("fips", "source", "usdm_date"), F.lit(17)))
+    wrong = F.coalesce(draw == 1, F.lit(False))
+    return observations.select(
+        "*", F.when(draw == 0, F.lit(3)).otherwise(due).alias("arrival"),
+        F.when(wrong, 5 - F.col("drought_class")).otherwise(F.col("drought_class")).alias("told"),
+        F.when(wrong, F.lit(3)).alias("mended"),
+    )
+
+
+@on_both("runs_by_builds", "select * from runs")
+def runs_by_builds(binding, spark, sf_dir):
+    """Runs carried over three builds, with late and corrected weeks in the last."""
+    observations = binding.observations(spark, sf_dir)
+    observations = observations.withColumn("drought_class", collapse_levels("drought_class"))
+    told = materialize(_arrivals(observations))
+    root = f"{shared_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    for build in (1, 2, 3):
+        mended = F.col("mended") <= build
+        value = F.when(F.coalesce(mended, F.lit(False)), F.col("drought_class")).otherwise(F.col("told"))
+        now = told.where(F.col("arrival") <= build).withColumn("drought_class", value)
+        new = now.where((F.col("arrival") == build) | (F.col("mended") == build))
+        columns = ["fips", "source", "usdm_date", "drought_class"]
+        run_state.advance(spark, root, new.select(*columns), now.select(*columns))
+    return run_state.read_runs(spark, root)
+
+
 @register(
     "runs_over_gaps",
     o.nation("""select *, run_end - run_start + 1 - 7 * run_weeks as gap_days from runs

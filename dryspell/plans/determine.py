@@ -62,20 +62,39 @@ def clipped_runs(
     return clip(interval_join(windows, spans, on, **options))
 
 
-def dated_events(
-    observations: DataFrame, windows: DataFrame, block_days: int | None = None, **join
-) -> DataFrame:
+def events_of_runs(runs: DataFrame, windows: DataFrame, **join) -> DataFrame:
     """Every dated tier; ``join`` holds the options of :func:`clipped_runs`.
 
-    Units without a window leave before anything is encoded. After the join the pairs that matter are
-    dealt out by window and source: also after a broadcast, which leaves all pairs of a unit where its
-    runs are, a unit with many windows spreads over as many tasks.
+    After the join the pairs that matter are dealt out by window and source: also after a broadcast, which
+    leaves all pairs of a unit where its runs are, a unit with many windows spreads over as many tasks.
     """
-    runs = drought_runs(observed_only(observations, windows), block_days)
     pairs = relevant_runs(clipped_runs(windows, runs, **join))
     return event_rows(date_tiers(pairs.repartition(*GROUP_KEY)))
 
 
+def dated_events(
+    observations: DataFrame, windows: DataFrame, block_days: int | None = None, **join
+) -> DataFrame:
+    """:func:`events_of_runs` from observations. Units without a window leave before anything is encoded."""
+    return events_of_runs(drought_runs(observed_only(observations, windows), block_days), windows, **join)
+
+
+def eligible(events: DataFrame, ladder: Iterable[Rung] | DataFrame = LADDER) -> DataFrame:
+    """Dated events that raise the factor of their window, as the result has them."""
+    kept = escalating(score_events(events, ladder))
+    return kept.select(
+        *[c for c in RESULT_COLUMNS if c != "drought_factor"],
+        F.col("drought_factor").cast("int").alias("drought_factor"),
+    )
+
+
+def determine_from_runs(
+    runs: DataFrame, windows: DataFrame, ladder: Iterable[Rung] | DataFrame = LADDER, **join
+) -> DataFrame:
+    """:func:`determine` where the runs are known already (:mod:`dryspell.plans.run_state`)."""
+    return eligible(events_of_runs(observed_only(runs, windows), windows, **join), ladder)
+
+
 def determine(
     observations: DataFrame,
     windows: DataFrame,
@@ -89,9 +108,4 @@ def determine(
     ``windows``: ``fips, fsa_county, program_year, pasture_type, window_start, window_end``.
     ``join``: options of :func:`clipped_runs`.
     """
-    events = dated_events(observations, windows, block_days, **join)
-    kept = escalating(score_events(events, ladder))
-    return kept.select(
-        *[c for c in RESULT_COLUMNS if c != "drought_factor"],
-        F.col("drought_factor").cast("int").alias("drought_factor"),
-    )
+    return eligible(dated_events(observations, windows, block_days, **join), ladder)
