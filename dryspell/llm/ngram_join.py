@@ -3,8 +3,9 @@
 Every set is a point: its shingles are hashed into groups and counted by group. The overlap of two sets is
 at most the sum over groups of the smaller count, and for boxes of points the sum of the smaller upper
 edges, so an R-tree over the points leaves out pairs, and whole boxes, that cannot reach the threshold.
-Pairs that pass meet once more as finer points, with groups for half of the shingles or more, as a few
-hundred groups tell little about sets of thousands. What is left is verified on the sets themselves.
+A few hundred groups tell little about sets of thousands, so the leaves compare finer points, with groups
+for half of the shingles up to ``TREE_GROUPS``, and pairs of larger sets meet once more as points without that
+bound. What is left is verified on the sets themselves.
 
 One R-tree over all points would compare every point with most boxes, since boxes of unrelated texts of one
 length overlap in nearly all of some dozen groups. The trees are therefore planted by shared shingle: two
@@ -40,6 +41,7 @@ from dryspell.llm.words import Texts, pieces, shingle_sets
 
 GROUPS = 256
 LEAF = 32
+TREE_GROUPS = 2048
 BLOCK = 2048
 PART = 256
 DEGREE_BLOCK = 512
@@ -99,7 +101,7 @@ def profiles(
                     continue
                 spots, width = (own >> np.uint64(40)).astype(np.int64), fineness(n, groups)
                 counts = np.bincount(spots % width, minlength=width)
-                points.append(pack(counts.reshape(-1, groups).sum(axis=0)))
+                points.append(pack(counts.reshape(-1, min(width, max(groups, TREE_GROUPS))).sum(axis=0)))
                 fine.append(pack(counts))
                 first = n - math.ceil(threshold * n) + 1 if n else 0
                 if len(late.value):
@@ -118,6 +120,40 @@ def profiles(
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Points (rows) of more groups as points of ``groups``: groups that agree modulo that number are one."""
+    return points.reshape(len(points), points.shape[1] // groups, groups).sum(axis=1, dtype=np.int32)
+
+
+class Fine:
+    """Some rows' finer points, held by their number of groups."""
+
+    def __init__(self, packed: list[bytes], sizes: np.ndarray, groups: int, most: int):
+        widths = np.array([min(fineness(int(n), groups), most) for n in sizes], np.int64)
+        self.width, self.spot, self.points = widths, np.zeros(len(widths), np.int64), {}
+        for w in np.unique(widths).tolist():
+            at = np.flatnonzero(widths == w)
+            self.spot[at] = np.arange(len(at))
+            self.points[w] = np.stack([unpack(packed[i], w) for i in at])
+
+    def coarse(self, groups: int) -> np.ndarray:
+        out = np.zeros((len(self.width), groups), np.int32)
+        for w, points in self.points.items():
+            out[self.width == w] = folded(points, groups)
+        return out
+
+    def overlap(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Bound on the shingles that rows ``i`` and ``j`` have in common, pair by pair."""
+        out = np.zeros(len(i), np.int64)
+        for a, left in self.points.items():
+            for b, right in self.points.items():
+                pairs = np.flatnonzero((self.width[i] == a) & (self.width[j] == b))
+                for at in np.array_split(pairs, len(pairs) * max(a, b) // (1 << 22) + 1):
+                    both = (folded(left[self.spot[i[at]]], min(a, b)), folded(right[self.spot[j[at]]], min(a, b)))
+                    out[at] = np.minimum(*both).sum(axis=1)
+        return out
+
+
 def enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: Fraction) -> np.ndarray:
     """Whether ``overlap`` shingles in common suffice: i / (a + b - i) >= t."""
     p, q = threshold.numerator, threshold.denominator
@@ -172,7 +208,8 @@ def tree_join(points: np.ndarray, sizes: np.ndarray, classes: np.ndarray, side:
 
 
 def tree_pairs(rows: DataFrame, groups: int, threshold: Fraction) -> DataFrame:
-    """(a, b) candidates among (h, lo, hi, block, node, n, class, point) rows, a tree for each (h, lo, hi)."""
+    """(a, b) candidates among (h, lo, hi, block, node, n, class, point) rows, a tree for each (h, lo, hi).
+    Points have up to ``TREE_GROUPS`` groups; the boxes are made of them folded to ``groups``."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, found = None, []
@@ -182,7 +219,8 @@ def tree_pairs(rows: DataFrame, groups: int, threshold: Fraction) -> DataFrame:
             node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
             classes = table.column("class").to_numpy()
             block = table.column("block").to_numpy()
-            points = np.stack([unpack(x, groups) for x in table.column("point").to_pylist()])
+            fine = Fine(table.column("point").to_pylist(), n, groups, max(groups, TREE_GROUPS))
+            points = fine.coarse(groups)
             edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             for s, e in zip([0, *edges], [*edges, len(node)]):
                 if e - s < 2:
@@ -192,6 +230,8 @@ def tree_pairs(rows: DataFrame, groups: int, threshold: Fraction) -> DataFrame:
                 if cross and side.all() or len(np.unique(classes[s:e])) < 2:
                     continue
                 i, j = tree_join(points[s:e], n[s:e], classes[s:e], side, threshold)
+                fits = enough(fine.overlap(s + i, s + j), n[s + i], n[s + j], threshold)
+                i, j = i[fits], j[fits]
                 if len(i):
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.minimum(node[s + i], node[s + j])),

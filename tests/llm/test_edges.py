@@ -43,6 +43,27 @@ def test_shingle_join(make):
     assert got == components(ODD)
 
 
+def test_finer_points():
+    """The bound of pairs of any sizes is the sum of minima of both folded to the coarser one, and never less
+    than what the sets have in common."""
+    r = np.random.default_rng(3)
+    sets = [r.integers(0, 3000, n) for n in (1, 5, 20, 40, 90, 200, 700, 1500)]
+    sizes = np.array([len(set(x.tolist())) for x in sets])
+    packed, full = [], []
+    for x in sets:
+        width = min(ngram_join.fineness(len(set(x.tolist())), 16), 64)
+        counts = np.bincount(np.unique(x) % width, minlength=width)
+        packed.append(ngram_join.pack(counts))
+        full.append(counts)
+    fine = ngram_join.Fine(packed, sizes, 16, 64)
+    i, j = np.triu_indices(len(sets))
+    for a, b, bound in zip(i, j, fine.overlap(i, j)):
+        both = min(len(full[a]), len(full[b]))
+        assert bound == np.minimum(*(full[k].reshape(-1, both).sum(axis=0) for k in (a, b))).sum()
+        assert bound >= len(set(sets[a].tolist()) & set(sets[b].tolist()))
+    assert (fine.coarse(16).sum(axis=1) == sizes).all()
+
+
 def test_shingle_join_of_null_and_repeated_ids(make):
     docs = make([(None, BASE), (None, None), (5, BASE), (5, "other words than those of before"), (7, BASE), (7, BASE)])
     rows = sorted(
