@@ -7,9 +7,11 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dryspell.model import GROUP_KEY, LADDER, Rung, ValidationError
+from dryspell.lineage import materialize
+from dryspell.model import GROUP_KEY, LADDER, Rung
+from dryspell.operators.quality import assert_empty
 
-MAX_RUNGS = 1000
+BIN_YEARS = 16
 
 
 def ladder_factor(ladder: Iterable[Rung] = LADDER) -> Column:
@@ -25,32 +27,53 @@ def ladder_factor(ladder: Iterable[Rung] = LADDER) -> Column:
     return F.expr(f"case {' '.join(branches)} else 0 end") if branches else F.lit(0)
 
 
+def overlapping_rungs(ladder: DataFrame) -> DataFrame:
+    """Rungs of a ladder table that reach into the next rung of their event, with its first year as ``overlap``."""
+    by_event = Window.partitionBy("event").orderBy("first_year", F.asc_nulls_last("last_year"))
+    following = F.lead("first_year").over(by_event)
+    rungs = ladder.select("event", "first_year", "last_year", following.alias("overlap"))
+    return rungs.where(F.col("overlap").isNotNull() & (F.col("last_year").isNull() | (F.col("overlap") <= F.col("last_year"))))
+
+
+def table_factor(events: DataFrame, ladder: DataFrame, bin_years: int = BIN_YEARS) -> DataFrame:
+    """``events`` with the ``drought_factor`` of the rung that holds their year, null without one.
+
+    Rungs are met by event and span of ``bin_years`` years, in which an event has few of them; the last rung of
+    an event may be open and is met by event alone. The rungs are written before, so that Spark knows their size
+    and broadcasts a small ladder.
+    """
+    first, last = F.col("first_year"), F.col("last_year")
+    year_bin = lambda c: F.floor(c / F.lit(bin_years)).cast("bigint")
+    bins = F.explode(F.sequence(year_bin(first), year_bin(last))).alias("_bin")
+    closed = ladder.where(first <= last).select(
+        "event", bins, first.alias("_first"), last.alias("_last"), F.col("factor").alias("_factor")
+    )
+    opened = ladder.where(last.isNull()).select("event", first.alias("_from"), F.col("factor").alias("_open"))
+    year = F.col("program_year")
+    met = events.withColumn("_bin", year_bin(year)).alias("e")
+    closed, opened = materialize(closed).alias("c"), materialize(opened).alias("o")
+    met = met.join(closed, (F.col("e.event") == F.col("c.event")) & (F.col("e._bin") == F.col("c._bin"))
+                   & year.between(F.col("_first"), F.col("_last")), "left")
+    met = met.join(opened, (F.col("e.event") == F.col("o.event")) & (year >= F.col("_from")), "left")
+    factor = F.coalesce("_factor", "_open").alias("drought_factor")
+    return met.select(*[F.col(f"e.`{c}`") for c in events.columns if c != "drought_factor"], factor)
+
+
 def score_events(events: DataFrame, ladder: Iterable[Rung] | DataFrame = LADDER) -> DataFrame:
     """Add ``drought_factor`` and keep the events that earn something.
 
-    The ladder becomes one expression and needs no join, also where it is given as a table
-    (``event, first_year, last_year, factor``). Such a table is read when the plan is built.
+    A ladder of :class:`Rung` becomes one expression and needs no join. One that is a table (``event,
+    first_year, last_year, factor``; a null last year leaves it open) is joined, whatever its size; spans of one
+    event that overlap raise.
     """
     if isinstance(ladder, DataFrame):
-        ladder = read_ladder(ladder)
-    scored = events.withColumn("drought_factor", ladder_factor(ladder))
+        assert_empty(overlapping_rungs(ladder), "rungs that overlap the next one of their event")
+        scored = table_factor(events, ladder)
+    else:
+        scored = events.withColumn("drought_factor", ladder_factor(ladder))
     return scored.where(F.col("drought_factor") > 0)
 
 
-def read_ladder(table: DataFrame, max_rungs: int = MAX_RUNGS) -> list[Rung]:
-    """The rungs of a ladder table. Spans of one event that overlap raise, as do more than
-    ``max_rungs`` rungs: such a table is no ladder."""
-    rows = table.select("event", "first_year", "last_year", "factor").limit(max_rungs + 1).collect()
-    if len(rows) > max_rungs:
-        raise ValidationError(f"a ladder of more than {max_rungs} rungs")
-    rungs = sorted((Rung(*r) for r in rows), key=lambda r: (r.event, r.first_year))
-    for one, following in zip(rungs, rungs[1:]):
-        open_ended = one.last_year is None or one.last_year >= following.first_year
-        if one.event == following.event and open_ended:
-            raise ValidationError(f"rungs of {one.event} overlap from {following.first_year}")
-    return rungs
-
-
 def escalating(
     df: DataFrame,
     keys: Sequence[str] = GROUP_KEY,

@@ -347,6 +347,55 @@ def events_scored_by_table(binding, spark, sf_dir):
     return scoring.score_events(dated_events(*binding.inputs(spark, sf_dir)), ladder)
 
 
+_RUNGS = """whole as (select ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'][cast(p_partkey % 5 as int) + 1] event,
+      cast(p_partkey // 5 * 4 as int) first_year, cast(p_partkey // 5 * 4 + p_size % 4 as int) last_year,
+      cast(1 + p_size % 5 as int) factor from part),
+    rungs as (select event, first_year, factor,
+      case when first_year < max(first_year) over (partition by event) then last_year end last_year from whole)"""
+
+
+def _rungs(spark, sf_dir):
+    """A ladder of one rung a part, with gaps; the last rung of each event is open."""
+    names = F.array(*[F.lit(x) for x in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")])
+    first = F.expr("p_partkey div 5 * 4")
+    whole = b.table(spark, sf_dir, "part").select(
+        F.element_at(names, (F.col("p_partkey") % 5 + 1).cast("int")).alias("event"),
+        first.cast("int").alias("first_year"), (first + F.col("p_size") % 4).cast("int").alias("last_year"),
+        (1 + F.col("p_size") % 5).cast("int").alias("factor"),
+    )
+    ends = whole.groupBy("event").agg(F.max("first_year").alias("_end"))
+    last = F.when(F.col("first_year") < F.col("_end"), F.col("last_year"))
+    return whole.join(ends, "event").select("event", "first_year", last.alias("last_year"), "factor")
+
+
+@register(
+    "orders_scored_by_rungs",
+    f"""with {_RUNGS}, o as (select o_orderkey, o_orderpriority event, cast(o_orderkey % 20011 as int) program_year from orders)
+    select o.*, factor drought_factor from o join rungs r on o.event = r.event
+      and program_year >= first_year and (last_year is null or program_year <= last_year)""",
+)
+def orders_scored_by_rungs(spark, sf_dir):
+    """Orders as events of their priority, scored by a ladder that grows with the data."""
+    orders = b.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("event"),
+        (F.col("o_orderkey") % 20011).cast("int").alias("program_year"),
+    )
+    return scoring.score_events(orders, _rungs(spark, sf_dir))
+
+
+@register(
+    "rung_overlaps",
+    f"""with {_RUNGS}, n as (select event, first_year, last_year,
+        lead(first_year) over (partition by event order by first_year, last_year nulls last) overlap
+      from (select event, first_year, last_year + 2 last_year from rungs))
+    select * from n where overlap is not null and (last_year is null or overlap <= last_year)""",
+)
+def rung_overlaps(spark, sf_dir):
+    """Rungs that overlap once all of them last two years longer."""
+    longer = _rungs(spark, sf_dir).withColumn("last_year", F.col("last_year") + 2)
+    return scoring.overlapping_rungs(longer)
+
+
 @on_both("eligibility", "select * from elig")
 def eligibility(binding, spark, sf_dir):
     return binding.result(spark, sf_dir)

@@ -168,6 +168,40 @@ def test_ladder_as_expression_and_as_table(spark):
     assert scoring.score_events(df, []).isEmpty()
 
 
+def test_ladder_of_many_rungs(spark):
+    """100,000 rungs with gaps, an open one, and spans of one to hundreds of years, against plain search."""
+    import bisect
+
+    from dryspell.model import ValidationError
+
+    r, rungs = random.Random(2), []
+    for event in ("a", "b", "it's"):
+        year = -50
+        for k in range(33_400):
+            start = year + r.randint(1, 3)
+            year = start + (r.choice([0, 1, 2]) if k % 5000 else 700)
+            rungs.append((event, start, year, r.randint(0, 9)))
+        rungs.append((event, year + 5, None, 4))
+    ladder = spark.createDataFrame(rungs, "event string, first_year int, last_year int, factor int")
+    asked = [(r.choice(["a", "b", "it's", "none", None]), r.randint(-100, 200_000), k) for k in range(5000)]
+    asked += [("a", None, -1)]
+    events = spark.createDataFrame(asked, "event string, program_year int, id int")
+    by_event = {}
+    for rung in rungs:
+        by_event.setdefault(rung[0], []).append(rung)
+    expected = []
+    for event, year, k in asked:
+        own = by_event.get(event, [])
+        at = bisect.bisect_right([x[1] for x in own], year) - 1 if year is not None else -1
+        if at >= 0 and (own[at][2] is None or year <= own[at][2]) and own[at][3] > 0:
+            expected.append((event, year, k, own[at][3]))
+    assert rows(scoring.score_events(events, ladder)) == sorted(expected)
+    clash = ladder.unionByName(spark.createDataFrame([("a", 60, 61, 1)], ladder.schema))
+    assert scoring.overlapping_rungs(ladder).isEmpty()
+    with pytest.raises(ValidationError, match="rungs that overlap"):
+        scoring.score_events(events, clash)
+
+
 @settings(max_examples=1, deadline=None)
 @given(st.lists(st.dates(date(1999, 1, 1), date(2031, 12, 31)), min_size=30, max_size=60))
 def test_date_codes_round_trip(spark, dates):
