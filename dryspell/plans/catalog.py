@@ -14,7 +14,9 @@ from dryspell.functions.levels import collapse_levels, level_code, level_label
 from dryspell.functions.text import csv_line
 from dryspell.lineage import materialize, shared_dir
 from dryspell.model import BELOW_D2, D2, GROUP_KEY, LADDER, WINDOW_KEY
-from dryspell.operators import aggregate, dictionary, listings, quality, scoring, tiers, units
+from dryspell.operators import (
+    aggregate, dictionary, listings, quality, scoring, sketches, tiers, units,
+)
 from dryspell.operators.runs import run_length_encode
 from dryspell.plans import bindings as b
 from dryspell.plans import oracle as o
@@ -609,6 +611,34 @@ def qa_summary(binding, spark, sf_dir):
     return report.qa_summary(*_reported(binding, spark, sf_dir))
 
 
+_COUNTED = "(select distinct program_year, fips, fsa_county, pasture_type, source from elig)"
+
+
+@on_both(
+    "sketch_counts",
+    f"""select year, metric, n, true as near from (
+      select program_year as year, count(distinct (fips, fsa_county)) n_pairs, count(distinct fips) n_units,
+        count(distinct fsa_county) n_offices, count(distinct pasture_type) n_types, count(distinct source) n_sources
+      from {_COUNTED} group by grouping sets ((program_year), ()))
+    unpivot (n for metric in (n_pairs, n_units, n_offices, n_types, n_sources))""",
+)
+def sketch_counts(binding, spark, sf_dir):
+    """Distinct counts of each program year and of all (null year), with whether the merged yearly sketches are
+    within four standard errors of them."""
+    result, names = materialize(binding.result(spark, sf_dir)), list(sketches.RESULT_COUNTS)
+    parts = materialize(sketches.sketches(result, ["program_year"], sketches.RESULT_COUNTS))
+    year, every = F.col("program_year").alias("year"), F.lit(None).cast("int").alias("year")
+
+    def both(count):
+        return count(["program_year"]).select(year, *names).unionByName(count([]).select(every, *names))
+
+    exact = both(lambda by: sketches.exact_counts(result, sketches.RESULT_COUNTS, by)).unpivot("year", names, "metric", "n")
+    guess = both(lambda by: sketches.estimates(parts, names, by)).unpivot("year", names, "metric", "guess")
+    same = exact["year"].eqNullSafe(guess["year"]) & (exact["metric"] == guess["metric"])
+    near = F.abs(F.col("guess") - F.col("n")) <= 4 * sketches.relative_error() * F.col("n")
+    return exact.join(guess, same).select(exact["year"], exact["metric"], "n", near.alias("near"))
+
+
 @register(
     "csv_lines",
     o.supplier(

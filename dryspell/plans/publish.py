@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from dryspell.operators.quality import checked_result, coverage
 from dryspell.sinks.columnar import write_document
 from dryspell.sinks.report import write_report
-from dryspell.sinks.tables import write_result_csv, write_result_parquet
+from dryspell.sinks.tables import write_result_csv, write_result_parquet, write_sketches
 
 
 def publish(
@@ -31,4 +31,5 @@ def publish(
     write_result_csv(result, f"{out_dir}/eligibility_csv")
     write_result_parquet(result, f"{out_dir}/eligibility_parquet")
     write_document(result, f"{out_dir}/eligibility_json", **header)
+    write_sketches(result, f"{out_dir}/sketches")
     return result

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dryspell.operators.sketches import RESULT_COUNTS, sketches
 from dryspell.sources.tables import published_names
 
 # Storage settings of every published Parquet file.
@@ -58,6 +59,12 @@ def write_result_parquet(eligibility: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)
 
 
+def write_sketches(eligibility: DataFrame, path: str) -> None:
+    """Sketches of the result's distinct counts, a row per program year. Years of several results merge."""
+    rows = sketches(eligibility, ["program_year"], RESULT_COUNTS)
+    rows.write.mode("overwrite").options(**PARQUET_OPTIONS).parquet(path)
+
+
 def write_result_csv(eligibility: DataFrame, path: str) -> None:
     rows = published_names(eligibility.orderBy(*RESULT_ORDER))
     rows.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)

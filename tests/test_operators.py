@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from dryspell.functions.dates import date_code, date_decode
 from dryspell.functions.levels import collapse_levels, level_code, level_label
 from dryspell.functions.text import base_name, csv_line, encode_key, strip_prefix
-from dryspell.operators import aggregate, dictionary, listings, runs, scoring, tiers, units
+from dryspell.operators import (
+    aggregate, dictionary, listings, runs, scoring, sketches, tiers, units,
+)
 from dryspell.operators.intervals import interval_join
 
 from evaluator import runs_of, tuesday
@@ -345,3 +347,24 @@ def test_sensitivity_and_payable(spark):
     assert {(r.fips, r.drought_factor): r.payable_months for r in paid.collect()} == {
         ("1", 3): 2, ("1", 4): 2, ("2", 1): 1, ("2", 3): 3, ("3", 1): 1
     }
+
+
+def test_sketches_merge_within_their_error(spark):
+    """Counts of any union of parts, values in several parts counted once, nulls and empty tables."""
+    df = spark.range(60_000).select(
+        (F.col("id") % 7).alias("part"), (F.col("id") % 20_011).alias("a"), (F.col("id") % 3).alias("b"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("half"),
+    )
+    counts = {"n_a": ("a",), "n_ab": ("a", "b"), "n_half": ("half",), "n_half_b": ("half", "b")}
+    parts = sketches.sketches(df, ["part"], counts)
+    guess, exact = sketches.estimates(parts, list(counts)).first(), sketches.exact_counts(df, counts).first()
+    assert exact.asDict() == {"n_a": 20_011, "n_ab": 60_000, "n_half": 30_000, "n_half_b": 30_000}
+    for name in counts:
+        assert abs(guess[name] - exact[name]) <= 4 * sketches.relative_error() * exact[name]
+    by = {r.part: r.n_a for r in sketches.estimates(parts, ["n_a"], ["part"]).collect()}
+    assert len(by) == 7
+    some = sketches.estimates(parts.where("part < 3"), ["n_a"]).first().n_a
+    truth = df.where("part < 3").select("a").distinct().count()
+    assert abs(some - truth) <= 4 * sketches.relative_error() * truth
+    assert parts.where("false").groupBy().agg(F.hll_union_agg("n_a").alias("n_a")).count() == 1
+    assert sketches.sketches(df.where("false"), ["part"], counts).isEmpty()
