@@ -62,12 +62,14 @@ def ends_of(ids: list[int], lengths: list[int], borders: Sequence[int]) -> dict[
 
 def align(
     a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int], borders: Sequence[int]
-) -> list[Aligned] | None:
+) -> list[tuple] | None:
     """Groups and links of two id lists over the same bytes, for each stretch that ends at one of ``borders``
-    (byte ends in order, the last that of all). Nothing where a token crosses one. A link is ``a << 32 | b``."""
+    (byte ends in order, the last that of all), as the fields of :class:`Aligned`. Nothing where a token crosses
+    a border. A link is ``a << 32 | b``."""
     a_ends, b_ends = ends_of(a, a_lengths, borders), ends_of(b, b_lengths, borders)
     if a_ends is None or b_ends is None:
         return None
+    a_text, b_text = list(map(str, a)), list(map(str, b))
     found, groups, links = [], [], []
     i = j = from_i = from_j = 0
     last = iter(borders)
@@ -75,19 +77,22 @@ def align(
     for common in sorted(a_ends.keys() & b_ends.keys()):
         to_i, to_j = a_ends[common], b_ends[common]
         if to_i == i + 1 and to_j == j + 1:
-            x, y = a[i], b[j]
-            groups.append(f"{x}|{y}")
-            links.append(x << 32 | y)
+            groups.append(a_text[i] + "|" + b_text[j])
+            links.append(a[i] << 32 | b[j])
         else:
             ours, theirs = a[i:to_i], b[j:to_j]
-            groups.append(f"{','.join(map(str, ours))}|{','.join(map(str, theirs))}")
-            if len(ours) == 1 or len(theirs) == 1:
-                links += [x << 32 | y for x in ours for y in theirs]
+            groups.append(",".join(a_text[i:to_i]) + "|" + ",".join(b_text[j:to_j]))
+            if to_i == i + 1:
+                first = ours[0] << 32
+                links += [first | y for y in theirs]
+            elif to_j == j + 1:
+                second = theirs[0]
+                links += [x << 32 | second for x in ours]
             else:
                 links += overlaps(ours, theirs, a_lengths, b_lengths)
         i, j = to_i, to_j
         if common == border:
-            found.append(Aligned(i - from_i, j - from_j, len(groups), ";".join(groups), tuple(links)))
+            found.append((i - from_i, j - from_j, len(groups), ";".join(groups), tuple(links)))
             groups, links = [], []
             from_i, from_j, border = i, j, next(last, None)
     return found
@@ -145,8 +150,8 @@ class Aligner:
         self.a_lengths, self.b_lengths = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.space = [names.index("▁")] if "▁" in names else None
         self.cut = self.space is not None and not any(_PIECE_ACROSS.search(p) for p in names)
-        self.known: dict[str, Aligned | None] = {}
-        self.older: dict[str, Aligned | None] = {}
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     @staticmethod
     def _ranks(a_path: str):
@@ -168,7 +173,7 @@ class Aligner:
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
-    def together(self, parts: list[str]) -> list[Aligned] | None:
+    def together(self, parts: list[str]) -> list[tuple] | None:
         """Stretches one after the other in one text; nothing where a vocabulary changes their bytes."""
         text = "".join([f" {part}" for part in parts])
         data = text.encode()
@@ -182,9 +187,9 @@ class Aligner:
     def whole(self, text: str) -> Aligned | None:
         """A text without any cut; nothing where a vocabulary changes its bytes."""
         found = self.together([text])
-        return found[0] if found else None
+        return Aligned(*found[0]) if found else None
 
-    def each(self, parts: list[str]) -> list[Aligned | None]:
+    def each(self, parts: list[str]) -> list[tuple | None]:
         """Stretches that end in something other than white space; those that fail are found by halving."""
         found = self.together(parts) if parts else []
         if found is not None:
@@ -194,7 +199,7 @@ class Aligner:
         half = len(parts) // 2
         return self.each(parts[:half]) + self.each(parts[half:])
 
-    def learn(self, parts: set[str]) -> dict[str, Aligned | None]:
+    def learn(self, parts: set[str]) -> dict[str, tuple | None]:
         """What these stretches give. New ones are remembered, the oldest half of many is forgotten."""
         new = parts - self.known.keys()
         again = {p: self.older[p] for p in new if p in self.older}
