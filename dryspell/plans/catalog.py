@@ -230,14 +230,19 @@ def unresolved_units(spark, sf_dir):
     return units.unresolved_units(b.supplier_windows(spark, sf_dir), b.nation_crosswalk(spark, sf_dir))
 
 
-@on_both(
-    "observed_units_only",
-    "select * from obs where fips in (select fips from ngp where program_year >= 2020)",
-)
-def observed_units_only(binding, spark, sf_dir):
-    """Observations of the units that have a window in the later eras."""
-    observations, windows = binding.inputs(spark, sf_dir)
-    return units.observed_only(observations, windows.where(F.col("program_year") >= 2020))
+_OBSERVED = "select * from obs where fips in (select fips from other_ngp)"
+
+
+@register("observed_units_only", o.nation(_OBSERVED, o.OTHER_WINDOWS["nation"]))
+def observed_units_only(spark, sf_dir):
+    """Observations of the nations whose code has a window among the suppliers."""
+    return units.observed_only(b.nation_observations(spark, sf_dir), b.supplier_windows(spark, sf_dir))
+
+
+@register("observed_units_only_by_supplier", o.supplier(_OBSERVED, o.OTHER_WINDOWS["supplier"]))
+def observed_units_only_by_supplier(spark, sf_dir):
+    """Observations of the suppliers whose code has a window among the nations."""
+    return units.observed_only(b.supplier_observations(spark, sf_dir), b.nation_windows(spark, sf_dir))
 
 
 @register("clipped_runs", o.nation("select * from clip"))
@@ -265,17 +270,24 @@ _REASONS = """select reason, count(*) n_windows from (
         then 'no usable dates' when s.fips is null then 'unit never observed' else 'used' end reason
     from (select fips, fsa_county, program_year, pasture_type, window_start,
             case when pasture_type = 'P0' then null else window_end end window_end from ngp) n
-    left join (select distinct fips from obs where source = 'A' and drought_class = 5) s on n.fips = s.fips)
+    left join (select distinct fips from other_obs) s on n.fips = s.fips)
     group by reason"""
 
 
-@on_both("silent_drops", _REASONS)
-def silent_drops(binding, spark, sf_dir):
-    """Windows of one pasture type lose their end, and only units with a D4 week count as observed."""
-    observations, windows = binding.inputs(spark, sf_dir)
+def _coverage(windows, observations):
+    """Windows of one pasture type lose their end; units are those the other binding observed."""
     end = F.when(F.col("pasture_type") != "P0", F.col("window_end"))
-    seen = observations.where((F.col("source") == "A") & (F.col("drought_class") == 5))
-    return quality.coverage(windows.withColumn("window_end", end), seen)
+    return quality.coverage(windows.withColumn("window_end", end), observations)
+
+
+@register("silent_drops", o.nation(_REASONS, o.OTHER_OBS["nation"]))
+def silent_drops(spark, sf_dir):
+    return _coverage(b.nation_windows(spark, sf_dir), b.supplier_observations(spark, sf_dir))
+
+
+@register("silent_drops_by_supplier", o.supplier(_REASONS, o.OTHER_OBS["supplier"]))
+def silent_drops_by_supplier(spark, sf_dir):
+    return _coverage(b.supplier_windows(spark, sf_dir), b.nation_observations(spark, sf_dir))
 
 
 # --- tiers --------------------------------------------------------------------------------------
@@ -793,16 +805,24 @@ def _manifest(spark, sf_dir):
     return files.select("source", url.alias("url"), "file")
 
 
-def _lines_as_files(spark, sf_dir, condition):
-    week = F.trunc(F.col("l_shipdate").cast("date"), "week").cast("string")
-    key = F.concat_ws("/", F.lit("data"), F.col("l_returnflag"),
-                      F.concat_ws("_", F.col("l_suppkey").cast("string"), week))
-    rows = b.table(spark, sf_dir, "lineitem").where(condition)
-    return rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("size"))
+def _lines_and_orders(spark, sf_dir):
+    """Line items with the weeks they were shipped and ordered in."""
+    lines = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey", "l_shipdate")
+    orders = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    week = lambda c: F.trunc(F.col(c).cast("date"), "week").cast("string")
+    return lines.join(orders, "l_orderkey").select(
+        "l_returnflag", F.col("l_suppkey").cast("string").alias("unit"),
+        week("l_shipdate").alias("shipped"), week("o_orderdate").alias("ordered"),
+    )
+
 
+def _lines_as_files(lines, week):
+    key = F.concat_ws("/", F.lit("data"), F.col("l_returnflag"), F.concat_ws("_", "unit", week))
+    return lines.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("size"))
 
-_BUILT = """built as (select distinct 'USDM_' || l_suppkey || '_' || cast(date_trunc('week', l_shipdate) as date)
-    || '.parquet' file from lineitem where l_linestatus = 'F')"""
+
+_BUILT = """built as (select distinct 'USDM_' || l_suppkey || '_' || cast(date_trunc('week', o_orderdate) as date)
+    || '.parquet' file from lineitem join orders on l_orderkey = o_orderkey)"""
 
 
 @register(
@@ -810,10 +830,9 @@ _BUILT = """built as (select distinct 'USDM_' || l_suppkey || '_' || cast(date_t
     o.files("select * from manifest where file not in (select file from built)", _BUILT),
 )
 def manifest_pending(spark, sf_dir):
-    finished = b.table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
-    week = F.trunc(F.col("l_shipdate").cast("date"), "week").cast("string")
-    built = finished.select(F.concat(
-        F.lit("USDM_"), F.col("l_suppkey").cast("string"), F.lit("_"), week, F.lit(".parquet")
+    """Files named by ship week that no order week of their supplier built."""
+    built = _lines_and_orders(spark, sf_dir).select(F.concat(
+        F.lit("USDM_"), F.col("unit"), F.lit("_"), F.col("ordered"), F.lit(".parquet")
     ).alias("file")).distinct()
     return listings.pending(_manifest(spark, sf_dir), built)
 
@@ -844,7 +863,8 @@ def manifest_nested(spark, sf_dir):
 
 
 _LISTED = """{0} as (select 'data/' || l_returnflag || '/' || l_suppkey || '_'
-    || cast(date_trunc('week', l_shipdate) as date) as key, count(*) as size from lineitem where {1} group by 1)"""
+    || cast(date_trunc('week', {1}) as date) as key, count(*) as size
+  from lineitem join orders on l_orderkey = o_orderkey group by 1)"""
 _RECONCILED = """select * from (select coalesce(w.key, h.key) as key,
     case when h.key is null then 'missing' when w.key is null then '{0}'
       when w.size <> h.size then 'size mismatch' end as problem,
@@ -853,11 +873,12 @@ _RECONCILED = """select * from (select coalesce(w.key, h.key) as key,
 
 
 def _listing_pair(spark, sf_dir):
-    want = _lines_as_files(spark, sf_dir, F.col("l_tax") > 0)
-    return want, _lines_as_files(spark, sf_dir, F.col("l_discount") > 0)
+    """Files by ship week, expected, and by order week, listed."""
+    lines = _lines_and_orders(spark, sf_dir)
+    return _lines_as_files(lines, "shipped"), _lines_as_files(lines, "ordered")
 
 
-_LISTING_SQL = (_LISTED.format("want", "l_tax > 0"), _LISTED.format("have", "l_discount > 0"))
+_LISTING_SQL = (_LISTED.format("want", "l_shipdate"), _LISTED.format("have", "o_orderdate"))
 
 
 @register("listing_reconcile", o._with(*_LISTING_SQL, final=_RECONCILED.format("unexpected", "")))

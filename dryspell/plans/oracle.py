@@ -66,6 +66,16 @@ def _window_rows(name: str, units: str, era: str = "x.n") -> str:
 NATION_WINDOWS = _windows("nation", "n_nationkey", 0, 100, "x.n")
 SUPPLIER_WINDOWS = _windows("supplier", "s_suppkey", 10**12, 0, "(x.n // 2)")
 
+# The windows and observations of the other binding beside those of this one.
+OTHER_WINDOWS = {
+    "nation": _windows("supplier", "s_suppkey", 10**12, 0, "(x.n // 2)", "other_"),
+    "supplier": _windows("nation", "n_nationkey", 0, 100, "x.n", "other_"),
+}
+OTHER_OBS = {
+    "nation": SUPPLIER_OBS.replace("raw_obs", "other_raw").replace("\nobs as", "\nother_obs as"),
+    "supplier": NATION_OBS.replace("\nobs as", "\nother_obs as"),
+}
+
 RUNS = """
 c as (select fips, source, usdm_date, case when drought_class < 3 then 0 else drought_class end drought_class from obs),
 f as (select *, case when drought_class <> lag(drought_class) over s then 1 else 0 end chg
