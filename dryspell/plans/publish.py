@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from dryspell.operators.quality import checked_result, coverage
-from dryspell.sinks.columnar import write_document
+from dryspell.sinks.columnar import write_document, write_shards
 from dryspell.sinks.report import write_report
 from dryspell.sinks.tables import write_result_csv, write_result_parquet, write_sketches
 
@@ -31,5 +31,6 @@ def publish(
     write_result_csv(result, f"{out_dir}/eligibility_csv")
     write_result_parquet(result, f"{out_dir}/eligibility_parquet")
     write_document(result, f"{out_dir}/eligibility_json", **header)
+    write_shards(result, f"{out_dir}/eligibility_shards")
     write_sketches(result, f"{out_dir}/sketches")
     return result

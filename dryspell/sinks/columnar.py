@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dryspell.functions.dates import date_code, date_decode
@@ -156,3 +156,79 @@ def write_document(eligibility: DataFrame, path: str, **header) -> None:
     lines = document_lines(eligibility, dictionary, materialize(record_cells(codes)), **header)
     keys = [f"k{i}" for i in range(len(CELL))]
     lines.orderBy("part", *keys).select("text").write.mode("overwrite").text(path)
+
+
+#: A shard holds its records under these names, in the order of the document.
+SHARD_KEYS = ("part", *[f"k{i}" for i in range(len(CELL))])
+
+
+def shard_counts(codes: DataFrame) -> DataFrame:
+    """``program_year, year, n, offset``: the records of each year, and those of earlier years. One row a year."""
+    counts = codes.groupBy("program_year", "year").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("program_year").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
+def shard_lines(cells: DataFrame, counts: DataFrame) -> DataFrame:
+    """``program_year, part, k0..k3, text``: sorted by all but the text, the texts of a year are one JSON
+    document with its records. Both inputs are materialized."""
+    firsts = cells.groupBy("year").agg(F.min(F.struct(*CELL)).alias("first"))
+    known = counts.select("program_year", "year", "n")
+    head = F.concat(F.lit('{"program_year":'), F.col("program_year").cast("string"), F.lit(',"n":'), F.col("n").cast("string"))
+    parts, part, fields = [known.select("program_year", *_line(0, head, []))], 2, []
+    for field in RECORD_FIELDS:
+        parts.append(known.select("program_year", *_line(part - 1, F.lit(f',"{field}":['), [])))
+        parts.append(known.select("program_year", *_line(part + 1, F.lit("]"), [])))
+        fields.append(F.struct(F.lit(part).alias("part"), cell_text(field).alias("body")))
+        part += 3
+    parts.append(known.select("program_year", *_line(part, F.lit("}"), [])))
+    lead = F.when(F.struct(*CELL) == F.col("first"), F.lit("")).otherwise(F.lit(","))
+    bodies = cells.join(firsts, "year").join(known.select("program_year", "year"), "year")
+    bodies = bodies.select("program_year", *CELL, lead.alias("lead"), F.inline(F.array(*fields)))
+    parts.append(bodies.select(
+        "program_year", "part", *[F.col(c).cast("int").alias(f"k{i}") for i, c in enumerate(CELL)],
+        F.concat("lead", "body").alias("text"),
+    ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_shards(eligibility: DataFrame, path: str) -> None:
+    """The document in a compressed shard for each program year, each readable alone.
+
+    ``dictionary`` holds the values of all codes once, ``index`` a line for each year with its folder, the
+    number of its records and of those in earlier years. The part files of a year, in name order, are one gzip
+    stream with one JSON document. ``eligibility`` is materialized.
+    """
+    dictionary = record_dictionary(eligibility)
+    codes = record_codes(eligibility, dictionary)
+    assert_empty(round_trip_failures(codes), "dates lost by the date codes")
+    cells = materialize(record_cells(codes))
+    counts = materialize(shard_counts(codes))
+    lines = shard_lines(cells, counts).repartitionByRange("program_year", *SHARD_KEYS)
+    lines.sortWithinPartitions("program_year", *SHARD_KEYS).select("program_year", "text").write.mode(
+        "overwrite"
+    ).option("compression", "gzip").partitionBy("program_year").text(f"{path}/shards")
+    folder = F.concat(F.lit("shards/program_year="), F.col("program_year").cast("string")).alias("shard")
+    index = counts.select("program_year", folder, "offset", F.col("n").alias("count"))
+    index.orderBy("program_year").write.mode("overwrite").json(f"{path}/index")
+    names = {dim: field for field, dim in DICTIONARY_FIELDS}
+    field = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("dim")]
+    dictionary.select(field.alias("field"), "code", "value").orderBy("field", "code").write.mode(
+        "overwrite"
+    ).json(f"{path}/dictionary")
+
+
+def read_shards(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
+    """The records of the shards as ``program_year`` and codes; of one year, only its shard is read."""
+    arrays = ", ".join(f"{f} array<int>" for f in RECORD_FIELDS if f != "year")
+    texts = spark.read.schema("text string, program_year int").text(f"{path}/shards", wholetext=True)
+    if year is not None:
+        texts = texts.where(F.col("program_year") == year)
+    # The files of a year are pieces of one document; a year has a few of them.
+    name = F.col("_metadata.file_path")
+    whole = texts.withColumn("name", name).groupBy("program_year").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "text"))), lambda x: x["text"]), "").alias("text")
+    )
+    fields = [f for f in RECORD_FIELDS if f != "year"]
+    parsed = whole.select("program_year", F.from_json("text", arrays).alias("r"))
+    return parsed.select("program_year", F.inline(F.arrays_zip(*[F.col(f"r.{f}").alias(f) for f in fields])))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import glob
+import gzip
 import json
 import os
 from datetime import date
@@ -413,6 +414,31 @@ def test_published_document(published):
     assert decoded == {tuple(r) for r in result.collect()}
 
 
+def test_published_shards(spark, published):
+    """Each year's files are one gzip stream of one JSON document; together they hold the whole document."""
+    out, result = published
+    document = json.loads("\n".join(lines_of(f"{out}/eligibility_json")))
+    index = [json.loads(x) for x in lines_of(f"{out}/eligibility_shards/index")]
+    records, seen = [], 0
+    for entry in index:
+        parts = sorted(glob.glob(f"{out}/eligibility_shards/{entry['shard']}/part-*"))
+        shard = json.loads(gzip.decompress(b"".join(open(p, "rb").read() for p in parts)))
+        assert (shard["program_year"], shard["n"], entry["offset"]) == (entry["program_year"], entry["count"], seen)
+        rows = list(zip(*[shard[f] for f in columnar.RECORD_ORDER]))
+        assert len(rows) == shard["n"] and rows == sorted(rows)
+        assert set(shard["year"]) == {shard["program_year"] - document["year0"]}
+        records += rows
+        seen += entry["count"]
+    assert sorted(records) == list(zip(*[document[f] for f in columnar.RECORD_ORDER]))
+    entries = [json.loads(x) for x in lines_of(f"{out}/eligibility_shards/dictionary")]
+    for field, _ in columnar.DICTIONARY_FIELDS:
+        assert [e["value"] for e in entries if e["field"] == field] == document[field]
+    year = index[1]["program_year"]
+    one = columnar.read_shards(spark, f"{out}/eligibility_shards", year)
+    assert one.count() == index[1]["count"] == result.where(F.col("program_year") == year).count()
+    assert columnar.read_shards(spark, f"{out}/eligibility_shards").count() == seen == result.count()
+
+
 def test_published_report(published):
     out, result = published
     text = lines_of(f"{out}/report")
