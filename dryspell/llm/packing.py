@@ -4,7 +4,8 @@ A document is its ids and an end id. Longer ones are cut into full pieces behind
 histogram of piece lengths, at most ``size`` numbers whatever the corpus, states a configuration linear
 program: how often to use each way of filling a sequence so that every piece has a place. It is solved by
 multiplicative weights: lengths still short of places gain weight, and a knapsack dynamic program finds the
-fullest sequence under the weights. The result is rounded down, and what is left is placed best-fit first.
+fullest sequence under the weights. Uses are rounded as they are made. The program places ``SHARE`` of the pieces
+or more; the last ones, too few to be priced well, are placed best-fit first.
 Pieces then look up their place by length and by rank among the pieces of that length.
 
 A null text is empty and gives the end id alone. Rows that repeat a ``doc_id`` are packed each for itself.
@@ -29,7 +30,8 @@ from dryspell.llm.words import pieces
 
 SIZE = 2048
 END = 0
-ROUNDS = 300
+#: Share of the pieces that the program places, and how much longer pieces are preferred in it.
+SHARE, LONG_BIAS = 0.95, 0.3
 ROWS_A_BUCKET = 50_000
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: Text in these scripts is cut into words alike by both libraries; other texts take the slower one.
@@ -110,66 +112,67 @@ def fullest(weights: np.ndarray, size: int) -> list[int]:
     return found
 
 
-def fractional(counts: dict[int, int], size: int, rounds: int) -> dict[tuple[int, ...], float]:
-    """Configurations and how often to use them: a solution of the covering program up to a few percent.
-
-    In each round the fullest configuration is used as often as the scarcest of its lengths allows for a
-    step, and the weight of a length falls with the share of its pieces that have a place.
+def fullest_of(weights: np.ndarray, size: int, left: np.ndarray) -> Counter:
+    """:func:`fullest` with at most ``left[s]`` pieces of length ``s``: where it takes more, those there are stay
+    and the rest of the room is filled anew without that length."""
+    weights, found, room = weights.copy(), Counter(), size
+    while True:
+        config = Counter(fullest(weights, room))
+        over = [s for s, k in config.items() if k > left[s]]
+        if not over:
+            return found + config
+        for s in over:
+            found[s] = int(left[s])
+            room -= s * found[s]
+            weights[s] = 0
+
+
+def program(counts: dict[int, int], size: int, share: float) -> tuple[Counter, dict[int, int]]:
+    """(configurations and how often each is used, pieces left over): a whole-numbered solution of the covering
+    program for at least ``share`` of the pieces.
+
+    Each round prices the lengths by multiplicative weights, their size times a factor that falls with the share
+    of their pieces that have a place, finds the most valuable configuration under these prices by dynamic
+    programming, and uses it as often as its scarcest length has pieces left. That rounds each use down as it is
+    made, and prices the next on what is left, so nothing is lost to rounding. A round uses up a length or at
+    least its full configurations, so there are few more rounds than lengths.
     """
     need = np.zeros(size + 1)
     for s, n in counts.items():
         need[s] = n
-    there = need > 0
-    placed, used = np.zeros(size + 1), defaultdict(float)
-    step = 0.25
-    for _ in range(rounds):
-        share = np.divide(placed, need, out=np.ones_like(need), where=there)
-        if share[there].min() >= 1:
-            break
-        # A length gains by its size, and the more the further its pieces are from having places.
-        weights = np.where(there & (share < 1), np.arange(size + 1) * np.exp(-share), 0.0)
-        config = fullest(weights, size)
-        held = Counter(config)
-        times = min(max(need[s] - placed[s], 0) / k for s, k in held.items())
-        times = max(min(times, max(step * min(need[s] / k for s, k in held.items()), 1.0)), 1e-9)
-        for s, k in held.items():
-            placed[s] += k * times
-        used[tuple(sorted(config, reverse=True))] += times
-    return used
-
-
-def plan(counts: dict[int, int], size: int = SIZE, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
+    left = need.copy()
+    # Of configurations that fill a sequence alike those of longer pieces are better: short ones fill any gap.
+    worth = np.arange(size + 1) * (1 + LONG_BIAS * np.arange(size + 1) / size)
+    used: Counter = Counter()
+    while left.sum() > (1 - share) * need.sum():
+        placed = 1 - np.divide(left, need, out=np.ones_like(need), where=need > 0)
+        config = fullest_of(np.where(left > 0, worth * np.exp(-placed), 0.0), size, left)
+        times = min(int(left[s]) // k for s, k in config.items())
+        for s, k in config.items():
+            left[s] -= k * times
+        used[tuple(sorted(config.elements(), reverse=True))] += times
+    return used, {int(s): int(left[s]) for s in np.flatnonzero(left)}
+
+
+def plan(counts: dict[int, int], size: int = SIZE, share: float = SHARE) -> list[tuple[tuple[int, ...], int]]:
     """Configurations and how many sequences use each; every piece of ``counts`` has one place."""
-    left = {s: n for s, n in counts.items() if n}
-    chosen: Counter = Counter()
-
-    def use(config: tuple[int, ...], times: int) -> None:
-        held = Counter(config)
-        times = min(times, *(left.get(s, 0) // k for s, k in held.items()))
-        if times > 0:
-            chosen[config] += times
-            for s, k in held.items():
-                left[s] -= k * times
-
-    if left:
-        for config, times in sorted(fractional(left, size, rounds).items(), key=lambda x: (-x[1], x[0])):
-            use(config, int(times))
-    # What rounding left over: longest first, into the fullest sequence that has room.
+    used, left = program({s: n for s, n in counts.items() if n}, size, share)
     open_by_room: dict[int, Counter] = defaultdict(Counter)
-    for s in sorted((s for s, n in left.items() if n), reverse=True):
+    for config, times in used.items():
+        open_by_room[size - sum(config)][config] += times
+    # What the program left over: longest first, into the fullest sequence that has room.
+    for s in sorted(left, reverse=True):
         todo = left[s]
         while todo:
             room = next((r for r in range(s, size + 1) if open_by_room.get(r)), None)
             if room is None:
-                config, there, room = (), todo, size
                 fit = size // s
                 full, rest = divmod(todo, fit)
                 if full:
                     open_by_room[size - fit * s][(s,) * fit] += full
                 if rest:
                     open_by_room[size - rest * s][(s,) * rest] += 1
-                todo = 0
-                continue
+                break
             config, there = next(iter(open_by_room[room].items()))
             times = min(there, todo)
             open_by_room[room][config] -= times
@@ -177,6 +180,7 @@ def plan(counts: dict[int, int], size: int = SIZE, rounds: int = ROUNDS) -> list
                 del open_by_room[room][config]
             open_by_room[room - s][(*config, s)] += times
             todo -= times
+    chosen: Counter = Counter()
     for group in open_by_room.values():
         chosen.update(group)
     return sorted((config, n) for config, n in chosen.items() if n)
@@ -197,13 +201,13 @@ def slots(configs: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
     return {s: np.array(rows, np.int64) for s, rows in found.items()}
 
 
-def pack(docs_pieces: DataFrame, size: int = SIZE, rounds: int = ROUNDS) -> DataFrame:
+def pack(docs_pieces: DataFrame, size: int = SIZE, share: float = SHARE) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``. The pieces are written once to the shared folder."""
     spark = docs_pieces.sparkSession
     held = materialize(docs_pieces)
     rows = held.groupBy("length").count().collect()  # at most ``size`` rows
     counts = {r["length"]: r["count"] for r in rows}
-    places = spark.sparkContext.broadcast(slots(plan(counts, size, rounds)))
+    places = spark.sparkContext.broadcast(slots(plan(counts, size, share)))
     buckets = sum(counts.values()) // ROWS_A_BUCKET + 64
 
     # The rank within a length, counted in buckets so that a common length spreads over many tasks.

@@ -177,17 +177,44 @@ def test_packing(make):
     assert sorted(len(r.ids) for r in whole) == sorted(sum(n for _, n in p) for p in by_sequence.values())
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_program(seed):
+    """The program itself places its share, in whole uses that fit, and says what is left."""
+    r = random.Random(seed)
+    counts = {r.randint(1, 400): r.choice([1, 2, 3, 90]) for _ in range(r.randint(1, 120))}
+    used, left = packing.program(counts, 512, 0.95)
+    placed = {}
+    for config, times in used.items():
+        assert sum(config) <= 512 and times >= 1
+        for s in config:
+            placed[s] = placed.get(s, 0) + times
+    assert {s: n for s in counts if (n := counts[s] - placed.get(s, 0))} == left
+    assert sum(placed.values()) >= 0.95 * sum(counts.values())
+    # The fullest of what is there: no value is better, by plain search over few lengths.
+    few = sorted(counts)[:4]
+    weights, have = np.zeros(513), np.zeros(513)
+    for s in few:
+        weights[s], have[s] = s, counts[s]
+    best = max(
+        sum(s * k for s, k in zip(few, ks))
+        for ks in np.ndindex(*[min(counts[s], 512 // s) + 1 for s in few]) if sum(s * k for s, k in zip(few, ks)) <= 512
+    ) if np.prod([min(counts[s], 512 // s) + 1 for s in few]) < 200_000 else None
+    chosen = packing.fullest_of(weights, 512, have)
+    assert all(k <= counts[s] for s, k in chosen.items())
+    assert best is None or sum(s * k for s, k in chosen.items()) >= 0.9 * best
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_packing_plan_places_every_piece(seed):
     r = random.Random(seed)
     counts = {r.randint(1, 64): r.choice([1, 2, 50, 10_000]) for _ in range(r.randint(1, 40))}
     placed = {}
-    for config, times in packing.plan(counts, 64, 100):
+    for config, times in packing.plan(counts, 64):
         assert sum(config) <= 64
         for s in config:
             placed[s] = placed.get(s, 0) + times
     assert placed == counts
-    bins = sum(n for _, n in packing.plan(counts, 64, 100))
+    bins = sum(n for _, n in packing.plan(counts, 64))
     first_fit = 0
     room = []
     for s in sorted((s for s, n in counts.items() for _ in range(min(n, 200))), reverse=True):

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry_points
 import brute
 import corpus_pipeline
-from dryspell.llm import mixing, queries
+from dryspell.llm import mixing, packing, queries
 
 
 @pytest.fixture(scope="module")
@@ -79,6 +79,11 @@ def test_op2(spark, sf_dir, docs):
         ends = np.cumsum([n for _, n in sorted(parts)])
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
     assert len(held) <= -(-sum(r.length for r in rows) // 2048) + 2
+    counts = {}
+    for r in rows:
+        counts[r.length] = counts.get(r.length, 0) + 1
+    used, _ = packing.program(counts, packing.SIZE, packing.SHARE)
+    assert sum(len(config) * times for config, times in used.items()) >= 0.9 * len(rows)
 
 
 def test_op3(spark, sf_dir, duck):
