@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_SHAPES = 4096
 
 
 def ascii_lower(c: Column) -> Column:
@@ -57,28 +56,24 @@ def judge(
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``; columns of these names are replaced.
 
-    ``rules`` may be large: it is joined by its size. Its shapes are brought to the driver, and there may
-    be ``MAX_SHAPES`` of them at most; more raise an error.
+    ``rules`` may be large and of any number of shapes: rules and shapes are joined by their size. A url is
+    expanded to its host's suffixes, and these to the prefixes whose length rules of as many labels have.
     """
     rules = rule_table(rules)
-    shapes = rules.select("labels", "chars").distinct().limit(MAX_SHAPES + 1).collect()
-    if len(shapes) > MAX_SHAPES:
-        raise ValueError(f"the rules have more than {MAX_SHAPES} shapes")
+    lengths = rules.groupBy(F.col("labels").alias("k")).agg(F.collect_set("chars").alias("lengths"))
     pages = pages.drop("host", "path", "rule", "verdict")
     parsed = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     sites = parsed.select("host", "path").where("host <> ''").distinct()
-    if shapes:
-        wanted = F.array(*[F.struct(F.lit(s.labels).alias("k"), F.lit(s.chars).alias("n")) for s in shapes])
-    else:
-        wanted = F.array().cast("array<struct<k:int,n:int>>")
     labels = F.split("host", "\\.")
+    short_enough = F.filter("lengths", lambda n: n <= F.length("path"))
     expanded = (
         sites.withColumn("labels", labels)
-        .withColumn("shape", F.explode(wanted))
-        .where("size(labels) >= shape.k and length(path) >= shape.n")
+        .withColumn("k", F.explode(F.sequence(F.lit(1), F.size("labels"))))
+        .join(lengths, "k")
+        .withColumn("n", F.explode(short_enough))
         .withColumn("full", digest(
-            F.array_join(F.slice("labels", F.size("labels") - F.col("shape.k") + 1, F.col("shape.k")), "."),
-            F.substring(F.col("path"), F.lit(1), F.col("shape.n")),
+            F.array_join(F.slice("labels", F.size("labels") - F.col("k") + 1, F.col("k")), "."),
+            F.substring(F.col("path"), F.lit(1), F.col("n")),
         ))
         .select("host", "path", "full", F.substring("full", 1, 8).alias("short"))
     )

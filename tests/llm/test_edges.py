@@ -355,6 +355,29 @@ def test_neighbours(spark):
     assert [v for _, v, _ in sorted(got[0])] == [300, 301, 302, 303, 304]
 
 
+def test_url_rules_of_many_shapes(spark):
+    """Ten thousand pairs of label count and prefix length, against plain search."""
+    r = random.Random(6)
+    host = lambda k: ".".join(r.choice(["a", "b"]) for _ in range(k))
+    path = lambda n: "/" + "".join(r.choice("xy/") for _ in range(n - 1)) if n else ""
+    rules = {(host(k), path(n) if n < 12 else "/" + "x" * (n - 1)): r.choice(["allow", "block"])
+             for k in range(1, 11) for n in range(1000)}
+    assert len({(h.count("."), len(p)) for h, p in rules}) == 10_000
+    urls = [f"http://{host(r.randint(1, 12))}{path(r.randint(0, 12))}" for _ in range(150)]
+    urls += [f"http://{host(10)}/{'x' * r.randint(0, 1500)}?q" for _ in range(30)]
+    table = spark.createDataFrame([(h, p, v) for (h, p), v in rules.items()], "host string, path string, verdict string")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filters.judge(pages, table).collect()}
+    for k, url in enumerate(urls):
+        name, _, rest = url.removeprefix("http://").partition("/")
+        where = ("/" + rest).split("?")[0] if "/" in url.removeprefix("http://") else ""
+        parts = name.split(".")
+        fits = [(h, p) for j in range(len(parts)) for h in [".".join(parts[j:])] for n in range(len(where) + 1)
+                for p in [where[:n]] if (h, p) in rules]
+        best = max(fits, key=lambda x: (len(x[0] + x[1]), x[0] + x[1]), default=None)
+        assert got[k] == ((best[0] + best[1], rules[best]) if best else (None, "allow")), url
+
+
 def test_neighbours_keep_their_recall_over_full_buckets(spark):
     """More points for each axis than a bucket should hold."""
     g = np.random.default_rng(5)
