@@ -1,11 +1,13 @@
 """Finds personal data: fixed patterns, and identifiers that stand where known ones stand.
 
 Four kinds have a pattern each. Their matches are the seeds of a bootstrap: the words around a seed make
-contexts (two words before it, the word before it with the word after it), and every identifier-like token
-is an instance of the contexts it stands in. Scores go round the graph of contexts and instances: a context
+contexts (two words before it, the word before it with the word after it, either of these alone, and what it
+follows inside its own token), and everything identifier-like is an instance of the contexts it stands in:
+single tokens, what follows a mark such as ``tel:`` in one, and runs of neighbouring groups of digits. Scores go round the graph of contexts and instances: a context
 is as good as its instances, as many of which should be of one kind; an instance is as good as the contexts
-it stands in. Contexts with enough different instances and a high score then mark tokens of a like shape
-that no pattern matches.
+it stands in. Contexts with enough different instances (more for one word alone, which chance fills sooner)
+and a high score then mark what has a like shape and matches no pattern. Of marked spans that overlap the
+longest stays.
 
 A null text is empty. Every row is searched, whatever its ``doc_id``, and repeated rows each for itself;
 an instance counts once in a context however often it is copied.
@@ -15,7 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,7 +30,9 @@ from dryspell.llm.words import pieces
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 4
-MIN_INSTANCES = 5
+MIN_INSTANCES, MIN_INSTANCES_ALONE = 5, 20
+#: Digits of the longest identifier that a run of groups can be.
+RUN_DIGITS = 19
 MIN_SCORE = 0.8
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -36,6 +42,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Groups of digits with little between them, on one line.
+_RUN = re.compile(r"\+?\(?[0-9]+(?:[\x20().-]{1,3}[0-9]+)+")
+_LEAD = re.compile(r"^[^0-9@]*[:=#]")
 #: Left by these characters at its ends, a token is the identifier itself.
 _EDGES = "\"'`.,;:!?()[]{}<>"
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -96,43 +105,64 @@ def like(kind: str, token: str) -> bool:
     return digits >= 7 and digits >= 0.6 * len(token)
 
 
+def digit_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of two or more neighbouring groups of digits; longer ones are cut where they exceed an identifier."""
+    for m in _RUN.finditer(text):
+        first, digits, groups, end = m.start(), 0, 0, m.start()
+        for g in _DIGITS.finditer(text, m.start(), m.end()):
+            size = g.end() - g.start()
+            if groups and digits + size > RUN_DIGITS:
+                if groups > 1:
+                    yield first, end
+                first, digits, groups = g.start(), 0, 0
+            digits, groups, end = digits + size, groups + 1, g.end()
+        if groups > 1:
+            yield first, end
+
+
 def occurrences(text: str) -> Iterator[tuple[str, str, int, int, list[str]]]:
-    """(kind, instance, start, end, contexts) of seeds and, with an empty kind, other identifier-like tokens."""
+    """(kind, instance, start, end, contexts) of seeds and, with an empty kind, of what else is identifier-like."""
     if "@" not in text and not _DIGIT.search(text):
         return
-    spans = sorted((a, b, k) for k, a, b in base_spans(text))
-    tokens = []
+    seeds = [(a, b, k) for k, a, b in base_spans(text)]
+    starts, ends, tokens = [], [], []
     for m in _WORD.finditer(text):
-        raw = m.group()
+        starts.append(m.start())
+        ends.append(m.end())
+        tokens.append(m.group())
+
+    def shown(k: int) -> str:
+        return _DIGITS.sub("0", tokens[k].lower())
+
+    def around(a: int, b: int) -> list[str]:
+        """The contexts of a span, by the tokens it lies in."""
+        k, last = bisect_right(starts, a) - 1, bisect_right(starts, b - 1)
+        lead = text[starts[k]:a]
+        found = [f"in:{_DIGITS.sub('0', lead.lower())}"] if lead.strip(_EDGES) or lead[-1:] in (":", "=", "#") else []
+        before, after = shown(k - 1) if k else "^", shown(last) if last < len(tokens) else "$"
+        found += [f"around:{before} {after}", f"left:{before}", f"right:{after}"]
+        if k > 1:
+            found.append(f"before:{shown(k - 2)} {before}")
+        return found
+
+    for a, b, kind in seeds:
+        yield kind, text[a:b].lower(), a, b, around(a, b)
+    others = set()
+    for start, raw in zip(starts, tokens):
         core = raw.strip(_EDGES)
-        start = m.start() + (raw.find(core) if core else 0)
-        tokens.append((start, start + len(core), core, raw))
-    at = 0
-    for k, (a, b, core, raw) in enumerate(tokens):
-        while at < len(spans) and spans[at][1] <= a:
-            at += 1
-        seed = at < len(spans) and spans[at][0] < max(b, a + 1)
-        if not seed and not ("@" in core or _DIGIT.search(core)):
-            continue
-        kind = ""
-        end = b
-        if seed:
-            s, e, kind = spans[at]
-            if s < a and any(s < t[1] and t[0] < a for t in tokens[max(k - 1, 0):k]):
-                continue  # a later word of the same match
-            if s > a:
-                # The match starts inside the token: what stands before it in the token is its context.
-                a, lead = s, text[a:s]
-                yield kind, text[s:e].lower(), s, e, [f"in:{_DIGITS.sub('0', lead.lower())}"]
-                continue
-            end = e
-        nxt = next((t for t in tokens[k + 1:k + 8] if t[0] >= end), None)
-        before = [_DIGITS.sub("0", t[3].lower()) for t in tokens[max(k - 2, 0):k]]
-        after = _DIGITS.sub("0", nxt[3].lower()) if nxt else "$"
-        contexts = [f"around:{before[-1] if before else '^'} {after}"]
-        if len(before) == 2:
-            contexts.append(f"before:{before[0]} {before[1]}")
-        yield kind, (text[a:end] if seed else core).lower(), a, end, contexts
+        if "@" in core or _DIGIT.search(core):
+            a = start + raw.find(core)
+            lead = _LEAD.match(core)
+            skip = lead.end() if lead and lead.end() < len(core) else 0
+            others.add((a + skip, a + len(core)))
+    others |= set(digit_runs(text))
+    taken = sorted((a, b) for a, b, _ in seeds)
+    firsts = [a for a, _ in taken]
+    reach = list(accumulate((b for _, b in taken), max))
+    for a, b in sorted(others):
+        k = bisect_right(firsts, b - 1)
+        if not k or reach[k - 1] <= a:
+            yield "", text[a:b].lower(), a, b, around(a, b)
 
 
 def graph(docs: DataFrame) -> DataFrame:
@@ -169,7 +199,9 @@ def contexts(
     edges = materialize(graph(docs))
     # Contexts that hold too few seeds of a kind, or none, can mark nothing.
     seeded = edges.where("kind <> ''").groupBy("context", "kind").agg(F.count("*").alias("instances"))
-    seeded = seeded.where(F.col("instances") >= min_instances).withColumnRenamed("kind", "own")
+    alone = F.col("context").startswith("left:") | F.col("context").startswith("right:")
+    needed = F.when(alone, F.lit(max(min_instances, MIN_INSTANCES_ALONE))).otherwise(F.lit(min_instances))
+    seeded = seeded.where(F.col("instances") >= needed).withColumnRenamed("kind", "own")
     live = materialize(edges.join(seeded, "context"))
     worth = F.when(F.col("kind") == F.col("own"), 1.0).otherwise(0.0)
     scores = live.groupBy("context", "own").agg(F.avg(worth).alias("score"), F.max("instances").alias("instances"))
@@ -236,9 +268,14 @@ def find(docs: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     spans = best.groupBy("digest").agg(
         F.sort_array(F.collect_list(F.struct(F.col("best.kind").alias("kind"), "start", "end"))).alias("found")
     )
-    joined = result.withColumn("__digest", F.md5("text")).join(
-        spans.withColumnRenamed("digest", "__digest"), "__digest", "left"
+    size = lambda s: s["end"] - s["start"]
+    longer = lambda x, y: (
+        (y["start"] < x["end"]) & (x["start"] < y["end"])
+        & ((size(y) > size(x)) | ((size(y) == size(x)) & (y["start"] < x["start"])))
     )
+    spans = spans.withColumn("found", F.filter("found", lambda x: ~F.exists("found", lambda y: longer(x, y))))
+    key = "_" * (1 + max(map(len, docs.columns)))  # no other column has this name
+    joined = result.withColumn(key, F.md5("text")).join(spans.withColumnRenamed("digest", key), key, "left")
     return joined.withColumn("found", F.coalesce("found", F.array().cast(span))).select(
         *[F.col(f"`{c}`") for c in docs.columns], "base", "found"
     )

@@ -311,6 +311,54 @@ def test_contexts_find_unseen_identifiers(make):
     assert not any(found.values())
 
 
+def test_contexts_find_held_out_identifiers(make):
+    """Identifiers no pattern matches, of several words, in brackets, or behind a mark, in contexts that known ones
+    teach: nine of ten are found with their exact span, and of what is found nine of ten are identifiers."""
+    r = random.Random(12)
+    d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+
+    def card(ok):
+        while True:
+            x = "4" + d(15)
+            if pii.luhn(x) == ok:
+                return " ".join(x[k:k + 4] for k in range(0, 16, 4))
+
+    known = {
+        "please call desk {} for help": lambda: f"+1 ({d(3)}) 555-{d(4)}",
+        "tel:{} or write": lambda: f"+49{d(9)}",
+        "she paid with card {} last week": lambda: card(True),
+        "the server at {} went down": lambda: f"10.{r.randint(0, 255)}.{r.randint(0, 255)}.7",
+    }
+    hidden = {
+        "please call desk {} for help": ("phone", lambda: r.choice([f"0{d(2)} {d(3)} {d(4)}", f"({d(3)}) 555-{d(4)}"])),
+        "tel:{} or write": ("phone", lambda: f"0{d(9)}"),
+        "she paid with card {} last week": ("card", lambda: card(False)),
+    }
+    noise = ["in 2019 they sold 300 of {} and more", "order {} was late again", "see page {} of the book"]
+    words = lambda: " ".join(r.choice(WORDS[:5] + WORDS[10:60]).replace("w", "u") for _ in range(6))
+    texts, truth = [], {}
+    for _ in range(30):
+        for shape, make_one in known.items():
+            texts.append(f"{words()} {shape.format(make_one())} {words()}")
+        for shape in noise:
+            texts.append(f"{words()} {shape.format(r.choice([d(4), d(8), d(3) + ' ' + d(5), d(12)]))} {words()}")
+    for _ in range(15):
+        for shape, (kind, make_one) in hidden.items():
+            secret = make_one()
+            text = f"{words()} {shape.format(secret)} {words()}"
+            assert not pii.base_spans(text)
+            start = text.index(shape.partition("{")[0]) + len(shape.partition("{")[0])
+            truth[len(texts)] = (kind, start, start + len(secret))
+            texts.append(text)
+    docs = make(list(enumerate(texts)), __digest="mine")
+    rows = pii.find(docs).collect()
+    assert {row["__digest"] for row in rows} == {"mine"}
+    found = {(row.doc_id, s.kind, s.start, s.end) for row in rows for s in row.found}
+    right = {(k, *span) for k, span in truth.items()}
+    assert len(found & right) >= 0.9 * len(right)
+    assert len(found & right) >= 0.9 * len(found)
+
+
 def test_urls(spark):
     urls = [
         None, "", "nothing", "http://", "http://com", "http://com/", "HTTP://WWW.Example.COM/en/a", "http://example.com/en",
