@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dryspell.llm.words import Texts, pieces
 
@@ -59,8 +60,7 @@ def transform(
     others have the suffix first. Other columns are carried along; those named like an added one are replaced.
     """
     added = [field.split()[0] for field in ADDED.split(", ")]
-    rest = [c for c in docs.columns if c not in ("doc_id", "text") and c.lower() not in added]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    others = [c for c in docs.columns if c not in ("doc_id", "text") and c.lower() not in added]
     p, s, m = (mark.encode() for mark in marks)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,11 +91,13 @@ def transform(
             lengths = [cuts[:, 0], cuts[:, 1] - cuts[:, 0], at[:, 0] - begin[:-1], at[:, 1] - at[:, 0]]
             columns = [pa.array(outputs, pa.binary()).cast(pa.string()), pa.array(forms, pa.string()), pa.array(size)]
             columns += [pa.array(x, pa.int64(), mask=whole) for x in lengths]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["doc_id", "text", *rest, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *added])
 
-    quoted = ["`" + c.replace("`", "``") + "`" for c in rest]
-    schema = ", ".join(["doc_id long", "text string", *[f"{q} {kinds[c]}" for q, c in zip(quoted, rest)], ADDED])
-    return docs.select(F.col("doc_id").cast("long"), "text", *quoted).mapInArrow(cut, schema)
+    # Other columns go through Python as one, whatever their names.
+    rest = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in others]).alias("rest")
+    held = docs.select(F.col("doc_id").cast("long"), "text", *([rest] if others else []))
+    schema = T.StructType([*held.schema, *T.StructType.fromDDL(ADDED)])
+    return held.mapInArrow(cut, schema).select("doc_id", "text", *(["rest.*"] if others else []), *added)
 
 
 def restore(output: Column, form: Column, marks: tuple[str, str, str] = MARKS) -> Column:

@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dryspell.lineage import materialize
 from dryspell.llm.suffix_array import suffix_array
@@ -406,13 +407,19 @@ def open_places(open_docs: DataFrame, window: int, slot: int, most: int, symbols
     return placed(found)
 
 
-def resolve(docs: DataFrame, places: list[str], window: int, rest: str | None, keep: bool, partial: bool) -> DataFrame:
+def resolve(
+    docs: DataFrame, places: list[str], window: int, rest: T.DataType | None, keep: bool, partial: bool
+) -> DataFrame:
     """What is left of each document without the bytes of ``places`` columns. With ``partial`` documents with open
     places keep their text and places for later instead."""
-    kinds = ["doc_id long", *([f"rest {rest}"] if rest else [])]
-    found = ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", *(["kept binary"] if keep else [])]
-    later = ["owner long", "mark int", "text string", "known array<long>", "open array<long>"] if partial else []
-    names = [k.split(" ")[0] for k in (*kinds, *found, *later)]
+    kinds = ["doc_id", *(["rest"] if rest else [])]
+    found = T.StructType.fromDDL(
+        "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep
+    )
+    later = T.StructType.fromDDL("owner long, mark int, text string, known array<long>, open array<long>")
+    first = [T.StructField(k, t) for k, t in zip(kinds, (T.LongType(), rest))]
+    schema = T.StructType([*first, *found, *(later if partial else [])])
+    names = schema.fieldNames()
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,7 +438,7 @@ def resolve(docs: DataFrame, places: list[str], window: int, rest: str | None, k
                 values = (len(data), len(data) - len(left), len(ranges), hashlib.sha256(left).hexdigest(), left)
                 for v, value in zip(out, values):
                     v.append(value)
-            columns = [batch.column(k.split(" ")[0]) for k in kinds]
+            columns = [batch.column(k) for k in kinds]
             columns += [pa.array(v, t) for v, t in zip(out, types)]
             if partial:
                 gone = pa.nulls(batch.num_rows, pa.string())
@@ -440,9 +447,8 @@ def resolve(docs: DataFrame, places: list[str], window: int, rest: str | None, k
                 columns += [batch.column("known"), batch.column("open")]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    needed = [k.split(" ")[0] for k in kinds] + ["text", *places]
-    needed += ["owner", "mark", "open"] if partial else []
-    return docs.select(*needed).mapInArrow(run, ", ".join([*kinds, *found, *later]))
+    needed = [*kinds, "text", *places, *(["owner", "mark", "open"] if partial else [])]
+    return docs.select(*needed).mapInArrow(run, schema)
 
 
 def remove_repeats(
@@ -468,7 +474,7 @@ def remove_repeats(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *([rest.alias("rest")] if others else []),
         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("owner"), F.hash(text).alias("mark"),
     )
-    kind = held.schema["rest"].dataType.simpleString() if others else None
+    kind = held.schema["rest"].dataType if others else None
 
     rows = judged(anchored(held, window, gram), ["key"], "sub")
     place, count = F.shiftright("place", 32), F.col("place").bitwiseAND(0xFFFF)

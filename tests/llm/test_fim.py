@@ -37,9 +37,9 @@ def plain_version(doc_id, text):
 def test_edges(make):
     texts = ["", None, "a", "é", "a<P>b", "<S", "<<M>", "x" * 3_000_000 + "é" * 1000, "𝄞\n\t ", "<P<S<M", "ab" * 40]
     pairs = [(k, texts[k % len(texts)]) for k in range(121)] + [(None, "null id"), (7, "again"), (7, "again")]
-    docs = make(pairs, form="mine", Output="mine", n=0, parts="kept")
+    docs = make(pairs, form="mine", Output="mine", n=0, parts="kept").withColumn("odd name, with.dot", F.struct(F.lit(1).alias("x y")))
     out = fim.transform(docs)
-    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "parts", *fim.ADDED.replace(",", "").split()[::2]]
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "parts", "odd name, with.dot", *fim.ADDED.replace(",", "").split()[::2]]
     rows = out.withColumn("restored", fim.restore(F.col("output"), F.col("form"))).collect()
     found = sorted((repr(r.doc_id), repr(r.text), r.form, r.output, r.prefix_chars, r.middle_chars) for r in rows)
     assert found == sorted((repr(d), repr(t), *plain_version(d, t)) for d, t in pairs)

@@ -71,8 +71,9 @@ def test_small_windows(make, monkeypatch, seed, sizes):
     monkeypatch.setattr(suffix_dedup, "COMMON", 4)
     pairs = documents(seed)
     docs = make(pairs, rest="mine", owner="mine", kept="old", mark=1)
+    docs = docs.withColumn("odd name, with.dot", F.struct(F.lit(1).alias("x y")))
     out = suffix_dedup.remove_repeats(docs, **{"window": 12, "gram": 4, "slot": 4, **sizes})
-    assert [c for c in out.columns if c in docs.columns] == ["doc_id", "lang", "source", "n_chars", "rest", "owner", "mark", "kept"]
+    assert [c for c in out.columns if c in docs.columns] == ["doc_id", "lang", "source", "n_chars", "rest", "owner", "mark", "odd name, with.dot", "kept"]
     assert out.where((F.col("owner") != "mine") | (F.col("rest") != "mine")).isEmpty()
     rows = out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").collect()
     found = sorted((repr(tuple(r[:5])), bytes(r.kept)) for r in rows)
