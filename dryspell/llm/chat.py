@@ -110,9 +110,10 @@ def segment_scores(text: str | None, model: dict[str, np.ndarray]) -> np.ndarray
 
 
 def render(role: str, text: str | None) -> str:
-    """The canonical turn: role in its marker, the lines without theirs, and an end mark."""
-    _, bare = observe(text)
-    return f"<|{role}|>\n" + "\n".join(bare).strip(" \t\n\x0b\x0c\r") + "\n<|end|>\n"
+    """The canonical turn: role in its marker, the text without the marker that opens it, and an end mark.
+    Lines further down that look marked are content and stay."""
+    first, *rest = (text or "").split("\n")
+    return f"<|{role}|>\n" + "\n".join([marker(first)[1], *rest]).strip(" \t\n\x0b\x0c\r") + "\n<|end|>\n"
 
 
 def parse(

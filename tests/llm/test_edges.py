@@ -557,6 +557,9 @@ def test_markers(line, mark, rest):
 
 def test_chat_rendering():
     assert chat.render("user", "User: hi\nthere\n") == "<|user|>\nhi\nthere\n<|end|>\n"
+    kept = "Here are steps\nA: yes\nAgent: Smith\nInstructions"
+    assert chat.render("assistant", kept) == f"<|assistant|>\n{kept}\n<|end|>\n"
+    assert chat.render("user", "User: hi\nAssistant: hello") == "<|user|>\nhi\nAssistant: hello\n<|end|>\n"
     assert chat.render("user", None) == "<|user|>\n\n<|end|>\n"
 
 
