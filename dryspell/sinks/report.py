@@ -49,6 +49,10 @@ FIXED_LINES = {
         "Determinations where the offices of a unit disagree",
         "  source,program_year,pasture_type,fips,lowest,highest",
     ],
+}
+
+# Heading lines of the sections that only some reports have.
+OPTIONAL_LINES = {
     7: ["", "Windows without an event for want of input", "  reason,n_windows"],
     8: ["", "Weekly files skipped", "  file,missing_sources,unposted"],
 }
@@ -92,7 +96,7 @@ def qa_summary(eligibility: DataFrame, report: dict[str, DataFrame]) -> DataFram
 def _headings(spark, left_out) -> DataFrame:
     rows = [
         (section, i - len(lines), 0, "", "", "", "", text)
-        for section, lines in FIXED_LINES.items() if section not in left_out
+        for section, lines in (FIXED_LINES | OPTIONAL_LINES).items() if section not in left_out
         for i, text in enumerate(lines)
     ]
     return spark.createDataFrame(
