@@ -18,7 +18,7 @@ from dryspell.model import CROSSWALK_SCHEMA, GRAZING_SCHEMA, RAW_OBSERVATION_SCH
 from dryspell.operators import listings, units
 from dryspell.operators.aggregate import long_from_wide
 from dryspell.plans import bindings
-from dryspell.plans.archive import rebuild
+from dryspell.plans.archive import live_files, rebuild
 from dryspell.sinks import columnar
 from dryspell.sinks.manifests import write_file_manifest, write_url_manifest
 from dryspell.sinks.tables import write_combined, write_weeks
@@ -271,6 +271,33 @@ def test_unposted_files_are_skipped(spark, archive, store):
     assert build(rows, posted=listing).built.isEmpty()
 
 
+def test_posted_keys_of_a_saved_listing(spark, archive, tmp_path, store):
+    """A store's listing, as URLs, gates the build: what the store does not list is skipped."""
+    _, listed = archive
+    build, read = store
+    root = os.path.dirname(os.path.dirname(listed["src-a"][0]))
+    keys = [{"Key": u.removeprefix(f"{root}/"), "Size": 1} for u in listed["src-a"][:2]]
+    (tmp_path / "s3").mkdir()
+    (tmp_path / "s3" / "1.json").write_text(json.dumps({"Contents": keys}))
+    posted = files.posted_keys(files.object_listing(spark, str(tmp_path / "s3")), f"file://{root}/")
+    found = build([("src-a", u) for u in listed["src-a"]], posted=posted)
+    assert found.built.count() == 2 and [len(r.unposted) for r in found.skipped.collect()] == [1]
+    assert {week for _, week, _, _ in read()} == {tuesday(0), tuesday(1)}
+
+
+def test_superseded_pieces_are_not_listed(spark, archive, store, tmp_path):
+    """Files of pieces that a later build replaced stay on disk for older versions and leave the inventory."""
+    _, listed = archive
+    build, _ = store
+    build([("src-a", listed["src-a"][0])])
+    second = build([("src-b", listed["src-b"][0])])
+    every = files.file_inventory(spark, str(tmp_path / "weekly")).withColumn("path", F.concat(F.lit("weekly/"), "path"))
+    pieces = versions.entries(spark, str(tmp_path / "state"), second.version, tables.PIECE_SCHEMA)
+    live = [r.path for r in live_files(every, pieces).collect() if "/part-" in r.path]
+    assert every.where("path like '%/part-%'").count() > len(live) > 0
+    assert {p.split("build=")[1].split("/")[0] for p in live} == {pieces.first().build}
+
+
 def test_many_files_that_are_not_there(spark, archive, monkeypatch):
     paths, listed = archive
     monkeypatch.setattr(manifests.url_spans, "__defaults__", (1,))
