@@ -188,8 +188,17 @@ def supplier_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _coded(_crosswalk(_suppliers(spark, sf_dir), *SUPPLIER_OFFICES))
 
 
+# Suppliers whose windows one task makes and writes: some 34 windows each.
+SUPPLIERS_A_TASK = 2_000
+
+
 def supplier_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written out because Spark's size estimate knows nothing of the rows made by the generators: the
-    overlap join is to choose by the size this table really has."""
-    crosswalk = _crosswalk(_suppliers(spark, sf_dir), *SUPPLIER_OFFICES)
-    return materialize(_windows(crosswalk, SUPPLIER_ERA.format("n")))
+    """Written once in pieces of equal size, however many suppliers there are, as several joins read them.
+
+    Joined sort-merge: the file is a small part of its rows in memory, and the overlap join repeats them per
+    time bin and source, so by the file's size Spark would collect and broadcast millions of them.
+    """
+    suppliers = _suppliers(spark, sf_dir)
+    pieces = 1 + suppliers.count() // SUPPLIERS_A_TASK
+    crosswalk = _crosswalk(suppliers, *SUPPLIER_OFFICES).repartition(pieces, "office", "n")
+    return materialize(_windows(crosswalk, SUPPLIER_ERA.format("n"))).hint("merge")
