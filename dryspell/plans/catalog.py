@@ -239,10 +239,10 @@ def observed_units_only(spark, sf_dir):
     return units.observed_only(b.nation_observations(spark, sf_dir), b.supplier_windows(spark, sf_dir))
 
 
-@register("observed_units_only_by_supplier", o.supplier(_OBSERVED, o.OTHER_WINDOWS["supplier"]))
+@register("observed_units_only_by_supplier", o.supplier("select * from obs where fips in (select fips from ngp)"))
 def observed_units_only_by_supplier(spark, sf_dir):
-    """Observations of the suppliers whose code has a window among the nations."""
-    return units.observed_only(b.supplier_observations(spark, sf_dir), b.nation_windows(spark, sf_dir))
+    """Observations of the suppliers that have a window, so of every supplier that the table of suppliers lists."""
+    return units.observed_only(*SUPPLIER.inputs(spark, sf_dir))
 
 
 @register("clipped_runs", o.nation("select * from clip"))

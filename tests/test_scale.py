@@ -7,7 +7,6 @@ import io
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from dryspell import lineage
 from dryspell.operators.runs import run_length_encode
@@ -53,3 +52,9 @@ def test_windows_of_suppliers_are_never_broadcast(spark, made, name):
     plan = plan_of(df)
     assert "SortMergeJoin" in plan
     assert "Broadcast" not in plan
+
+
+def test_observations_of_every_supplier_with_a_window(spark, made):
+    """Of all suppliers, not only of those whose code is a nation's."""
+    found = QUERIES["observed_units_only_by_supplier"](spark, made)
+    assert {r.fips for r in found.select("fips").distinct().collect()} == {f"{k:05d}" for k in range(SUPPLIERS)}
