@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dryspell.functions.dates import date_decode
 from dryspell.functions.levels import collapse_levels, level_code, level_label
 from dryspell.functions.text import csv_line
-from dryspell.lineage import materialize, shared_dir
+from dryspell.lineage import materialize, shared_dir, spread
 from dryspell.model import BELOW_D2, D2, GROUP_KEY, LADDER, WINDOW_KEY
 from dryspell.operators import (
     aggregate, dictionary, listings, quality, scoring, sketches, tiers, units,
@@ -806,9 +806,12 @@ def _manifest(spark, sf_dir):
 
 
 def _lines_and_orders(spark, sf_dir):
-    """Line items with the weeks they were shipped and ordered in."""
+    """Line items with the weeks they were shipped and ordered in. Both tables grow alike: joined sort-merge, over
+    as many tasks as the line items need, so that one task sorts and counts a bounded number of them."""
     lines = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_suppkey", "l_shipdate")
+    lines = spread(lines, lines.count(), "l_orderkey", for_join=True)
     orders = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    orders = orders.hint("merge")
     week = lambda c: F.trunc(F.col(c).cast("date"), "week").cast("string")
     return lines.join(orders, "l_orderkey").select(
         "l_returnflag", F.col("l_suppkey").cast("string").alias("unit"),
@@ -816,9 +819,11 @@ def _lines_and_orders(spark, sf_dir):
     )
 
 
-def _lines_as_files(lines, week):
+def _lines_as_files(lines, week, rows):
+    """Nearly every line item makes a key of its own, so they are dealt by key before they are counted."""
     key = F.concat_ws("/", F.lit("data"), F.col("l_returnflag"), F.concat_ws("_", "unit", week))
-    return lines.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("size"))
+    keys = spread(lines.select(key.alias("key")), rows, "key")
+    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
 
 
 _BUILT = """built as (select distinct 'USDM_' || l_suppkey || '_' || cast(date_trunc('week', o_orderdate) as date)
@@ -875,7 +880,8 @@ _RECONCILED = """select * from (select coalesce(w.key, h.key) as key,
 def _listing_pair(spark, sf_dir):
     """Files by ship week, expected, and by order week, listed."""
     lines = _lines_and_orders(spark, sf_dir)
-    return _lines_as_files(lines, "shipped"), _lines_as_files(lines, "ordered")
+    rows = b.table(spark, sf_dir, "lineitem").count()
+    return _lines_as_files(lines, "shipped", rows), _lines_as_files(lines, "ordered", rows)
 
 
 _LISTING_SQL = (_LISTED.format("want", "l_shipdate"), _LISTED.format("have", "o_orderdate"))

@@ -58,3 +58,15 @@ def test_observations_of_every_supplier_with_a_window(spark, made):
     """Of all suppliers, not only of those whose code is a nation's."""
     found = QUERIES["observed_units_only_by_supplier"](spark, made)
     assert {r.fips for r in found.select("fips").distinct().collect()} == {f"{k:05d}" for k in range(SUPPLIERS)}
+
+
+def test_listings_are_dealt_by_the_number_of_line_items(spark, made, monkeypatch):
+    """No task and no broadcast holds more as the tables grow, and the problems found stay the same."""
+    plain = sorted(QUERIES["listing_reconcile"](spark, made).collect())
+    monkeypatch.setattr(lineage, "ROWS_A_TASK", 100)
+    df = QUERIES["listing_reconcile"](spark, made)
+    plan = plan_of(df)
+    assert "Broadcast" not in plan
+    assert plan.count("41), REPARTITION_BY_NUM") >= 4  # line items by order and keys, expected and listed
+    assert sorted(df.collect()) == plain
+    assert {r.problem for r in plain} == {"missing", "unexpected", "size mismatch"}
