@@ -4,24 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dryspell.functions.dates import day_bin
 from dryspell.model import SERIES_KEY, WEEK_DAYS
 
 
-def _changed(value: str, window) -> Column:
-    """True where a row differs from the row before it; false on the first row."""
-    return F.coalesce(F.col(value) != F.lag(value).over(window), F.lit(False))
-
-
-def _run_number(window) -> Column:
-    return F.sum(F.col("_changed").cast("int")).over(
-        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-
-
 def run_length_encode(
     df: DataFrame,
     keys: Sequence[str] = SERIES_KEY,
@@ -70,40 +59,35 @@ def _plain_runs(rows, keys, value, step_days) -> DataFrame:
 
 
 def _stitched_runs(rows, keys, value, step_days, block_days) -> DataFrame:
-    in_block = Window.partitionBy(*keys, "_block").orderBy("_date")
-    whole_block = Window.partitionBy(*keys, "_block")
-    pieces = (
-        rows.withColumn("_block", day_bin("_date", block_days))
-        .withColumn("_changed", _changed(value, in_block))
-        .withColumn("_run", _run_number(in_block))
-        .withColumn("_last", F.max("_run").over(whole_block))
-        .groupBy(*keys, "_block", value, "_run")
-        .agg(
-            F.min("_date").alias("_start"),
-            F.max("_date").alias("_end"),
-            F.count(F.lit(1)).alias("_n"),
-            F.first("_last").alias("_last"),
-        )
-    )
+    """Both passes work on sorted rows alone, which spill: no table of all runs of a task is held in memory."""
+    in_block = Window.partitionBy(*keys, "_block").orderBy("run_start")
+    blocks = rows.withColumn("_block", day_bin("_date", block_days))
     # Runs strictly inside a block are final and stay spread over (key, block). Edge runs share one
     # group per key, two rows per block at most, where neighbours of equal value are merged.
-    edge = (F.col("_run") == 0) | (F.col("_run") == F.col("_last"))
-    pieces = pieces.withColumn("_group", F.when(edge, F.lit(None)).otherwise(F.col("_block")))
+    edge = F.lag(F.lit(1)).over(in_block).isNull() | F.lead(F.lit(1)).over(in_block).isNull()
+    pieces = _plain_runs(blocks, [*keys, "_block"], value, step_days).withColumn("_edge", edge)
+    pieces = pieces.withColumn("_group", F.when(~F.col("_edge"), F.col("_block")))
     # Two edge runs of one block with other runs between them must stay apart, whatever their value.
-    by_group = Window.partitionBy(*keys, "_group").orderBy("_start")
-    same_block = F.col("_block") == F.lag("_block").over(by_group)
-    return (
-        pieces.withColumn(
-            "_changed", _changed(value, by_group) | F.coalesce(same_block, F.lit(False))
-        )
-        .withColumn("_merged", _run_number(by_group))
-        .groupBy(*keys, "_group", value, "_merged")
-        .agg(
-            F.min("_start").alias("run_start"),
-            F.date_add(F.max("_end"), step_days - 1).alias("run_end"),
-            F.sum("_n").alias("run_weeks"),
-        )
-        .drop("_group", "_merged")
+    w = Window.partitionBy(*keys, "_group").orderBy("run_start")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    same_block = F.col("_block") == F.lag("_block").over(w)
+    before = F.lag(value).over(w)
+    told = pieces.select(
+        *keys, value, "_group", "run_start",
+        (before.isNull() | (before != F.col(value)) | F.coalesce(same_block, F.lit(False))).alias("_first"),
+        F.lag("run_end").over(w).alias("_end_before"),
+        (F.sum("run_weeks").over(w) - F.col("run_weeks")).alias("_weeks_before"),
+        F.max("run_end").over(whole).alias("_last_end"),
+        F.sum("run_weeks").over(whole).alias("_weeks"),
+    )
+    # A piece without a date comes first; merged with the next, the run starts where that one does.
+    joined = F.when(~F.lead("_first").over(w), F.lead("run_start").over(w))
+    firsts = told.withColumn("run_start", F.coalesce("run_start", joined)).where("_first")
+    goes_on = F.lead(F.lit(1)).over(w).isNotNull()
+    end = F.when(goes_on, F.lead("_end_before").over(w)).otherwise(F.col("_last_end"))
+    weeks_to = F.when(goes_on, F.lead("_weeks_before").over(w)).otherwise(F.col("_weeks"))
+    return firsts.select(
+        *keys, value, "run_start", end.alias("run_end"), (weeks_to - F.col("_weeks_before")).alias("run_weeks")
     )
 
 

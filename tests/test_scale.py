@@ -70,3 +70,23 @@ def test_listings_are_dealt_by_the_number_of_line_items(spark, made, monkeypatch
     assert plan.count("41), REPARTITION_BY_NUM") >= 4  # line items by order and keys, expected and listed
     assert sorted(df.collect()) == plain
     assert {r.problem for r in plain} == {"missing", "unexpected", "size mismatch"}
+
+
+def test_blocked_runs_hold_no_table_of_runs(spark):
+    """Sorted passes spill; the aggregations they replace held every run of a task in a hash table."""
+    days = [date(2020, 1, 1) + timedelta(days=7 * k) for k in range(300) if k % 11]
+    rows = [(f"u{u}", "s", d, (k * (u + 1) // 9) % 3) for u in range(6) for k, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "fips string, source string, usdm_date date, drought_class int")
+    blocked = run_length_encode(df, block_days=91)
+    assert "Aggregate" not in plan_of(blocked)
+    assert sorted(blocked.collect()) == sorted(run_length_encode(df).collect())
+    undated = df.where("fips = 'u1'").unionByName(
+        spark.createDataFrame([("u1", "s", None, 0), ("u2", "s", None, 1)], df.schema)
+    )
+    found = sorted(run_length_encode(undated, block_days=91).collect(), key=str)
+    whole = [r for r in sorted(run_length_encode(df.where("fips = 'u1'")).collect())]
+    alone = [r for r in found if r.fips == "u2"]
+    assert [(r.run_start, r.run_end, r.run_weeks) for r in alone] == [(None, None, 1)]
+    first = min((r for r in found if r.fips == "u1"), key=lambda r: r.run_start)
+    assert (first.run_start, first.run_end) == (whole[0].run_start, whole[0].run_end)
+    assert first.run_weeks == whole[0].run_weeks + 1
