@@ -104,11 +104,11 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY) -> Model:
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
+    # Only statistics are shuffled to the labels, never texts; the labels grow with the documents.
     stats = statistics(F.col("text"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select(
-        "label", *[c.alias(n) for n, c in stats.items()]
-    )
-    rows = materialize(rows)
+    learnt = docs.where("doc_id is not null").where(~held_out(F.col("doc_id")))
+    measured = learnt.select("doc_id", *[c.alias(n) for n, c in stats.items()])
+    rows = materialize(measured.join(known.hint("merge"), "doc_id").select("label", *stats))
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(n) < 2:
         return Model([], 0.0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import io
 import math
 import random
 
@@ -25,6 +27,13 @@ def prose(n, r=rng):
     return " ".join(r.choice(WORDS) + ("\n" if r.random() < 0.08 else "") for _ in range(n))
 
 
+def plan_of(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
 LONG = prose(60_000)
 BASE = prose(300)
 ODD = [
@@ -500,6 +509,18 @@ def test_classifier(spark, make):
     assert {x.score for x in quality_classifier.score(docs, none).collect()} == {0.5}
 
 
+def test_classifier_shuffles_statistics_not_texts(spark, make, monkeypatch):
+    """The first table written holds the labelled documents' statistics; above its shuffles no text is left."""
+    docs = make([(i, prose(20, random.Random(i))) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    plans, write = [], quality_classifier.materialize
+    monkeypatch.setattr(quality_classifier, "materialize", lambda df: plans.append(plan_of(df)) or write(df))
+    quality_classifier.fit(docs, labels)
+    joined, *shuffled = plans[0].split("Exchange hashpartitioning(doc_id")
+    assert shuffled and "text#" not in joined and "Broadcast" not in plans[0]
+    assert "text#" in "".join(shuffled)
+
+
 def test_rules_from_a_printed_tree():
     text = """Model
   If (feature 1 <= 0.5)
