@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dryspell.functions.dates import day_bin, length_days, overlaps
+from dryspell.lineage import spread
 
 WINDOW_SPAN = ("window_start", "window_end")
 RUN_SPAN = ("run_start", "run_end")
@@ -32,6 +33,7 @@ def interval_join(
     salts: int = 1,
     strategy: str | None = None,
     hot_rows: int = HOT_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Pairs with equal ``on`` whose closed spans share a day. Null or reversed spans match nothing.
 
@@ -46,6 +48,9 @@ def interval_join(
     ``strategy`` is ``broadcast`` (the left side, which needs no salts), ``merge``, or None to let Spark
     choose by size. A left side that holds ``_bin`` already, from :func:`binned`, is taken as it is: it
     can be written before, so that Spark knows the size of what it may broadcast.
+
+    ``rows``, about as many as a side holds, deals both sides of a join without broadcast to a task for every
+    ``ROWS_A_TASK`` of them where these are more than the session's own number of partitions.
     """
     if strategy not in (None, "broadcast", "merge"):
         raise ValueError(f"unknown strategy: {strategy}")
@@ -71,6 +76,9 @@ def interval_join(
             "_slot", F.explode(F.sequence(F.lit(0), last))
         ).drop("_hot")
         keys.append("_slot")
+    if rows is not None and strategy != "broadcast":
+        left = spread(left, rows, *keys, for_join=True)
+        right = spread(right, rows, *keys, for_join=True)
     if strategy:
         left = left.hint(strategy)
     pairs = left.join(right, keys).where(overlaps(ls, le, rs, re_))

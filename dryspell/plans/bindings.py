@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dryspell.lineage import materialize
+from dryspell.lineage import materialize, spread
 from dryspell.operators.aggregate import worst_class
 
 SOURCES = ("all", "A", "N", "R")
@@ -43,6 +43,11 @@ def _shift(number: Column, amounts) -> Column:
     return F.when(number % 2 == 0, F.lit(amounts[0])).otherwise(F.lit(amounts[1]))
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> int:
+    """Number of line items; weekly cells and runs of the suppliers are no more."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
 def _lines(spark, sf_dir) -> DataFrame:
     day = F.col("l_shipdate").cast("date")
     return table(spark, sf_dir, "lineitem").select(
@@ -166,13 +171,19 @@ SUPPLIER_ERA = "{0} div 2"
 
 def supplier_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Worst class per supplier, flag and week. Line items are combined under the number of their
-    supplier; the code is made afterwards, once per cell."""
+    supplier; the code is made afterwards, once per cell.
+
+    They are dealt by cell before: most cells hold a single line item, so that combining them where they are
+    read only fills a table of as many cells as a piece of the file has rows.
+    """
     n = F.col("n")
     raw = _lines(spark, sf_dir).select(
         F.col("s_suppkey").alias("n"), F.col("flag").alias("source"), "week",
         raw_class().alias("drought_class"),
     )
-    cells = worst_class(raw, ["n", "source", "week"]).where(F.col("drought_class").isNotNull())
+    cell = ["n", "source", "week"]
+    raw = spread(raw, line_items(spark, sf_dir), *cell)
+    cells = worst_class(raw, cell).where(F.col("drought_class").isNotNull())
     return cells.select(
         unit_code(n).alias("fips"), "source",
         F.date_add("week", _shift(F.expr(SUPPLIER_ERA.format("n")), SHIFT_DAYS)).alias("usdm_date"),

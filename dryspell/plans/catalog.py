@@ -48,6 +48,7 @@ class Binding(NamedTuple):
     observations: Callable
     windows: Callable
     sql: Callable
+    rows: Callable = lambda spark, sf_dir: None
 
     def inputs(self, spark, sf_dir):
         return self.observations(spark, sf_dir), self.windows(spark, sf_dir)
@@ -57,7 +58,15 @@ class Binding(NamedTuple):
 
     def clipped(self, spark, sf_dir, **join):
         observations, windows = self.inputs(spark, sf_dir)
-        return clipped_runs(windows, drought_runs(observations), **join)
+        rows = self.rows(spark, sf_dir)
+        if rows is not None:
+            observations = spread(observations, rows, "fips", "source")
+        return clipped_runs(windows, drought_runs(observations), rows=rows, **join)
+
+    def clipped_by_window(self, spark, sf_dir):
+        """``clipped`` dealt by window and source: tasks of passes over windows hold no more as the tables grow."""
+        pairs, rows = self.clipped(spark, sf_dir), self.rows(spark, sf_dir)
+        return pairs if rows is None else spread(pairs, rows, *GROUP_KEY)
 
     def result(self, spark, sf_dir):
         return determine(*self.inputs(spark, sf_dir))
@@ -65,7 +74,7 @@ class Binding(NamedTuple):
 
 NATION = Binding("", b.SOURCES, b.nation_observations, b.nation_windows, o.nation)
 SUPPLIER = Binding(
-    "_by_supplier", b.FLAGS, b.supplier_observations, b.supplier_windows, o.supplier
+    "_by_supplier", b.FLAGS, b.supplier_observations, b.supplier_windows, o.supplier, b.line_items
 )
 
 
@@ -294,7 +303,7 @@ def silent_drops_by_supplier(spark, sf_dir):
 
 
 def _tier_rows(binding, spark, sf_dir, names):
-    kept = tiers.event_rows(tiers.date_tiers(binding.clipped(spark, sf_dir)))
+    kept = tiers.event_rows(tiers.date_tiers(binding.clipped_by_window(spark, sf_dir)))
     labels = F.array(*[F.lit(t) for t in tiers.EVENT_ORDER])
     kept = kept.withColumn("tier", F.element_at(labels, F.col("event_order") + 1))
     return kept.where(F.col("tier").isin(*names)).drop("event_order", "event")
@@ -335,7 +344,7 @@ def tier_sandwich(binding, spark, sf_dir):
 )
 def pattern_match(binding, spark, sf_dir):
     found = tiers.match_pattern(
-        binding.clipped(spark, sf_dir), GROUP_KEY, "clip_start", "drought_class",
+        binding.clipped_by_window(spark, sf_dir), GROUP_KEY, "clip_start", "drought_class",
         [D2, BELOW_D2, D2],
     )
     return found.where("matched").select(*GROUP_KEY, "clip_start")

@@ -39,6 +39,7 @@ def clipped_runs(
     strategy: str | None = None,
     hot_rows: int = HOT_ROWS,
     write_windows: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Runs of each unit cut to each of its grazing windows.
 
@@ -58,7 +59,7 @@ def clipped_runs(
         if bin_days is not None:
             windows = binned(windows, WINDOW_SPAN, bin_days)
         windows = materialize(windows)
-    options = {"bin_days": bin_days, "salts": salts, "strategy": strategy, "hot_rows": hot_rows}
+    options = {"bin_days": bin_days, "salts": salts, "strategy": strategy, "hot_rows": hot_rows, "rows": rows}
     return clip(interval_join(windows, spans, on, **options))
 
 

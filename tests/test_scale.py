@@ -72,6 +72,21 @@ def test_listings_are_dealt_by_the_number_of_line_items(spark, made, monkeypatch
     assert {r.problem for r in plain} == {"missing", "unexpected", "size mismatch"}
 
 
+@pytest.mark.parametrize("name", [
+    "tier_consecutive", "tier_cumulative", "tier_immediate", "tier_sandwich", "pattern_match",
+])
+def test_windows_passes_are_dealt_by_the_number_of_line_items(spark, made, monkeypatch, name):
+    """Cells, runs, both sides of the overlap join and its pairs: no task holds more as the tables grow."""
+    plain = sorted(QUERIES[f"{name}_by_supplier"](spark, made).collect())
+    monkeypatch.setattr(lineage, "ROWS_A_TASK", 100)
+    df = QUERIES[f"{name}_by_supplier"](spark, made)
+    plan = plan_of(df)
+    assert plan.count("41), REPARTITION_BY_NUM") == 5
+    assert "ENSURE_REQUIREMENTS" not in plan and "Broadcast" not in plan
+    assert sorted(df.collect()) == plain
+    assert plain or name != "tier_immediate"
+
+
 def test_blocked_runs_hold_no_table_of_runs(spark):
     """Sorted passes spill; the aggregations they replace held every run of a task in a hash table."""
     days = [date(2020, 1, 1) + timedelta(days=7 * k) for k in range(300) if k % 11]
